@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("suffix_dedup", "line_dedup", "quality_rules", "source_mix", "sharding", "pair_index_bpe", "secret_forest", "token_pack", "impact_topk")
+MODULES = ("suffix_dedup", "line_dedup", "quality_rules", "source_mix", "sharding", "pair_index_bpe", "secret_forest", "shingle_join", "token_pack", "impact_topk")
 
 
 def _all(name: str) -> dict:
