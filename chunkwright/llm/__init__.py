@@ -12,7 +12,9 @@ def _all(name: str) -> dict:
 
 
 def queries() -> dict:
-    return _all("QUERIES")
+    import corpus_pipeline
+
+    return _all("QUERIES") | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
