@@ -26,10 +26,14 @@ EVERY = 3
 _CODE_LEN = (1 << 31) - 1
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with a row key, _k1 and _k2."""
+    return docs.withColumn("_k1", F.xxhash64("doc_id", "text")).withColumn("_k2", F.xxhash64("text", "doc_id", F.lit(1)))
+
+
 def _chunked(docs: DataFrame, window: int, every: int) -> DataFrame:
-    """docs with _k1 and _k2 (row key), _lines, _hashes and _chunks (first line and number of lines of each chunk in one long)."""
-    keyed = docs.withColumn("_k1", F.xxhash64("doc_id", "text")).withColumn("_k2", F.xxhash64("text", "doc_id", F.lit(1)))
-    hashed = keyed.withColumn("_lines", F.split("text", "\n")).withColumn("_hashes", F.expr("transform(_lines, x -> xxhash64(x))"))
+    """docs with _lines, _hashes and _chunks (first line and number of lines of each chunk in one long)."""
+    hashed = docs.withColumn("_lines", F.split("text", "\n")).withColumn("_hashes", F.expr("transform(_lines, x -> xxhash64(x))"))
     rolling = ", ".join(f"get(_hashes, i - {k})" for k in range(1, window))
     ends = f"filter(sequence(0, size(_hashes) - 1), i -> i = size(_hashes) - 1 or pmod(xxhash64(get(_hashes, i), {rolling}), {every}) = 0)"
     cut = hashed.withColumn("_ends", F.expr(f"case when size(_hashes) > 0 then {ends} end"))
@@ -40,9 +44,9 @@ _START, _LEN = "cast(shiftright({c}, 32) as int)", f"cast({{c}} & {_CODE_LEN}L a
 _SLICE = "slice({a}, " + _START + " + 1, " + _LEN + ")"
 
 
-def repeated_chunks(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> tuple[DataFrame, DataFrame]:
-    """The table of chunked texts, and (_k1, _k2, _gone: codes of chunks to remove) for rows that lose any."""
-    texts = _chunked(docs.select("doc_id", "text"), window, every)
+def repeated_chunks(keyed: DataFrame, dealt: DataFrame, window: int, every: int) -> DataFrame:
+    """(_k1, _k2, _gone: codes of chunks to remove) for rows that lose any. dealt is keyed, dealt by its key."""
+    texts = _chunked(keyed.select("_k1", "_k2", "text"), window, every)
     multi = "filter(_chunks, c -> (c & {m}L) > 1)".format(m=_CODE_LEN)
     spread = texts.select("_k1", "_k2", F.explode(F.expr(f"transform({multi}, c -> named_struct('code', c, 'hash', xxhash64({_SLICE.format(a='_hashes', c='c')})))")).alias("c"))
     hashes = spread.select("_k1", "_k2", "c.hash", "c.code")
@@ -51,21 +55,21 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -
     seen = hashes.groupBy("hash").agg(*ranges).where("_k1_min != _k1_max or _k2_min != _k2_max or code_min != code_max").select("hash")
     wanted = hashes.join(seen, "hash").groupBy("_k1", "_k2").agg(F.collect_set("code").alias("_maybe"))
 
-    # Texts meet their candidates by row key; texts are shuffled here, and the same exchange serves remove().
-    own = texts.select("_k1", "_k2", "doc_id", "_lines").join(wanted, ["_k1", "_k2"])
+    # Texts meet their candidates where they are dealt by row key: bare texts are shuffled, once for this and for the removal.
+    own = dealt.select("_k1", "_k2", "doc_id", "text").join(wanted, ["_k1", "_k2"]).withColumn("_lines", F.split("text", "\n"))
     pick = f"transform(_maybe, c -> named_struct('code', c, 'text', array_join({_SLICE.format(a='_lines', c='c')}, '\n'), 'worded', size(filter({_SLICE.format(a='_lines', c='c')}, x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]'))))"
     chunks = own.select("_k1", "_k2", "doc_id", F.explode(F.expr(pick)).alias("c")).where("c.worded > 1").select("_k1", "_k2", "doc_id", "c.code", "c.text")
     place = F.struct("doc_id", "_k1", "_k2", "code")
     firsts = chunks.groupBy("text").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("text", "first")
-    gone = chunks.join(firsts, "text").where(F.col("first") != place).groupBy("_k1", "_k2").agg(F.collect_set("code").alias("_gone"))
-    return texts, gone
+    return chunks.join(firsts, "text").where(F.col("first") != place).groupBy("_k1", "_k2").agg(F.collect_set("code").alias("_gone"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
     """docs with text reduced, and _n_lines, _n_removed (lines), _n_gone (chunks)."""
-    _, gone = repeated_chunks(docs, window, every)
-    texts = _chunked(docs, window, every)
-    out = texts.join(gone, ["_k1", "_k2"], "left")
+    keyed = _keyed(docs)
+    dealt = keyed.repartition("_k1", "_k2")
+    gone = repeated_chunks(keyed, dealt, window, every)
+    out = _chunked(dealt.join(gone, ["_k1", "_k2"], "left"), window, every)
     kept = f"array_join(transform(array_except(_chunks, _gone), c -> array_join({_SLICE.format(a='_lines', c='c')}, '\n')), '\n')"
     out = out.withColumn("text", F.expr(f"case when _gone is null then text else {kept} end"))
     out = out.withColumn("_n_lines", F.expr("cast(coalesce(size(_lines), 0) as bigint)")).withColumn("_n_lines", F.greatest("_n_lines", F.lit(0)))
