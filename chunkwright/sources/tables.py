@@ -72,7 +72,7 @@ def write_chunks(df: DataFrame, path: str, codec: str | None = None, by: tuple[s
 
 
 def pin_snapshot(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
-    """(table, file, bytes, modified, n_rows) of the files that make up each table now."""
+    """(table, file, bytes, modified, n_rows) of the files that make up each table. Write it to keep it: the frame itself lists them anew."""
     parts = []
     for name, path in sources.items():
         meta = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), F.col("_metadata.file_modification_time").alias("modified"))
