@@ -5,7 +5,7 @@ block every dimension has a posting segment for each quantised value (the value
 query a segment's impact is the least that it adds to the score, above the least of its dimension. Segments of all
 dimensions are taken by descending impact and added to one accumulator for each row. What is still to come in a
 dimension is at most the impact of its next segment, so accumulator + sum of these bounds a row from above and the
-accumulator alone from below. Work stops only when that proves all but a few rows out; the rest are rescored with
+accumulator alone from below. Work stops only when that proves all but RESCORED rows out; the rest are rescored with
 whole-number inner products. Per block the k + 1 best leave (one may be the query itself), and a window takes
 the best k of all blocks, ties to the smaller id.
 
@@ -22,9 +22,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS, QUERY_ROWS = 8192, 512
-LEVELS = 128
-CHECK_EVERY = 256
+BLOCK_ROWS, QUERY_ROWS = 32768, 512
+#: Rows that a proof may leave to be rescored.
+RESCORED = 1024
+LEVELS = 64
+CHECK_EVERY = 128
 
 
 class ImpactIndex:
@@ -87,7 +89,7 @@ class ImpactIndex:
             if i % CHECK_EVERY == CHECK_EVERY - 1:
                 kth = np.partition(score, n - k)[n - k]
                 alive = np.flatnonzero(score + rest >= kth)
-                if len(alive) <= 4 * k:
+                if len(alive) <= max(RESCORED, 4 * k):
                     return alive
         kth = np.partition(score, n - k)[n - k]
         return np.flatnonzero(score + rest >= kth)
