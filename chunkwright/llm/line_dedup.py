@@ -66,7 +66,8 @@ def repeated_chunks(keyed: DataFrame, dealt: DataFrame, window: int, every: int)
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
     """docs with text reduced, and _n_lines, _n_removed (lines), _n_gone (chunks)."""
-    keyed = _keyed(docs)
+    own = ("doc_id", "text")
+    keyed = _keyed(shared.hidden(docs, own))
     dealt = keyed.repartition("_k1", "_k2")
     gone = repeated_chunks(keyed, dealt, window, every)
     out = _chunked(dealt.join(gone, ["_k1", "_k2"], "left"), window, every)
@@ -76,8 +77,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, every: int = EVERY) ->
     out = out.withColumn("_n_gone", F.expr("cast(coalesce(size(_gone), 0) as bigint)")).withColumn("_n_gone", F.greatest("_n_gone", F.lit(0)))
     out = out.withColumn("_n_removed", F.expr(f"coalesce(aggregate(_gone, 0L, (n, c) -> n + (c & {_CODE_LEN}L)), 0L)"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns, "_n_lines", "_n_removed", "_n_gone")
+        out = out.withColumn("_in_n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return shared.shown(out, docs, own, ("_n_lines", "_n_removed", "_n_gone"))
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:

@@ -28,6 +28,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hidden(docs: DataFrame, own: tuple[str, ...]) -> DataFrame:
+    """docs with all columns but its own renamed, so that they can't clash with those that an operator adds."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in own else f"_in_{c}") for c in docs.columns])
+
+
+def shown(df: DataFrame, docs: DataFrame, own: tuple[str, ...], more: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of docs by their names again, and more; a column of docs that is named as one of these gives way."""
+    return df.select(*[F.col(f"`{c if c in own else f'_in_{c}'}`").alias(c) for c in docs.columns if c not in more], *more)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
