@@ -1,9 +1,10 @@
 """Quality rules as a short-circuit cascade.
 
 Every text gets its base counts. Texts that pass the base limits go through the rules of RULES one after another;
-a rule sees only what all rules before it let through. The order comes from a bounded sample (SAMPLE_ROWS): each
-rule runs alone on it, and rules are sorted by rejected rows per second. The order changes the work, never the
-verdict: a text is kept if no rule rejects it.
+a rule sees only what all rules before it let through. The order comes from a bounded sample, the first SAMPLE_ROWS
+texts that a task meets: each rule runs alone on it, and rules are sorted by rejected rows per second. So no second
+pass, shuffle or message to the driver is needed for it. The order changes the work, never the verdict: a text is
+kept if no rule rejects it, so a task that runs again may time its rules otherwise and still returns the same rows.
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D; lines are split at \\n. A null text has no words, so it
 fails the base limits and isn't kept; so does an empty one. Texts of any length are read whole. doc_id may be null
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunkwright.llm import shared
 
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 200
 GROUP_BYTES = 4 << 20
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -132,70 +133,68 @@ def groups(texts: list[bytes], most: int = GROUP_BYTES) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
-def judge(texts: list[bytes | None], order: list[str]) -> dict[str, np.ndarray]:
-    """Counts, base_failed and kept of each text."""
-    whole, parts = [t or b"" for t in texts], []
-    for run in groups(whole):
-        own = whole[run]
-        c = base_counts(own)
-        failed = base_failed(c)
-        alive = np.flatnonzero(~failed)
-        for name in order:
+class Cascade:
+    """Rules in the order that its own first texts suggest."""
+
+    def __init__(self, sample_rows: int = SAMPLE_ROWS):
+        self.left, self.order = sample_rows, list(RULES)
+        self.took, self.hits = dict.fromkeys(RULES, 1e-6), dict.fromkeys(RULES, 0.5)
+
+    def _sample(self, texts: list[bytes], c: dict[str, np.ndarray]) -> None:
+        for name, rule in RULES.items():
+            began = time.perf_counter()
+            self.hits[name] += int(np.sum(rule(texts, c)))
+            self.took[name] += time.perf_counter() - began
+        self.left -= len(texts)
+        self.order = sorted(RULES, key=lambda r: -self.hits[r] / self.took[r])
+
+    def _passed(self, texts: list[bytes], c: dict[str, np.ndarray]) -> np.ndarray:
+        """Indexes of the texts that no rule rejects, of those that passed the base limits."""
+        alive = np.flatnonzero(~base_failed(c))
+        if self.left > 0 and len(alive):
+            pick = alive[: self.left]
+            self._sample([texts[i] for i in pick], {k: v[pick] for k, v in c.items()})
+        for name in self.order:
             if not len(alive):
                 break
-            alive = alive[~RULES[name]([own[i] for i in alive], {k: v[alive] for k, v in c.items()})]
-        kept = np.zeros(len(own), bool)
-        kept[alive] = True
-        parts.append({k: c[k] for k in COUNTS} | {"base_failed": failed, "kept": kept})
-    return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in (*COUNTS, "base_failed", "kept")}
+            alive = alive[~RULES[name]([texts[i] for i in alive], {k: v[alive] for k, v in c.items()})]
+        return alive
+
+    def judge(self, texts: list[bytes | None]) -> dict[str, np.ndarray]:
+        """Counts, base_failed and kept of each text."""
+        whole, parts = [t or b"" for t in texts], []
+        for run in groups(whole):
+            c = base_counts(whole[run])
+            kept = np.zeros(len(c["n_words"]), bool)
+            kept[self._passed(whole[run], c)] = True
+            parts.append({k: c[k] for k in COUNTS} | {"base_failed": base_failed(c), "kept": kept})
+        return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in (*COUNTS, "base_failed", "kept")}
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
 
 
-def rule_order(docs: DataFrame) -> list[str]:
-    """Rules by rejections per second on the sample, most first; measured in a task, which returns a row for each rule."""
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or b"" for t in _texts(batch)]
-            for run in groups(texts):
-                own, c = texts[run], base_counts(texts[run])
-                pick = np.flatnonzero(~base_failed(c))
-                own, c = [own[i] for i in pick], {k: v[pick] for k, v in c.items()}
-                took, hits = [], []
-                for f in RULES.values():
-                    t = time.perf_counter()
-                    hits.append(int(np.sum(f(own, c))))
-                    took.append(time.perf_counter() - t)
-                yield pa.RecordBatch.from_pydict({"rule": list(RULES), "took": took, "hits": hits})
-
-    seen = docs.select("text").limit(SAMPLE_ROWS).mapInArrow(measure, "rule string, took double, hits long").groupBy("rule").sum("took", "hits").collect()
-    worth = {r[0]: (r[2] + 0.5) / (r[1] + 1e-6) for r in seen}
-    return sorted(RULES, key=lambda r: -worth.get(r, 0))
-
-
-def quality_scores(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
+def quality_scores(docs: DataFrame) -> DataFrame:
     """doc_id, counts, base_failed and kept of every row, in one pass without a shuffle."""
-    order = order or rule_order(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cascade = Cascade()
         for batch in batches:
-            out = judge(_texts(batch), order)
+            out = cascade.judge(_texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), *(pa.array(out[k], pa.int64()) for k in COUNTS), *(pa.array(out[k], pa.bool_()) for k in ("base_failed", "kept"))], names=["doc_id", *COUNTS, "base_failed", "kept"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {', '.join(f'{k} long' for k in COUNTS)}, base_failed boolean, kept boolean")
 
 
-def keep_quality(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
+def keep_quality(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
-    order = order or rule_order(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cascade = Cascade()
         for batch in batches:
-            yield batch.filter(pa.array(judge(_texts(batch), order)["kept"], pa.bool_()))
+            yield batch.filter(pa.array(cascade.judge(_texts(batch))["kept"], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
