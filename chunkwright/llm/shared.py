@@ -2,12 +2,53 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_WORKER: dict = {}
+
+
+def worker_memory(owner: str) -> dict:
+    """What a Python worker keeps between the tasks of one operator. Spark uses workers again, so what another operator kept goes."""
+    if _WORKER.get("owner") != owner:
+        _WORKER.clear()
+        _WORKER["owner"] = owner
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+    return _WORKER.setdefault("memory", {})
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of which Python objects can be made at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each context, so that Python workers can import it wherever they run."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(context, "_chunkwright_shipped", False):
+        return
+    path = Path(tempfile.mkdtemp(prefix="spark-ship-")) / "chunkwright.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(path))
+    context._chunkwright_shipped = True
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (spark.checkpoint.dir). Where it is unset, as in tests, a local one is made and set."""

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from chunkwright.llm import shared
 
 BLOCK_IDS = 1 << 20
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 GROUP_CHARS = 2 << 20
 MAGIC = b"TPK1"
 HEAD = struct.Struct("<4sHIQ")
@@ -91,7 +91,6 @@ class Block:
 
 #: A space between two characters that aren't white space: a byte-level piece always begins there.
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
-_UNSAFE = re.compile(r"\s \S|\S \s|\s\s| $|^ ")
 
 
 class RunEncoder:
@@ -108,50 +107,99 @@ class RunEncoder:
         self.opens = np.zeros(self.size, bool)
         for token, i in self.lib.get_vocab(with_added_tokens=False).items():
             self.opens[i] = token.startswith("Ġ")
-        self.known: dict[str, np.ndarray] = {}
-
-    def learn(self, runs: list[str]) -> None:
-        """Runs " x" are encoded as one text " x y z": each begins with the only ids that open with a space."""
-        joined = [r for r in runs if r[:1] == " " and r.count(" ") == 1]
-        alone = [r for r in runs if not (r[:1] == " " and r.count(" ") == 1)]
-        batches = [joined[i : i + 2000] for i in range(0, len(joined), 2000)]
-        for own, e in zip(batches, self.lib.encode_batch_fast(["".join(b) for b in batches], add_special_tokens=False), strict=True):
+        #: Run without the space before it -> ids of both, as little-endian unsigned 32-bit integers; None if a cut next to it isn't safe.
+        self.spaced: dict[str, bytes | None] = {}
+        #: What was known when the memory was last full: runs that come again move back.
+        self.before: dict[str, bytes | None] = {}
+        #: Run as it is -> ids: first runs of texts, and runs of texts that were cut with more care.
+        self.plain: dict[str, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_plain(self, runs: list[str]) -> None:
+        for i in range(0, len(runs), 2000):
+            own = runs[i : i + 2000]
+            self.plain.update(zip(own, self._encoded(own), strict=True))
+
+    def _learn_spaced(self, runs: list[str]) -> None:
+        """Runs are encoded as one text " x y z": each begins with the only ids that open with a space."""
+        batches, alone = [runs[i : i + 2000] for i in range(0, len(runs), 2000)], []
+        for own, e in zip(batches, self.lib.encode_batch_fast([" " + " ".join(b) for b in batches], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4")
-            cuts = np.flatnonzero(self.opens[ids])
+            cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
             if len(cuts) == len(own) and cuts[0] == 0:
-                self.known.update(zip(own, np.split(ids, cuts[1:]), strict=True))
+                raw = ids.tobytes()
+                self.spaced.update(zip(own, [raw[s:e] for s, e in zip(cuts, [*cuts[1:], len(raw)], strict=True)], strict=True))
             else:
                 alone += own
-        for i in range(0, len(alone), 2000):
-            own = alone[i : i + 2000]
-            self.known.update((r, np.array(e.ids, "<u4")) for r, e in zip(own, self.lib.encode_batch_fast(own, add_special_tokens=False), strict=True))
-
-    @staticmethod
-    def runs(text: str) -> list[str]:
-        if not text:
-            return []
-        if _UNSAFE.search(text):
-            return _SAFE.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        self._learn_plain([" " + r for r in alone])
+        self.spaced.update((r, self.plain[" " + r]) for r in alone)
+
+    def _learn(self, new: set[str]) -> None:
+        """Makes runs known. A comma or full stop behind a letter, and a line's end between other characters, are pieces of their own, so such runs are put together from their parts."""
+        spaced, plain = self.spaced, self.plain
+        # White space at a border of a run: the pieces there may reach over the space.
+        unsafe = {r for r in new if not r or r[0].isspace() or r[-1].isspace()}
+        spaced.update(dict.fromkeys(unsafe))
+        lines, marked, whole, lone = {}, [], set(), set()
+        for r in new - unsafe:
+            parts = r.split("\n") if "\n" in r else ()
+            if parts and not any(not x or x[0].isspace() or x[-1].isspace() for x in parts):
+                lines[r] = parts
+                lone.update(x for x in parts[1:] if x not in plain)
+                r = parts[0]
+                if r in spaced:
+                    continue
+            if r[-1] in ",." and r[:-1].isalpha():
+                marked.append(r)
+                r = r[:-1]
+            if r not in spaced:
+                whole.add(r)
+        self._learn_spaced(list(whole))
+        self._learn_plain(list(lone))
+        for r in marked:
+            spaced[r] = spaced[r[:-1]] + plain[r[-1]]
+        for r, parts in lines.items():
+            spaced[r] = spaced[parts[0]] + b"".join([plain["\n"] + plain[x] for x in parts[1:]])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.runs(t) for t in texts]
-        new = set().union(*cut) if cut else set()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-        self.learn([r for r in new if r not in self.known])
-        known, none = self.known, np.zeros(0, "<u4")
-        return [np.concatenate([known[r] for r in c]) if c else none for c in cut]
-
-
-_LOADED: dict[str, RunEncoder] = {}
+        cut = [t.split(" ") for t in texts]
+        firsts = [c.pop(0) for c in cut]
+        here = set().union(*cut)
+        if len(self.spaced) + len(here) > REMEMBERED:
+            self.before, self.spaced = self.spaced, {}
+        if len(self.plain) > REMEMBERED:
+            self.plain = {}
+        plain, before = self.plain, self.before
+        self._learn_plain([r for r in {*firsts, ",", ".", "\n"} if r not in plain])
+        spaced = self.spaced
+        new = here - spaced.keys()
+        spaced.update((r, before[r]) for r in new & before.keys())
+        self._learn(new - before.keys())
+        get = {r: spaced[r] for r in here}.__getitem__  # small, so it stays near the CPU
+        ids, again = [], []
+        for i, (f, c) in enumerate(zip(firsts, cut, strict=True)):
+            try:
+                ids.append(plain[f] + b"".join(map(get, c)))
+                if c and (not f or f[-1].isspace()):
+                    again.append(i)
+            except TypeError:  # a run isn't safe
+                ids.append(b"")
+                again.append(i)
+        if again:
+            slow = [_SAFE.split(texts[i]) for i in again]
+            self._learn_plain(list({r for c in slow for r in c if r not in plain}))
+            for i, c in zip(again, slow, strict=True):
+                ids[i] = b"".join([plain[r] for r in c])
+        return [np.frombuffer(x, "<u4") for x in ids]
 
 
 def loaded(path: str) -> RunEncoder:
-    if path not in _LOADED:
-        _LOADED[path] = RunEncoder(path)
-    return _LOADED[path]
+    memory = shared.worker_memory("token_pack")
+    if path not in memory:
+        memory[path] = RunEncoder(path)
+    return memory[path]
 
 
 def _blocks(path: str, end_id: int, block_ids: int):
@@ -190,7 +238,7 @@ def _blocks(path: str, end_id: int, block_ids: int):
 def write_packed(docs: DataFrame, path: str, end_id: int, block_ids: int = BLOCK_IDS, part_bytes: int = 16 << 20) -> DataFrame:
     """The table of blocks, written and read again. Texts are shuffled once, to ranges of doc_id."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    dealt = rows.repartitionByRange(shared.parts_for(docs, part_bytes), F.col("doc_id").asc_nulls_first(), "text").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    dealt = rows.repartitionByRange(shared.parts_for(docs, part_bytes), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     return shared.written(dealt.mapInArrow(_blocks(path, end_id, block_ids), "part long, block long, n_ids long, data binary"), "tokens")
 
 
