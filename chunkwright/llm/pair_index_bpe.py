@@ -71,11 +71,11 @@ class PairIndexBpe:
             pair = self.vocab[a], self.vocab[b]
             self.merges.append((*pair, self.vocab[a + b]))
             self.rank[pair] = r
-        self.known: dict[bytes, tuple[bytes, bytes]] = {}
-        self.pieces: dict[bytes, list[int]] = {}
+        #: Run -> ids as little-endian unsigned 32-bit integers.
+        self.known: dict[bytes, bytes] = {}
 
-    def merge(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece, which isn't empty."""
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids, as bytes, of each piece, which isn't empty."""
         size = np.array([len(p) for p in pieces])
         data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum(size) - 1
@@ -138,8 +138,9 @@ class PairIndexBpe:
                     break
         flat = np.array(sym, np.int64)
         keep = flat >= 0
-        counts = np.add.reduceat(keep, ends - size + 1)
-        return [x.tolist() for x in np.split(flat[keep], np.cumsum(counts)[:-1])]
+        cuts = (4 * np.cumsum(np.add.reduceat(keep, ends - size + 1))).tolist()
+        raw = flat[keep].astype("<u4").tobytes()
+        return [raw[s:e] for s, e in zip([0, *cuts[:-1]], cuts, strict=True)]
 
     def _cut(self, run: str) -> list[bytes]:
         if _lowers_alone(run):
@@ -154,42 +155,34 @@ class PairIndexBpe:
             text = run.decode()
             parts = self.added_split.split(text) if b"<" in run else [text]
             cut[run] = [x for i, p in enumerate(parts) if p for x in ([self.added[p]] if i % 2 else self._cut(p))]
-        new = list({p for c in cut.values() for p in c if isinstance(p, bytes)} - self.pieces.keys())
-        if new:
-            self.pieces.update(zip(new, self.merge(new), strict=True))
+        new = list({p for c in cut.values() for p in c if isinstance(p, bytes)})
+        pieces = dict(zip(new, self.merge(new), strict=True)) if new else {}
         for run, c in cut.items():
-            ids = [i for p in c for i in ((p,) if isinstance(p, int) else self.pieces[p])]
-            self.known[run] = np.array(ids, "<u4").tobytes(), " ".join([self.names[i] for i in ids]).encode()
+            self.known[run] = b"".join([p.to_bytes(4, "little") if isinstance(p, int) else pieces[p] for p in c])
 
-    def encode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """For each text its ids as little-endian unsigned 32-bit integers, and the ids decoded, in UTF-8."""
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         runs = [t.split() for t in texts]
         new = set().union(*runs) if runs else set()
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.pieces = {}, {}
+            self.known = {}
         else:
             new -= self.known.keys()
         if new:
             self.learn(new)
-        known = self.known
-        out = []
-        for r in runs:
-            got = [known[x] for x in r]
-            out.append((b"".join([x[0] for x in got]), b" ".join([x[1] for x in got if x[1]])))
-        return out
+        get = self.known.__getitem__
+        return [b"".join(map(get, r)) for r in runs]
 
     def decode(self, ids: bytes) -> str:
         """As the file has no decoder, tokens are joined with spaces."""
-        return " ".join([self.names[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
-
-_LOADED: dict[str, PairIndexBpe] = {}
+        return " ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def loaded(path: str) -> PairIndexBpe:
-    if path not in _LOADED:
-        _LOADED[path] = PairIndexBpe(path)
-    return _LOADED[path]
+    memory = shared.worker_memory("pair_index_bpe")
+    if path not in memory:
+        memory[path] = PairIndexBpe(path)
+    return memory[path]
 
 
 def vocabulary_path() -> str:
@@ -216,13 +209,16 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
-        for batch in batches:
+        for batch in shared.small_batches(batches, 1024):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            rows = [x for own in groups(texts) for x in bpe.encode(own)]
-            cols = {"doc_id": batch.column(0), "n_tokens": pa.array([len(i) // 4 for i, _ in rows], pa.int64())}
-            cols |= {"ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i, _ in rows], pa.string()), "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for _, d in rows], pa.string())}
+            ids = [x for own in groups(texts) for x in bpe.encode(own)]
+            decoded = map(bpe.decode, ids)
+            if keep_ids:
+                decoded = list(decoded)
+            cols = {"doc_id": batch.column(0), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64())}
+            cols |= {"ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()), "decoded_sha256": pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string())}
             if keep_ids:
-                cols |= {"ids": pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i, _ in rows], pa.list_(pa.int32())), "decoded": pa.array([d.decode() for _, d in rows], pa.string())}
+                cols |= {"ids": pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in ids], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
             yield pa.RecordBatch.from_pydict(cols)
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -179,8 +179,9 @@ def quality_scores(docs: DataFrame) -> DataFrame:
     """doc_id, counts, base_failed and kept of every row, in one pass without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.worker_memory("quality_rules")
         cascade = Cascade()
-        for batch in batches:
+        for batch in shared.small_batches(batches):
             out = cascade.judge(_texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), *(pa.array(out[k], pa.int64()) for k in COUNTS), *(pa.array(out[k], pa.bool_()) for k in ("base_failed", "kept"))], names=["doc_id", *COUNTS, "base_failed", "kept"])
 
@@ -192,8 +193,9 @@ def keep_quality(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.worker_memory("quality_rules")
         cascade = Cascade()
-        for batch in batches:
+        for batch in shared.small_batches(batches):
             yield batch.filter(pa.array(cascade.judge(_texts(batch))["kept"], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

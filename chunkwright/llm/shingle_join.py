@@ -227,6 +227,7 @@ def shingle_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, o
     blocks = rows.groupBy("block")
 
     def describe(key: tuple, table: pa.Table) -> pa.Table:
+        shared.worker_memory("shingle_join")
         out, seen = [], set()
         for row, (doc_id, text) in enumerate(_rows(table)):
             s = shingle_set(text, words)
@@ -245,6 +246,7 @@ def shingle_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, o
     wanted = single.join(shared_keys, "key").select("block", "row", "cls", "key", "total")
 
     def send(key: tuple, table: pa.Table, heard: pa.Table) -> pa.Table:
+        shared.worker_memory("shingle_join")
         schema = _schema(bucket=pa.int64(), keys=pa.binary(), classes=pa.binary(), which=pa.binary(), ends=pa.binary(), texts=pa.binary())
         if not heard.num_rows:
             return pa.Table.from_pylist([], schema)
@@ -271,6 +273,7 @@ def shingle_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, o
         return pa.Table.from_pylist(out, schema)
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
+        shared.worker_memory("shingle_join")
         place: dict[bytes, int] = {}
         sets: list[np.ndarray] = []
         groups: dict[int, list[int]] = {}
