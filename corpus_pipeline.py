@@ -17,8 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go from texts; no row goes."""
-    return line_dedup.dedup_lines(docs)
+    """Repeated runs of lines go from texts; no row goes."""
+    return line_dedup.dedup_lines(docs, whole_runs=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

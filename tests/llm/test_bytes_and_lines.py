@@ -114,3 +114,58 @@ def test_borders_resist_shifts(spark):
     df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(["a new first line", *lines]))], "doc_id long, text string")
     kept = {r.doc_id: len(r.text.split("\n")) for r in line_dedup.dedup_lines(df).collect()}
     assert kept[1] == 60 and kept[2] < 40
+
+
+WORDED = re.compile(r"[^\x20\x09-\x0D]")
+
+
+def brute_runs(docs):
+    """Numbers of the lines that lie in a run of two or more lines with words, with blank ones between, which an earlier place has."""
+    seen, out = set(), {}
+    for i, t in docs:
+        lines = t.split("\n")
+        at = [k for k, x in enumerate(lines) if WORDED.search(x)]
+        lost = set()
+        for a, b in zip(at, at[1:], strict=False):
+            run = "\n".join(lines[a : b + 1])
+            if run in seen:
+                lost |= set(range(a, b + 1))
+            seen.add(run)
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in lost)
+    return out
+
+
+def passages(seed, n=120):
+    """Each text has lines of its own around one to three passages, of two to five lines of 25 words each, that others have too."""
+    rng = random.Random(seed)
+    line = lambda tag: " ".join(f"{tag}{rng.randint(0, 10**9)}" for _ in range(25))
+    shared_ = [[line("p") if k % 3 != 2 else "" for k in range(rng.randint(2, 5))] for _ in range(25)]
+    texts = []
+    for i in range(n):
+        parts = [line("own") for _ in range(rng.randint(0, 3))]
+        for p in rng.sample(shared_, rng.randint(1, 3)):
+            parts += [*p, line("own")]
+        texts.append((i, "\n".join(parts)))
+    return texts
+
+
+def test_whole_runs_go(spark):
+    docs = passages(5)
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), whole_runs=True)
+    assert {r.doc_id: r.text for r in got.collect()} == brute_runs(docs)
+
+
+def test_whole_runs_of_the_table(spark, sf):
+    df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id is not null and text is not null").dropDuplicates(["doc_id"]).localCheckpoint()
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, whole_runs=True).collect()}
+    assert got == brute_runs(sorted(tuple(r) for r in df.collect()))
+
+
+def test_whole_runs_odd(spark):
+    df = documents(spark)
+    out = line_dedup.remove_repeats(df, whole_runs=True)
+    got = {r.doc_id: r for r in out.where("doc_id is not null").collect()}
+    assert out.count() == df.count() and out.select(*CLASHING).distinct().count() == 1
+    assert got[7].text.count("\n") == 2 and (got[8].text, got[8]._n_lines, got[8]._n_removed) == ("an end", 4, 3)
+    assert got[4].text is None and got[5].text == "" and got[9].text == " \t\n" and got[6]._n_removed == 0
+    assert line_dedup.remove_repeats(empty(spark), whole_runs=True).count() == 0
