@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunkwright.llm import line_dedup, pair_index_bpe, quality_rules, shared, shingle_join, source_mix
 
+#: Near duplicates of a corpus: shingles of five words, Jaccard similarity 0.8. op8_shingle_join has parameters of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that a rule rejects go."""
@@ -23,7 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked texts the one with the smallest doc_id stays."""
-    return shingle_join.keep_one(docs)
+    return shingle_join.keep_one(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

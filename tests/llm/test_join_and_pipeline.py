@@ -134,3 +134,11 @@ def test_pipeline_is_its_stages(spark, sf):
     final = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in final.collect()} == one and len(corpus_pipeline.STAGES) == 5
     assert final.where(F.size("ids") != F.col("n_tokens")).isEmpty()
+
+
+def test_near_duplicates_at_80_percent(spark):
+    words = [f"w{i}" for i in range(120)]
+    docs = spark.createDataFrame([(1, " ".join(words[:100])), (2, " ".join(words)), (3, " ".join([*words[:100], *(f"x{i}" for i in range(30))]))], "doc_id long, text string")
+    # Five words: 96 of 116 shingles link 1 and 2, 96 of 126 don't link 1 and 3.
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [1, 3]
+    assert shingle_join.keep_one(docs).count() == 3  # four words, 85 %
