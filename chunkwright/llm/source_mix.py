@@ -1,14 +1,20 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Rows of a source are put in a fixed order and cut to blocks of BLOCK_ROWS. Weights become whole quotas q that add up
-to FRAME slots. Block k of a source with quota q has the release time floor(k * FRAME / q) and the deadline
-ceil((k + 1) * FRAME / q); each slot takes the released block with the earliest deadline. So after any number of
-slots a source is less than one block away from its share. All releases and deadlines repeat every FRAME slots, so
-the schedule of one frame, made once, gives the slot of any block by a division: blocks are not walked one by one.
-
-No row is dropped or repeated. When a source has no blocks left, a new phase begins in which the others share all
-slots by their weights. There are at most as many phases as sources, and at most MAX_SOURCES sources of their own;
-smaller ones beyond that share one pool, by the sum of their weights. That bounds what the driver holds.
+Rows of a source are put in a fixed order and cut to blocks of BLOCK_ROWS. The ideal mix gives each source that has
+blocks left its exact weight's share of each slot; with V slots for each unit of weight so far, T(V) = sum of min(w * V, n)
+slots are filled, where n is a source's blocks. Block k of a source with weight w has the release time floor(T(k / w)) and
+the deadline ceil(T((k + 1) / w)); each slot takes the released block with the earliest deadline. The ideal mix keeps all
+those times, so this does too: over the whole schedule, also where sources run out, a source is less than one block
+away from its share by weight. Weights aren't rounded. The schedule is one pass over blocks (not rows) on the driver, which
+holds WINDOW slots of it at a time and writes them to the shared folder.
+
+With a frame, weights become whole quotas q that add up to frame slots, at least one each, and the bound holds for these
+rounded shares within a phase only. Releases floor(k * frame / q) and deadlines ceil((k + 1) * frame / q) repeat every
+frame, so one frame's schedule gives the slot of any block by a division. When a source has no blocks left, a new phase
+begins in which the others share all slots by their weights.
+
+No row is dropped or repeated. At most MAX_SOURCES sources are of their own; smaller ones beyond that share one pool, by
+the sum of their weights. That bounds what the driver holds.
 
 A null source is a source of its own. Rows may repeat and doc_id may be null; order within a source is by a hash of
 doc_id, then doc_id, so it looks shuffled and is the same in every run (rows that share a doc_id may swap places).
@@ -20,21 +26,65 @@ from __future__ import annotations
 import heapq
 import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunkwright.llm import shared
 
 BLOCK_ROWS = 32
-FRAME = 1000
+WINDOW = 1 << 17
 MAX_SOURCES = 200
 BUCKET_ROWS = 20_000
 LEAST_BUCKETS = 256
 POOL, NO_SOURCE = "*", "(none)"
 
 
+def schedule(blocks: list[int], weights: list[float], window: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(source, block) of each slot, about a window of slots at a time. Weights are above 0; sources without blocks have no slots."""
+    n, w = np.array(blocks, np.int64), np.array(weights, np.float64)
+    if not n.sum():
+        return
+    w = w / w.sum()
+    order = np.argsort(n / w)
+    ends = (n / w)[order]  # V at which each source runs out
+    spent = np.concatenate([[0], np.cumsum(n[order])]).astype(float)
+    live = np.concatenate([np.cumsum(w[order][::-1])[::-1], [0.0]])
+
+    def slots_at(v: np.ndarray) -> np.ndarray:
+        gone = np.searchsorted(ends, v, "left")
+        t = spent[gone] + v * live[gone]
+        near = np.rint(t)
+        return np.where(np.abs(t - near) < 1e-9 * np.maximum(1, near), near, t)
+
+    edges = np.interp(np.arange(window, int(n.sum()), window), np.concatenate([[0.0], slots_at(ends)]), np.concatenate([[0.0], ends]))
+    ready: list[tuple[int, int, int]] = []
+    slot, done, out = 0, np.zeros(len(n), np.int64), []
+    for v in [*edges.tolist(), None]:
+        upto = n if v is None else np.maximum(done, np.minimum(n, np.ceil(v * w).astype(np.int64)))
+        more = upto - done
+        s = np.repeat(np.arange(len(n)), more)
+        k = np.arange(len(s)) - np.repeat(np.cumsum(more) - more, more) + done[s]
+        release, deadline = np.floor(slots_at(k / w[s])).astype(np.int64), np.ceil(slots_at((k + 1) / w[s])).astype(np.int64)
+        by = np.lexsort((deadline, release))
+        for at, due, i, b in zip(release[by].tolist(), deadline[by].tolist(), s[by].tolist(), k[by].tolist(), strict=True):
+            while slot < at and ready:
+                out.append(heapq.heappop(ready)[1:])
+                slot += 1
+            heapq.heappush(ready, (due, i, b))
+        while ready and v is None:
+            out.append(heapq.heappop(ready)[1:])
+        done = upto
+        if out:
+            made = np.array(out, np.int64)
+            yield made[:, 0], made[:, 1]
+            out = []
+
+
 def quotas(weights: dict[str, float], frame: int) -> dict[str, int]:
     """Whole slots of a frame by largest remainder, at least one each. frame must be at least the number of weights."""
     total = sum(weights.values())
@@ -93,7 +143,20 @@ _OWN = ("doc_id", "source")
 _MORE = ("mix_block", "mix_slot", "mix_place")
 
 
-def _placed(docs: DataFrame, weights: dict[str, float] | Callable[[dict[str, int]], dict[str, float]] = root_weights, block_rows: int = BLOCK_ROWS, frame: int = FRAME) -> DataFrame:
+def _planned(spark: SparkSession, blocks: dict[str, int], target: dict[str, float]) -> DataFrame:
+    """(p_source, p_block, p_slot) of all blocks."""
+    names = list(blocks)
+    positive = [target[s] for s in names if target[s] > 0]
+    never = min(positive, default=1.0) / 1e6
+    tables, slot = [], 0
+    for s, k in schedule([blocks[s] for s in names], [target[s] if target[s] > 0 else never for s in names]):
+        plan = pa.table({"p_source": pa.array(names, pa.string()).take(pa.array(s)), "p_block": k, "p_slot": np.arange(slot, slot + len(k))})
+        tables.append(shared.written(spark.createDataFrame(plan), "mix_plan"))
+        slot += len(k)
+    return reduce(DataFrame.unionByName, tables) if tables else spark.createDataFrame([], "p_source string, p_block long, p_slot long")
+
+
+def _placed(docs: DataFrame, weights: dict[str, float] | Callable[[dict[str, int]], dict[str, float]] = root_weights, block_rows: int = BLOCK_ROWS, frame: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     named = shared.hidden(docs, _OWN).withColumn("_source", F.coalesce("source", F.lit(NO_SOURCE)))
     top = named.groupBy("_source").count().orderBy(F.desc("count"), "_source").limit(MAX_SOURCES).collect()
@@ -103,19 +166,29 @@ def _placed(docs: DataFrame, weights: dict[str, float] | Callable[[dict[str, int
     rows = {r[0]: r[1] for r in top}
     target = weights(rows) if callable(weights) else weights
     least = min(target.values(), default=1.0)
-    plan = phases({s: -(-n // block_rows) for s, n in rows.items()}, {s: target.get(s, least) for s in rows}, frame)
-    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(plan)), "array<struct<p_source:string,first:bigint,last:bigint,quota:bigint,slots:array<int>,slot0:bigint>>")))
+    target = {s: target.get(s, least) for s in rows}
+    blocks = {s: -(-n // block_rows) for s, n in rows.items()}
 
     buckets = max(LEAST_BUCKETS, -(-sum(rows.values()) // BUCKET_ROWS))
     id_hash = F.xxhash64(F.col("doc_id").cast("string"))
     dealt = named.withColumn("_bucket", F.pmod(id_hash, F.lit(buckets)))
     # Where one source holds a third of all rows, its rows still go to all buckets.
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = dealt.groupBy("_source", "_bucket").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
+    offsets = dealt.groupBy("_source", "_bucket").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    if frame is None:
+        # Each bucket of a source gets the slots of its few hundred blocks, so rows themselves aren't shuffled for the plan.
+        offsets = offsets.withColumn("_first", F.expr(f"_before div {block_rows}")).withColumn("_blocks", F.expr(f"sequence(_first, (_before + count - 1) div {block_rows})"))
+        plan = _planned(spark, blocks, target)
+        slots = offsets.select("_source", "_bucket", F.explode("_blocks").alias("p_block")).join(plan.withColumnRenamed("p_source", "_source"), ["_source", "p_block"])
+        slots = slots.groupBy("_source", "_bucket").agg(F.array_sort(F.collect_list(F.struct("p_block", "p_slot"))).getField("p_slot").alias("_slots"))
+        offsets = offsets.join(slots, ["_source", "_bucket"]).drop("_blocks")
     inside = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy(id_hash, "doc_id"))
-    ranked = dealt.withColumn("_inside", inside).join(offsets, ["_source", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_inside") - 1)
+    ranked = dealt.withColumn("_inside", inside).join(offsets.drop("count"), ["_source", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_inside") - 1)
     ranked = ranked.withColumn("mix_block", F.expr(f"_rank div {block_rows}")).withColumn("mix_place", (F.col("_rank") % block_rows).cast("int"))
-    # The plan has at most MAX_SOURCES sources in as many phases, of FRAME slots each.
+    if frame is None:
+        return ranked.withColumn("mix_slot", F.expr("get(_slots, cast(mix_block - _first as int))"))
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(phases(blocks, target, frame))), "array<struct<p_source:string,first:bigint,last:bigint,quota:bigint,slots:array<int>,slot0:bigint>>")))
+    # The plan has at most as many sources as a frame has slots, in as many phases.
     out = ranked.join(F.broadcast(table), (F.col("_source") == F.col("p_source")) & F.col("mix_block").between(F.col("first"), F.col("last")))
     k = F.col("mix_block") - F.col("first")
     slot = F.col("slot0") + F.expr("(mix_block - first) div quota") * frame + F.element_at("slots", (k % F.col("quota")).cast("int") + 1)
@@ -126,7 +199,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """docs with mix_block (number within the source), mix_slot and mix_place (row within the block).
 
     weights: target weight of each source, or a function from row counts to weights. Sources that are not named get
-    the smallest named weight. block_rows, frame: see above.
+    the smallest named weight, and a weight of 0 counts as a millionth of the smallest. block_rows, frame: see above.
     """
     return shared.shown(_placed(docs, **options), docs, _OWN, _MORE)
 

@@ -113,6 +113,49 @@ def test_mix_deviates_by_less_than_a_block(spark, sf):
         assert all(abs(seen[s] - t * q / 200) < 1 for s, q in quota.items())
 
 
+def ideal(blocks, weights, slots):
+    """Each source's blocks in the ideal mix after 0, 1, ... slots: those with blocks left share all slots by weight."""
+    have, out = dict.fromkeys(blocks, 0.0), []
+    for _ in range(slots + 1):
+        out.append(dict(have))
+        left = 1.0
+        while left > 1e-12 and (live := [s for s in blocks if blocks[s] - have[s] > 1e-12]):
+            total = sum(weights[s] for s in live)
+            step = min(left, *((blocks[s] - have[s]) * total / weights[s] for s in live))
+            for s in live:
+                have[s] += step * weights[s] / total
+            left -= step
+    return out
+
+
+@pytest.mark.parametrize("window", [7, 1000, 1 << 17])
+@pytest.mark.parametrize("weights", [{"a": 0.9999, "b": 0.0001}, {"a": 2**0.5, "b": 3**0.5, "c": 1, "d": 0.001}, {str(i): (1 + i % 17) ** 0.5 for i in range(90)}])
+def test_schedules_keep_to_the_weights(weights, window):
+    blocks = {s: 1 + int(4000 * w**2) % 3001 for s, w in weights.items()} | {"none": 0}
+    weights = weights | {"none": 1.0}
+    names, got = list(blocks), []
+    for s, k in source_mix.schedule(list(blocks.values()), [weights[s] for s in names], window):
+        got += zip(s.tolist(), k.tolist(), strict=True)
+    assert sorted(got) == [(i, k) for i, s in enumerate(names) for k in range(blocks[s])]
+    live, seen = {s: n for s, n in blocks.items() if n}, Counter()
+    for t, want in enumerate(ideal(live, weights, min(len(got), 4000))):
+        assert all(abs(seen[s] - want[s]) < 1 + 1e-6 for s in live), t
+        if t < len(got):
+            assert seen[names[got[t][0]]] == got[t][1]
+            seen[names[got[t][0]]] += 1
+
+
+def test_mix_keeps_to_the_weights_over_many_frames(spark):
+    rows_ = [(i, "b" if i < 12 else "a") for i in range(6000)]
+    weights = {"a": 0.9997, "b": 0.0003}
+    got = source_mix.mix(spark.createDataFrame(rows_, "doc_id long, source string"), weights=weights, block_rows=1).orderBy("mix_slot").collect()
+    assert [r.mix_slot for r in got] == list(range(6000))
+    seen = Counter()
+    for r, want in zip(got, ideal({"a": 5988, "b": 12}, weights, 5999), strict=True):
+        assert all(abs(seen[s] - want[s]) < 1 + 1e-6 for s in "ab")
+        seen[r.source] += 1
+
+
 def test_mix_odd(spark):
     df = documents(spark)
     got = source_mix.mixed_order(df)
