@@ -13,8 +13,8 @@ rounded shares within a phase only. Releases floor(k * frame / q) and deadlines
 frame, so one frame's schedule gives the slot of any block by a division. When a source has no blocks left, a new phase
 begins in which the others share all slots by their weights.
 
-No row is dropped or repeated. At most MAX_SOURCES sources are of their own; smaller ones beyond that share one pool, by
-the sum of their weights. That bounds what the driver holds.
+No row is dropped or repeated, and every source is mixed by its own weight, however many there are. The driver holds a name
+and a few numbers for each source. A frame must have at least as many slots as there are sources.
 
 A null source is a source of its own. Rows may repeat and doc_id may be null; order within a source is by a hash of
 doc_id, then doc_id, so it looks shuffled and is the same in every run (rows that share a doc_id may swap places).
@@ -38,10 +38,9 @@ from chunkwright.llm import shared
 
 BLOCK_ROWS = 32
 WINDOW = 1 << 17
-MAX_SOURCES = 200
 BUCKET_ROWS = 20_000
 LEAST_BUCKETS = 256
-POOL, NO_SOURCE = "*", "(none)"
+NO_SOURCE = "(none)"
 
 
 def schedule(blocks: list[int], weights: list[float], window: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -159,11 +158,10 @@ def _planned(spark: SparkSession, blocks: dict[str, int], target: dict[str, floa
 def _placed(docs: DataFrame, weights: dict[str, float] | Callable[[dict[str, int]], dict[str, float]] = root_weights, block_rows: int = BLOCK_ROWS, frame: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     named = shared.hidden(docs, _OWN).withColumn("_source", F.coalesce("source", F.lit(NO_SOURCE)))
-    top = named.groupBy("_source").count().orderBy(F.desc("count"), "_source").limit(MAX_SOURCES).collect()
-    if len(top) == MAX_SOURCES:
-        named = named.withColumn("_source", F.when(F.col("_source").isin([r[0] for r in top[:-1]]), F.col("_source")).otherwise(F.lit(POOL)))
-        top = named.groupBy("_source").count().collect()
-    rows = {r[0]: r[1] for r in top}
+    top = named.groupBy("_source").count().orderBy("_source").toArrow()
+    rows = dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True))
+    if frame is not None and frame < len(rows):
+        raise ValueError(f"a frame of {frame} slots can't hold {len(rows)} sources")
     target = weights(rows) if callable(weights) else weights
     least = min(target.values(), default=1.0)
     target = {s: target.get(s, least) for s in rows}

@@ -156,6 +156,21 @@ def test_mix_keeps_to_the_weights_over_many_frames(spark):
         seen[r.source] += 1
 
 
+def test_mix_of_many_sources(spark):
+    blocks = {f"site{i}": 1 + i % 5 for i in range(320)}
+    weights = {s: 1.0 + i % 11 for i, s in enumerate(blocks)}
+    rows_ = [(i, s) for i, s in enumerate(s for s, n in blocks.items() for _ in range(n))]
+    got = source_mix.mix(spark.createDataFrame(rows_, "doc_id long, source string"), weights=weights, block_rows=1).orderBy("mix_slot").collect()
+    assert [r.mix_slot for r in got] == list(range(len(rows_)))
+    seen = Counter()
+    for r, want in zip(got, ideal(blocks, weights, len(rows_) - 1), strict=True):
+        assert all(abs(seen[s] - want[s]) < 1 + 1e-6 for s in blocks)
+        assert r.mix_block == seen[r.source]
+        seen[r.source] += 1
+    with pytest.raises(ValueError):
+        source_mix.mix(spark.createDataFrame(rows_, "doc_id long, source string"), frame=100)
+
+
 def test_mix_odd(spark):
     df = documents(spark)
     got = source_mix.mixed_order(df)
