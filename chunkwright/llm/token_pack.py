@@ -3,27 +3,28 @@
 Documents are dealt to ranges of doc_id, sorted, encoded with the tokenizers library, closed with the end id, and
 packed with as many bits for an id as the vocabulary needs. A block is one binary value:
 
-    magic "TPK1" | bits u16 | documents u32 | ids u64 | end of each document u64[documents] | doc ids i64[documents] | packed ids
+    magic "TPK1" | bits u16 | documents u32 | of them without an id u32 | ids u64 | end of each document u64[documents] | doc ids i64[documents] | packed ids
 
 all little-endian; ids are packed lowest bit first. The ends give random access to a document, and any run of ids is
-unpacked with numpy alone. Blocks are rows (part, block, n_ids, data) of a Parquet table in the shared folder, in
+unpacked with numpy alone. Blocks are rows (part, block, n_ids, first_doc, last_doc, data) of a Parquet table in the shared folder, in
 ascending doc_id order of (part, block): Spark's commit protocol makes the output whole or absent, also where a task
 is lost and runs again. A document is never cut, so one longer than BLOCK_IDS has a block of its own.
 
-Null text is empty text: only the end id. Rows with a null doc_id come first; repeated doc_ids follow each other in
-order of their text.
+Null text is empty text: only the end id. Texts of any length are encoded whole. Rows with a null doc_id come first;
+repeated doc_ids follow each other in order of a hash of their text. An empty table gives an empty table of blocks and
+an empty result. Columns other than doc_id and text aren't read.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +32,9 @@ from chunkwright.llm import shared
 
 BLOCK_IDS = 1 << 20
 REMEMBERED = 600_000
-GROUP_CHARS = 2 << 20
+GROUP_BYTES = 8 << 20
 MAGIC = b"TPK1"
-HEAD = struct.Struct("<4sHIQ")
-NULL_ID = -(1 << 63)
+HEAD = struct.Struct("<4sHIIQ")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -64,22 +64,24 @@ def unpack(data: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return np.packbits(wide.ravel(), bitorder="little").view("<u4").astype(np.uint32)
 
 
-def make_block(doc_ids: list[int], ids: list[np.ndarray], bits: int) -> bytes:
+def make_block(doc_ids: list[int | None], ids: list[np.ndarray], bits: int) -> bytes:
+    """Documents without an id come first."""
     flat = np.concatenate(ids)
     ends = np.cumsum([len(x) for x in ids]).astype("<u8")
-    return HEAD.pack(MAGIC, bits, len(ids), len(flat)) + ends.tobytes() + np.array(doc_ids, "<i8").tobytes() + pack(flat, bits)
+    return HEAD.pack(MAGIC, bits, len(ids), doc_ids.count(None), len(flat)) + ends.tobytes() + np.array([i or 0 for i in doc_ids], "<i8").tobytes() + pack(flat, bits)
 
 
 class Block:
     """A packed block, unpacked where asked."""
 
     def __init__(self, data: bytes):
-        magic, self.bits, n, self.n_ids = HEAD.unpack_from(data)
+        magic, self.bits, n, nulls, self.n_ids = HEAD.unpack_from(data)
         if magic != MAGIC:
             raise ValueError("not a packed token block")
         self.ends = np.frombuffer(data, "<u8", n, HEAD.size).astype(np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
         self.doc_ids = np.frombuffer(data, "<i8", n, HEAD.size + 8 * n)
+        self.no_id = np.arange(n) < nulls
         self.data = memoryview(data)[HEAD.size + 16 * n :]
 
     def ids(self, start: int, stop: int) -> np.ndarray:
@@ -89,12 +91,25 @@ class Block:
         return self.ids(int(self.starts[k]), int(self.ends[k]))
 
 
-#: A space between two characters that aren't white space: a byte-level piece always begins there.
-_SAFE = re.compile(r"(?<=\S)(?= \S)")
+def _bytes(chars: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars.encode())] = True
+    return out
+
+
+_ENDS = _bytes(" \n")
+_BLANK = _bytes("".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21)))))
+_LETTER = _bytes("".join(map(chr, (*range(0x41, 0x5B), *range(0x61, 0x7B)))))
+_SYMBOLS = "!\"#$%&'()*+,-./:;<=>?@[]^`{|}~"
 
 
 class RunEncoder:
-    """Encodes distinct runs between safe spaces with the library, once each."""
+    """Encodes distinct runs of bytes with the library, once each.
+
+    A byte-level piece always begins at white space behind a character that is none, and at a symbol behind a letter.
+    numpy cuts a group of texts there, Arrow numbers the distinct runs, Python sees each of them once, and numpy
+    gathers the ids of whole texts.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -107,92 +122,86 @@ class RunEncoder:
         self.opens = np.zeros(self.size, bool)
         for token, i in self.lib.get_vocab(with_added_tokens=False).items():
             self.opens[i] = token.startswith("Ġ")
-        #: Run without the space before it -> ids of both, as little-endian unsigned 32-bit integers; None if a cut next to it isn't safe.
-        self.spaced: dict[str, bytes | None] = {}
+        # An added token is never cut, so its characters don't begin a run.
+        added = "".join(t.content for t in self.lib.get_added_tokens_decoder().values())
+        self.symbol = _bytes("".join(set(_SYMBOLS) - set(added)))
+        self.ends = _ENDS & ~_bytes(added)
+        #: Run -> ids as little-endian unsigned 32-bit integers.
+        self.known: dict[str, bytes] = {}
         #: What was known when the memory was last full: runs that come again move back.
-        self.before: dict[str, bytes | None] = {}
-        #: Run as it is -> ids: first runs of texts, and runs of texts that were cut with more care.
-        self.plain: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        self.before: dict[str, bytes] = {}
 
-    def _learn_plain(self, runs: list[str]) -> None:
+    def _learn_alone(self, runs: list[str]) -> None:
         for i in range(0, len(runs), 2000):
             own = runs[i : i + 2000]
-            self.plain.update(zip(own, self._encoded(own), strict=True))
-
-    def _learn_spaced(self, runs: list[str]) -> None:
-        """Runs are encoded as one text " x y z": each begins with the only ids that open with a space."""
-        batches, alone = [runs[i : i + 2000] for i in range(0, len(runs), 2000)], []
-        for own, e in zip(batches, self.lib.encode_batch_fast([" " + " ".join(b) for b in batches], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
-            if len(cuts) == len(own) and cuts[0] == 0:
-                raw = ids.tobytes()
-                self.spaced.update(zip(own, [raw[s:e] for s, e in zip(cuts, [*cuts[1:], len(raw)], strict=True)], strict=True))
-            else:
-                alone += own
-        self._learn_plain([" " + r for r in alone])
-        self.spaced.update((r, self.plain[" " + r]) for r in alone)
-
-    def _learn(self, new: set[str]) -> None:
-        """Makes runs known. A comma or full stop behind a letter, and a line's end between other characters, are pieces of their own, so such runs are put together from their parts."""
-        spaced, plain = self.spaced, self.plain
-        # White space at a border of a run: the pieces there may reach over the space.
-        unsafe = {r for r in new if not r or r[0].isspace() or r[-1].isspace()}
-        spaced.update(dict.fromkeys(unsafe))
-        lines, marked, whole, lone = {}, [], set(), set()
-        for r in new - unsafe:
-            parts = r.split("\n") if "\n" in r else ()
-            if parts and not any(not x or x[0].isspace() or x[-1].isspace() for x in parts):
-                lines[r] = parts
-                lone.update(x for x in parts[1:] if x not in plain)
-                r = parts[0]
-                if r in spaced:
-                    continue
-            if r[-1] in ",." and r[:-1].isalpha():
-                marked.append(r)
-                r = r[:-1]
-            if r not in spaced:
-                whole.add(r)
-        self._learn_spaced(list(whole))
-        self._learn_plain(list(lone))
-        for r in marked:
-            spaced[r] = spaced[r[:-1]] + plain[r[-1]]
-        for r, parts in lines.items():
-            spaced[r] = spaced[parts[0]] + b"".join([plain["\n"] + plain[x] for x in parts[1:]])
+            self.known.update(zip(own, [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(own, add_special_tokens=False)], strict=True))
+
+    def _learn(self, runs: list[str]) -> None:
+        """Words behind a space are encoded as one text " x y z": each begins with the only ids that open with a space."""
+        words = [r for r in runs if r[0] == " " and r[1:].isalpha()]
+        batches, alone = [words[i : i + 500] for i in range(0, len(words), 500)], [r for r in runs if r[0] != " " or not r[1:].isalpha()]
+        for at in range(0, len(batches), 20):
+            own = batches[at : at + 20]
+            for b, e in zip(own, self.lib.encode_batch_fast(["".join(b) for b in own], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+                if len(cuts) == len(b) and cuts[0] == 0:
+                    raw = ids.tobytes()
+                    self.known.update(zip(b, [raw[s:e] for s, e in zip(cuts, [*cuts[1:], len(raw)], strict=True)], strict=True))
+                else:
+                    alone += b
+        self._learn_alone(alone)
+
+    def _looked_up(self, runs: list[str]) -> list[bytes]:
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        new = [r for r in runs if r not in known]
+        back = {r: before[r] for r in new if r in before}
+        known.update(back)
+        self._learn([r for r in new if r not in back])
+        return [known[r] for r in runs]
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """True where a run begins behind another byte of the same text."""
+        out = np.zeros(len(data), bool)
+        if len(data) < 2:
+            return out
+        last, next_ = data[:-1], data[1:]
+        wide = last >= 0x80
+        out[1:] = (self.ends[next_] & ~_BLANK[last]) | (self.symbol[next_] & (_LETTER[last] | wide))
+        at = np.flatnonzero(out[1:] & wide) + 1  # which character ends before?
+        one, two, three = data[at - 1], data[np.maximum(at - 2, 0)], data[np.maximum(at - 3, 0)]
+        blank = ((two == 0xC2) & ((one == 0x85) | (one == 0xA0))) | ((three >= 0xE1) & (three <= 0xE3) & ((two == 0x9A) | (two == 0x80) | (two == 0x81)))
+        latin = (two == 0xC3) & (one != 0x97) & (one != 0xB7)
+        out[at] = np.where(self.ends[data[at]], ~blank, latin)
+        return out
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts (strings without nulls) end to end, and how many each text has."""
+        n, at = len(texts), texts.offset
+        ends = np.frombuffer(texts.buffers()[1], np.int32, n + 1, 4 * at).astype(np.int64) if n else np.zeros(1, np.int64)
+        if ends[-1] == ends[0]:
+            return np.zeros(0, "<u4"), np.zeros(n, np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8, int(ends[-1] - ends[0]), int(ends[0]))
+        ends -= ends[0]
+        begins = self.cuts(data)
+        begins[ends[:-1][ends[:-1] < ends[1:]]] = True
+        start = np.flatnonzero(begins)
+        offsets = np.append(start, len(data)).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        ids = self._looked_up(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        item = coded.indices.to_numpy()
+        count = size[item]
+        total = np.concatenate([[0], np.cumsum(count)])
+        gather = np.repeat((np.cumsum(size) - size)[item] - total[:-1], count)
+        gather += np.arange(len(gather))
+        return np.frombuffer(b"".join(ids), "<u4")[gather], np.diff(total[np.searchsorted(start, ends)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.split(" ") for t in texts]
-        firsts = [c.pop(0) for c in cut]
-        here = set().union(*cut)
-        if len(self.spaced) + len(here) > REMEMBERED:
-            self.before, self.spaced = self.spaced, {}
-        if len(self.plain) > REMEMBERED:
-            self.plain = {}
-        plain, before = self.plain, self.before
-        self._learn_plain([r for r in {*firsts, ",", ".", "\n"} if r not in plain])
-        spaced = self.spaced
-        new = here - spaced.keys()
-        spaced.update((r, before[r]) for r in new & before.keys())
-        self._learn(new - before.keys())
-        get = {r: spaced[r] for r in here}.__getitem__  # small, so it stays near the CPU
-        ids, again = [], []
-        for i, (f, c) in enumerate(zip(firsts, cut, strict=True)):
-            try:
-                ids.append(plain[f] + b"".join(map(get, c)))
-                if c and (not f or f[-1].isspace()):
-                    again.append(i)
-            except TypeError:  # a run isn't safe
-                ids.append(b"")
-                again.append(i)
-        if again:
-            slow = [_SAFE.split(texts[i]) for i in again]
-            self._learn_plain(list({r for c in slow for r in c if r not in plain}))
-            for i, c in zip(again, slow, strict=True):
-                ids[i] = b"".join([plain[r] for r in c])
-        return [np.frombuffer(x, "<u4") for x in ids]
+        ids, size = self.encode_all(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(size)[:-1]) if len(texts) else []
 
 
 def loaded(path: str) -> RunEncoder:
@@ -202,6 +211,18 @@ def loaded(path: str) -> RunEncoder:
     return memory[path]
 
 
+def _groups(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about that many bytes; a longer text is a run of its own."""
+    at = 0
+    while at < len(sizes):
+        to, total = at, 0
+        while to < len(sizes) and (to == at or total + sizes[to] <= most):
+            total += sizes[to]
+            to += 1
+        yield at, to
+        at = to
+
+
 def _blocks(path: str, end_id: int, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -211,35 +232,59 @@ def _blocks(path: str, end_id: int, block_ids: int):
         bits = bits_for(coder.size)
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "block": pa.array([block], pa.int64()), "n_ids": pa.array([n], pa.int64()), "data": pa.array([make_block(doc_ids, ids, bits)], pa.binary())})
-
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            at = 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= GROUP_CHARS):
-                    size += len(texts[to])
-                    to += 1
-                for key, own in zip(keys[at:to], coder.encode(texts[at:to]), strict=True):
-                    if ids and n + len(own) + 1 > block_ids:
-                        yield row()
-                        block, doc_ids, ids, n = block + 1, [], [], 0
-                    doc_ids.append(NULL_ID if key is None else key)
-                    ids.append(np.append(own, np.uint32(end_id)))
-                    n += len(own) + 1
-                at = to
-        if ids:
+            known = [i for i in doc_ids if i is not None]
+            cols = {"part": [part], "block": [block], "n_ids": [n], "first_doc": known[:1] or [None], "last_doc": known[-1:] or [None]}
+            return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in cols.items()} | {"data": pa.array([make_block(doc_ids, ids, bits)], pa.binary())})
+
+        def gathered() -> Iterator[tuple[list, pa.Array]]:
+            """Spark's small batches put together to groups of about GROUP_BYTES."""
+            kept, size = [], 0
+            for batch in batches:
+                kept.append(batch)
+                size += batch.nbytes
+                if size >= GROUP_BYTES:
+                    yield from whole(kept)
+                    kept, size = [], 0
+            yield from whole(kept)
+
+        def whole(kept: list[pa.RecordBatch]) -> Iterator[tuple[list, pa.Array]]:
+            if not kept:
+                return
+            table = pa.Table.from_batches(kept)
+            texts = pc.fill_null(table.column(1).combine_chunks(), "")
+            texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+            keys, sizes = table.column(0).to_pylist(), pc.binary_length(texts).to_pylist()
+            for at, to in _groups(sizes, GROUP_BYTES):
+                yield keys[at:to], texts.slice(at, to - at)
+
+        for keys, texts in gathered():
+            flat, size = coder.encode_all(texts)
+            ends = np.cumsum(size)
+            for key, s, e in zip(keys, (ends - size).tolist(), ends.tolist(), strict=True):
+                if doc_ids and n + e - s + 1 > block_ids:
+                    yield row()
+                    block, doc_ids, ids, n = block + 1, [], [], 0
+                doc_ids.append(key)
+                ids.append(np.append(flat[s:e], np.uint32(end_id)))
+                n += e - s + 1
+        if doc_ids:
             yield row()
 
     return run
 
 
 def write_packed(docs: DataFrame, path: str, end_id: int, block_ids: int = BLOCK_IDS, part_bytes: int = 16 << 20) -> DataFrame:
-    """The table of blocks, written and read again. Texts are shuffled once, to ranges of doc_id."""
+    """The table of blocks, written and read again. Texts are shuffled once, to ranges of doc_id, which repeated doc_ids can span."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    dealt = rows.repartitionByRange(shared.parts_for(docs, part_bytes), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return shared.written(dealt.mapInArrow(_blocks(path, end_id, block_ids), "part long, block long, n_ids long, data binary"), "tokens")
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    dealt = rows.repartitionByRange(shared.parts_for(docs, part_bytes), *order).sortWithinPartitions(*order, "text")
+    return shared.written(dealt.mapInArrow(_blocks(path, end_id, block_ids), "part long, block long, n_ids long, first_doc long, last_doc long, data binary"), "tokens")
+
+
+def fetch(blocks: DataFrame, doc_id: int) -> list[np.ndarray]:
+    """Ids of the documents with that doc_id: Parquet's statistics of first_doc and last_doc leave the blocks that may hold it."""
+    found = blocks.where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id)).orderBy("part", "block").select("data").toLocalIterator()
+    return [block.document(k) for block in (Block(r.data) for r in found) for k in np.flatnonzero((block.doc_ids == doc_id) & ~block.no_id).tolist()]
 
 
 def read_documents(blocks: DataFrame) -> DataFrame:
@@ -255,7 +300,7 @@ def read_documents(blocks: DataFrame) -> DataFrame:
                 block = Block(data)
                 whole = block.ids(0, block.n_ids).astype("<u4")
                 crc = [zlib.crc32(whole[s:e].tobytes()) for s, e in zip(block.starts.tolist(), block.ends.tolist(), strict=True)]
-                doc_ids = pa.array(block.doc_ids, mask=block.doc_ids == NULL_ID)
+                doc_ids = pa.array(block.doc_ids, mask=block.no_id)
                 yield pa.RecordBatch.from_pydict({"part": np.full(len(crc), part), "block": np.full(len(crc), number), "doc_id": doc_ids, "inside": block.starts, "n_tokens": block.ends - block.starts, "ids_crc32": np.array(crc, np.int64)})
 
     found = blocks.select("part", "block", "data").mapInArrow(run, "part long, block long, doc_id long, inside long, n_tokens long, ids_crc32 long")

@@ -136,6 +136,18 @@ def test_packed_odd(spark):
     assert token_pack.read_documents(token_pack.write_packed(empty(spark), token_pack.vocabulary_path(), 2)).count() == 0
 
 
+def test_fetch_by_id(spark, runs):
+    least = -(1 << 63)
+    docs = spark.createDataFrame([(least, "a b"), (None, "c d e"), (None, ""), (7, "x"), (7, "yy zz"), (9, None)], "doc_id long, text string")
+    blocks = token_pack.write_packed(docs, token_pack.vocabulary_path(), 2, block_ids=3, part_bytes=4)
+    got = token_pack.read_documents(blocks).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, least, 7, 7, 9]
+    ids = lambda t: [*runs.encode([t])[0].tolist(), 2]
+    assert sorted(x.tolist() for x in token_pack.fetch(blocks, 7)) == sorted([ids("x"), ids("yy zz")])
+    assert [x.tolist() for x in token_pack.fetch(blocks, least)] == [ids("a b")]
+    assert [x.tolist() for x in token_pack.fetch(blocks, 9)] == [[2]] and token_pack.fetch(blocks, 8) == []
+
+
 def test_secrets(spark):
     import random
 
