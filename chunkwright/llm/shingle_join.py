@@ -2,25 +2,30 @@
 
 A document's set is its distinct shingles of `words` words, A-Z in lower case; with fewer words the whole sequence is
 its one shingle, and without words the set is empty and linked with nothing. Two documents link if
-100 * intersection >= percent * union.
+100 * intersection >= percent * union. Shingles are compared by 64-bit hashes over keyed BLAKE2b hashes of their words.
 
 Documents with the same set form a class, found by a digest of the set; a class is joined once, whatever its copies.
-Classes that may link are brought together by the smallest shingle of each under ORDERS random orders: two sets with
-similarity s share such a shingle with probability s, so a pair at 0.85 meets in none of 14 orders with probability
-3e-12. Shingles that only one class has as its smallest are dropped; for the others the texts go, compressed, to
-buckets of shingles. There each group of one shingle is joined by a signature tree: leaves of classes sorted by size,
-nodes with the OR of their token bitmaps and a range of sizes; a traversal of node pairs drops those whose largest
-possible overlap is too small, and those whose classes are all linked already. What is left is compared shingle by
-shingle. So only links that join two parts are returned: connected classes keep one path, not all pairs. A group with
-over GROUP_ROWS classes is cut to tiles, and each pair of tiles is a group of its own, so no task grows with a group.
-
-Null text has no words. Rows are told apart by doc_id and text: repeated doc_ids are joined as the rows they are; a
-null doc_id is never the smallest of a component unless it has no other.
+The join is partitioned by the smallest shingle of each class under `orders` random orders: two sets with similarity s
+have such a shingle in common with probability s in each order, so a pair at 0.85 shares no partition with probability
+0.15**14 = 3e-12. Shingles that bring up one class only are dropped, and of those that bring up the same classes one
+stays, all by counts and digests in the JVM; then each class's text goes, once for each group that is left, to a bucket.
+
+A bucket's sets are joined by one signature tree: leaves of LEAF sets in order of group and size, nodes with the OR of
+their token bitmaps and their range of sizes. A dual traversal goes down level by level and drops node pairs whose
+largest possible overlap is too small for any two of their sets. Leaf pairs that are left are taken from near to far;
+those whose sets are all connected already go too, and bitmaps of single sets leave the pairs that are compared shingle
+by shingle. So only links that join two parts are returned: connected classes keep one path, not all pairs. A group with
+more than group_rows classes, or more than four times block_bytes, is cut to tiles, and each pair of tiles is a group.
+
+Null text has no words. Texts of any length are read whole. Rows are told apart by doc_id and text: repeated doc_ids are
+joined as the rows they are; a null doc_id is never the smallest of a component unless it has no other. An empty table
+gives an empty result. Columns other than doc_id and text aren't read, and keep_one returns all columns of docs.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +39,16 @@ WORDS, PERCENT, ORDERS = 4, 85, 14
 BLOCK_BYTES = 4 << 20
 GROUP_ROWS = 20_000
 LEAF, FAN = 16, 8
+#: Bits of a node's bitmap and of a single set's, as powers of two. Sets are told apart by the high bits of their hashes.
+NODE_BITS, SET_BITS = 15, 11
+PAIRS_AT_ONCE = 2048
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _RANDOM = np.random.default_rng(20240229)
-_BYTE_CODES = _RANDOM.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
-_ORDER_CODES = _RANDOM.integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
-_POWER = 0x9E3779B97F4A7C15 | 1
+_ORDER_CODES = _RANDOM.integers(1, 1 << 63, 128, np.uint64) | np.uint64(1)
+_KEY = _RANDOM.bytes(16)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -50,52 +57,51 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_FORTH, _BACK = _powers(_POWER, 1 << 16), _powers(pow(_POWER, -1, 1 << 64), 1 << 16)
+def _shingled(w: np.ndarray, n: int) -> np.ndarray:
+    h = np.zeros(len(w) - n + 1, np.uint64)
+    for k in range(n):
+        h = _mixed(h + w[k : len(w) - n + 1 + k] * _ORDER_CODES[64 + k])
+    return h
+
+
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
+
+
+def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of each text. Arrow numbers the distinct words of all texts, so each is hashed once."""
+    flat = np.frombuffer((b"\n".join(texts) + b"\n").translate(_LOWER), np.uint8)
+    inside = ~_SPACE[flat]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    count = np.diff(np.searchsorted(start, ends), prepend=0)
+    if not len(start):
+        return [np.zeros(0, np.uint64)] * len(texts)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(flat[inside])]).dictionary_encode()
+    digests = b"".join([hashlib.blake2b(x, digest_size=8, key=_KEY).digest() for x in coded.dictionary.to_pylist()])
+    w = np.frombuffer(digests, "<u8")[coded.indices.to_numpy()]
+    out = []
+    with np.errstate(over="ignore"):
+        h = _shingled(w, words) if len(w) >= words else w[:0]
+        for at, n in zip((np.cumsum(count) - count).tolist(), count.tolist(), strict=True):
+            out.append(_distinct(h[at : at + n - words + 1] if n >= words else _shingled(w[at : at + n], n)) if n else w[:0])
+    return out
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a text that is in lower case already."""
-    flat = np.frombuffer(text, np.uint8)
-    inside = np.concatenate([[False], ~_SPACE[flat], [False]])
-    edge = np.flatnonzero(inside[1:] != inside[:-1])
-    start, end = edge[::2], edge[1::2]
-    if len(start) and int((end - start).max()) < 1 << 12:
-        out = np.empty(len(start), np.uint64)
-        at = 0
-        while at < len(start):  # runs of words within what the powers cover
-            to = int(np.searchsorted(end, start[at] + len(_FORTH), "right"))
-            s, e = start[at:to] - start[at], end[at:to] - start[at]
-            total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_CODES[flat[start[at] : end[to - 1]]] * _FORTH[: e[-1]], dtype=np.uint64)])
-            out[at:to] = (total[e] - total[s]) * _BACK[s]
-            at = to
-        return _mixed(out + (end - start).astype(np.uint64))
-    return np.array([int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") if len(w) >= 1 << 12 else word_hashes(w)[0] for w in text.split()], np.uint64)
+def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
+    return shingle_sets([text], words)[0]
 
 
-def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
+def smallest(sets: list[np.ndarray], orders: int = ORDERS) -> np.ndarray:
+    """For each set, which isn't empty, its smallest shingle under each order, as a key that no other order has."""
+    size = np.array([len(s) for s in sets])
+    flat, at = np.concatenate(sets), np.cumsum(size) - size
     with np.errstate(over="ignore"):
-        w = word_hashes(text.translate(_LOWER))
-        if not len(w):
-            return w
-        n = min(words, len(w))
-        h = np.zeros(len(w) - n + 1, np.uint64)
-        for k in range(n):
-            h = _mixed(h + w[k : len(w) - n + 1 + k] * _ORDER_CODES[40 + k])
-    h.sort()
-    return h[np.concatenate([[True], h[1:] != h[:-1]])]
-
-
-def smallest(tokens: np.ndarray, orders: int = ORDERS) -> np.ndarray:
-    """The smallest shingle under each order, as a key that no other order has."""
-    with np.errstate(over="ignore"):
-        return np.array([_mixed(_mixed(tokens * _ORDER_CODES[k]).min(keepdims=True) + np.uint64(k))[0] for k in range(orders)], np.uint64)
+        least = [np.minimum.reduceat((flat ^ _ORDER_CODES[2 * k]) * _ORDER_CODES[2 * k + 1], at) for k in range(orders)]
+        return np.stack([_mixed(x + np.uint64(k)) for k, x in enumerate(least)], axis=1)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -120,183 +126,197 @@ class Parts:
             i = up[i]
         return i
 
+    def roots(self) -> np.ndarray:
+        up = np.array(self.up)
+        while (up != (up := up[up])).any():
+            pass
+        return up
+
     def join(self, i: int, j: int) -> None:
         self.up[self.root(i)] = self.root(j)
 
 
+def _bitmaps(sets: list[np.ndarray], bits: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """OR-combined bitmaps of the sets of each node (numbered in ascending order), and the shingles of each set that share a bit with another."""
+    size = np.array([len(x) for x in sets])
+    bit = (np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64)
+    begins = np.cumsum(size) - size
+    new = np.ones(len(bit), bool)
+    new[1:] = bit[1:] != bit[:-1]
+    new[begins] = True
+    extra = size - np.add.reduceat(new, begins, dtype=np.int64)
+    out = []
+    for lo in range(0, int(node[-1]) + 1, 1024):  # a bounded number of bytes at once
+        a, z = np.searchsorted(node, (lo, lo + 1024))
+        own = slice(int(begins[a]), int(begins[z - 1] + size[z - 1]))
+        maps = np.zeros((int(node[z - 1]) - lo + 1, 1 << bits), bool)
+        maps[np.repeat(node[a:z] - lo, size[a:z]), bit[own]] = True
+        out.append(np.packbits(maps, axis=1).view(np.uint64))
+    return np.concatenate(out), extra
+
+
 class SignatureTree:
-    """Sets sorted by size in leaves; nodes hold OR-combined bitmaps, size ranges and the largest count of bit collisions."""
+    """Leaves of sets in the order of members; nodes hold OR-combined token bitmaps, size ranges and the largest count of bit collisions."""
 
     def __init__(self, members: list[int], sets: list[np.ndarray]):
-        self.members = sorted(members, key=lambda i: (len(sets[i]), i))
-        n = np.array([len(sets[i]) for i in self.members])
-        width = 1 << max(6, int(2 * n.max() - 1).bit_length())
-        maps = np.zeros((len(n), width // 8), np.uint8)
-        for row, i in enumerate(self.members):
-            bit = (sets[i] >> np.uint64(20)) & np.uint64(width - 1)
-            np.bitwise_or.at(maps[row], (bit >> np.uint64(3)).astype(np.int64), (np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8)))
-        self.maps = maps.view(np.uint64)
-        self.size, self.extra = n, n - np.bitwise_count(self.maps).sum(axis=1, dtype=np.int64)
-        # Levels from leaves up; a node is a range of members.
-        cuts = np.arange(0, len(n), LEAF)
+        self.members = np.array(members)
+        own = [sets[i] for i in members]
+        self.size = np.array([len(x) for x in own])
+        leaf = np.arange(len(own)) // LEAF
+        self.maps, _ = _bitmaps(own, SET_BITS, np.arange(len(own)))
+        maps, extra = _bitmaps(own, NODE_BITS, leaf)
+        cuts, least, most = np.arange(0, len(own), LEAF), self.size, self.size
         self.levels = []
-        maps, least, most, extra = self.maps, n, n, self.extra
         while True:
-            maps, least, most, extra = np.bitwise_or.reduceat(maps, cuts), np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts), np.maximum.reduceat(extra, cuts)
+            least, most, extra = np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts), np.maximum.reduceat(extra, cuts)
             self.levels.append((maps, least, most, extra))
             if len(maps) == 1:
                 break
             cuts = np.arange(0, len(maps), FAN)
+            maps = np.bitwise_or.reduceat(maps, cuts)
 
-    def may(self, level: int, x: int, y: int, percent: int) -> bool:
-        """False if no set of node x can link with one of node y."""
+    def may(self, level: int, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+        """False for pairs of nodes of which no two sets can link."""
         maps, least, most, extra = self.levels[level]
-        if 100 * min(most[x], most[y]) < percent * max(least[x], least[y]):
-            return False
-        both = min(int(np.bitwise_count(maps[x] & maps[y]).sum()) + int(min(extra[x], extra[y])), int(min(most[x], most[y])))
-        return 100 * both >= percent * (int(least[x]) + int(least[y]) - both)
-
-    def leaf_pairs(self, x: int, y: int, percent: int) -> list[tuple[int, int]]:
-        """Members of two leaves that their bitmaps let link."""
-        a, b = slice(x * LEAF, min((x + 1) * LEAF, len(self.size))), slice(y * LEAF, min((y + 1) * LEAF, len(self.size)))
-        p, q = self.maps[a][:, None, :], self.maps[b][None, :, :]
-        both = np.minimum(self.size[a][:, None] - np.bitwise_count(p & ~q).sum(axis=2, dtype=np.int64), self.size[b][None, :] - np.bitwise_count(q & ~p).sum(axis=2, dtype=np.int64))
-        ok = 100 * both >= percent * (self.size[a][:, None] + self.size[b][None, :] - both)
-        if x == y:
-            ok &= np.tri(len(ok), k=-1, dtype=bool)
-        return [(self.members[i + a.start], self.members[j + b.start]) for i, j in np.argwhere(ok).tolist()]
+        out = 100 * np.minimum(most[x], most[y]) >= percent * np.maximum(least[x], least[y])
+        for i in range(0, len(x), PAIRS_AT_ONCE):
+            k = i + np.flatnonzero(out[i : i + PAIRS_AT_ONCE])
+            a, b = x[k], y[k]
+            both = np.bitwise_count(maps[a] & maps[b]).sum(axis=1, dtype=np.int64) + np.minimum(extra[a], extra[b])
+            both = np.minimum(both, np.minimum(most[a], most[b]))
+            out[k] = 100 * both >= percent * (least[a] + least[b] - both)
+        return out
+
+    def leaf_pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of leaves that the traversal can't drop, near ones first."""
+        x = y = np.zeros(1, np.int64)
+        for level in range(len(self.levels) - 1, -1, -1):
+            keep = self.may(level, x, y, percent)
+            x, y = x[keep], y[keep]
+            if level:
+                n = len(self.levels[level - 1][0])
+                i, j = np.divmod(np.arange(FAN * FAN), FAN)
+                below = (FAN * x[:, None] + i).ravel(), (FAN * y[:, None] + j).ravel()
+                keep = (below[0] <= below[1]) & (below[1] < n)
+                x, y = below[0][keep], below[1][keep]
+        order = np.lexsort((x, y - x))
+        return x[order], y[order]
 
     def join(self, sets: list[np.ndarray], parts: Parts, percent: int, found: list[tuple[int, int]]) -> None:
         """Adds to found the links that join two parts; near pairs first, so that large groups are soon one part."""
-
-        def one_part(level: int, x: int, y: int) -> bool:
-            span = LEAF * FAN**level
-            roots = {parts.root(self.members[i]) for k in {x, y} for i in range(k * span, min((k + 1) * span, len(self.members)))}
-            return len(roots) == 1
-
-        def visit(level: int, x: int, y: int) -> None:
-            if one_part(level, x, y) or not self.may(level, x, y, percent):
-                return
-            if level == 0:
-                for i, j in self.leaf_pairs(x, y, percent):
-                    if parts.root(i) != parts.root(j) and linked(sets[i], sets[j], percent):
-                        parts.join(i, j)
-                        found.append((i, j))
-                return
-            n = len(self.levels[level - 1][0])
-            left, right = range(x * FAN, min((x + 1) * FAN, n)), range(y * FAN, min((y + 1) * FAN, n))
-            for d in range(FAN * 2):  # nodes themselves, then their neighbours, then farther ones
-                for i in left:
-                    if x != y:
-                        j = y * FAN + (i - x * FAN + d) % FAN
-                        if d < FAN and j in right:
-                            visit(level - 1, i, j)
-                    elif i + d in right:
-                        visit(level - 1, i, i + d)
-
-        visit(len(self.levels) - 1, 0, 0)
-
-
-def join_group(members: list[int], sets: list[np.ndarray], parts: Parts, percent: int, found: list[tuple[int, int]]) -> None:
-    if len(members) > 3:
-        SignatureTree(members, sets).join(sets, parts, percent, found)
-        return
-    for k, i in enumerate(members):
-        for j in members[:k]:
-            if parts.root(i) != parts.root(j) and linked(sets[i], sets[j], percent):
-                parts.join(i, j)
-                found.append((i, j))
-
-
-def _rows(table: pa.Table) -> list[tuple[int | None, bytes]]:
-    """The documents of a block, in an order that is the same each time."""
-    rows = zip(table.column("doc_id").to_pylist(), table.column("text").cast(pa.binary()).to_pylist(), strict=True)
-    return sorted(((i, t or b"") for i, t in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-
-
-def _schema(**kinds: pa.DataType) -> pa.Schema:
-    return pa.schema(list(kinds.items()))
+        x, y = self.leaf_pairs(percent)
+        n, at, step = len(self.members), 0, 64
+        i, j = np.divmod(np.arange(LEAF * LEAF), LEAF)
+        while at < len(x):
+            root = parts.roots()[self.members]
+            cuts = np.arange(0, n, LEAF)
+            low, high = np.minimum.reduceat(root, cuts), np.maximum.reduceat(root, cuts)
+            part = np.where(low == high, low, -1 - np.arange(len(cuts)))
+            two = part[x[at:]] != part[y[at:]]
+            two |= part[x[at:]] < 0
+            x, y, at = x[at:][two], y[at:][two], 0
+            a, b = (LEAF * x[:step, None] + i).ravel(), (LEAF * y[:step, None] + j).ravel()
+            keep = (a < b) & (b < n)
+            a, b = a[keep], b[keep]
+            keep = root[a] != root[b]
+            a, b = a[keep], b[keep]
+            keep = 100 * np.minimum(self.size[a], self.size[b]) >= percent * np.maximum(self.size[a], self.size[b])
+            a, b = a[keep], b[keep]
+            only = np.maximum(self.size[a] - np.bitwise_count(self.maps[a] & ~self.maps[b]).sum(axis=1, dtype=np.int64), 0)
+            both = np.minimum(only, self.size[b] - np.bitwise_count(self.maps[b] & ~self.maps[a]).sum(axis=1, dtype=np.int64))
+            keep = 100 * both >= percent * (self.size[a] + self.size[b] - both)
+            for p, q in zip(self.members[a[keep]].tolist(), self.members[b[keep]].tolist(), strict=True):
+                if parts.root(p) != parts.root(q) and linked(sets[p], sets[q], percent):
+                    parts.join(p, q)
+                    found.append((p, q))
+            at = step
+            step = min(2 * step, 512)
+
+
+def _runs(texts: list[bytes], most: int = 2 << 20) -> Iterator[slice]:
+    """Runs of texts of about that many bytes; a longer text is a run of its own."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        if i > at and size + len(t) > most:
+            yield slice(at, i)
+            at, size = i, 0
+        size += len(t)
+    if texts:
+        yield slice(at, len(texts))
+
+
+def _described(words: int, orders: int):
+    """Adds to each row the size and digest of its set, and to the first row of a class in a task the class's keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.worker_memory("shingle_join")
+        seen: set[bytes] = set()
+        for batch in shared.small_batches(batches, 2048):
+            texts = [t or b"" for t in batch.column(3).cast(pa.binary()).to_pylist()]
+            sets = [s for own in _runs(texts) for s in shingle_sets(texts[own], words)]
+            cls = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            keys: list = [None] * len(sets)
+            first = []
+            for i, c in enumerate(cls):
+                if c is not None and c not in seen:
+                    seen.add(c)
+                    first.append(i)
+            for own in _runs([texts[i] for i in first]):
+                pick = first[own]
+                for i, k in zip(pick, smallest([sets[i] for i in pick], orders).view(np.int64), strict=True):
+                    keys[i] = k
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "k1", "k2", "n", "cls", "keys"])
+
+    return run
+
+
+def _meet(words: int, percent: int):
+    """Joins the sets of a bucket."""
+
+    def run(table: pa.Table) -> pa.Table:
+        shared.worker_memory("shingle_join")
+        place: dict[bytes, int] = {}
+        group: list[int] = []
+        texts: list[bytes] = []
+        for key, cls, text in zip(table.column("key").to_pylist(), table.column("cls").to_pylist(), table.column("text").cast(pa.binary()).to_pylist(), strict=True):
+            if cls not in place:
+                place[cls] = len(texts)
+                texts.append(text)
+                group.append(key)
+        sets = [s for own in _runs(texts) for s in shingle_sets(texts[own], words)]
+        parts, links, names = Parts(len(sets)), [], list(place)
+        order = sorted(range(len(sets)), key=lambda i: (group[i], len(sets[i]), names[i]))
+        if len(order) > 1:
+            SignatureTree(order, sets).join(sets, parts, percent, links)
+        return pa.Table.from_pydict({"a": pa.array([names[i] for i, _ in links], pa.binary()), "b": pa.array([names[j] for _, j in links], pa.binary())})
+
+    return run
 
 
 def shingle_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orders: int = ORDERS, block_bytes: int = BLOCK_BYTES, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, cls) of each row, cls null for empty sets; and links (a, b) between classes that join all that are connected."""
-    shared.shared_dir(docs.sparkSession)
-    n_blocks = shared.parts_for(docs, block_bytes)
-    buckets = 2 * n_blocks
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks).cast("long")).alias("block"))
-    blocks = rows.groupBy("block")
+    """(doc_id, n, cls) of each row, cls null for empty sets; and links (a, b) between classes that join all that are connected.
 
-    def describe(key: tuple, table: pa.Table) -> pa.Table:
-        shared.worker_memory("shingle_join")
-        out, seen = [], set()
-        for row, (doc_id, text) in enumerate(_rows(table)):
-            s = shingle_set(text, words)
-            cls = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-            first = cls is not None and cls not in seen
-            seen.add(cls)
-            out.append({"doc_id": doc_id, "n": len(s), "cls": cls, "block": key[0].as_py(), "row": row, "keys": smallest(s, orders).view(np.int64) if first else None})
-        return pa.Table.from_pylist(out, _schema(doc_id=pa.int64(), n=pa.int64(), cls=pa.binary(), block=pa.int64(), row=pa.int64(), keys=pa.list_(pa.int64())))
-
-    found = shared.written(blocks.applyInArrow(describe, "doc_id long, n long, cls binary, block long, row long, keys array<long>"), "shingles")
-    firsts = found.where("keys is not null")
-    owners = firsts.groupBy("cls").agg(F.min("block").alias("block"))
-    single = firsts.join(owners, ["cls", "block"]).select("block", "row", "cls", F.explode("keys").alias("key"))
-    # Of each key only a count is gathered; texts wait for those that two classes share.
-    shared_keys = single.groupBy("key").agg(F.count("*").alias("total")).where("total > 1")
-    wanted = single.join(shared_keys, "key").select("block", "row", "cls", "key", "total")
-
-    def send(key: tuple, table: pa.Table, heard: pa.Table) -> pa.Table:
-        shared.worker_memory("shingle_join")
-        schema = _schema(bucket=pa.int64(), keys=pa.binary(), classes=pa.binary(), which=pa.binary(), ends=pa.binary(), texts=pa.binary())
-        if not heard.num_rows:
-            return pa.Table.from_pylist([], schema)
-        texts = [t for _, t in _rows(table)]
-        h = heard.select(["key", "row", "total"]).to_pydict()
-        keys, at, total, cls = np.array(h["key"], np.int64).view(np.uint64), np.array(h["row"], np.int64), np.array(h["total"], np.int64), np.array([int.from_bytes(c, "little") for c in heard.column("cls").to_pylist()], object)
-        tiles = -(-total // group_rows)
-        if (tiles > 1).any():  # a row of tile t goes to the tile pairs (t, j) and (j, t)
-            back = np.repeat(np.arange(len(keys)), tiles)
-            other = np.arange(len(back)) - np.repeat(np.cumsum(tiles) - tiles, tiles)
-            tile = np.array([int(c) for c in cls[back] % tiles[back]], np.int64)
-            low, high = np.minimum(tile, other), np.maximum(tile, other)
-            with np.errstate(over="ignore"):
-                pair = _mixed(keys[back] + (low * tiles[back] + high + 1).astype(np.uint64) * _ORDER_CODES[50])
-            keys, at, cls = np.where(tiles[back] > 1, pair, keys[back]), at[back], cls[back]
-        bucket, out = (keys % np.uint64(buckets)).astype(np.int64), []
-        order = np.lexsort((at, bucket))
-        values, cuts = np.unique(bucket[order], return_index=True)
-        for b, i in zip(values.tolist(), np.split(order, cuts[1:]), strict=True):
-            used, which = np.unique(at[i], return_inverse=True)
-            own = [texts[k] for k in used.tolist()]
-            raw = b"".join(own)
-            out.append({"bucket": b, "keys": keys[i].tobytes(), "classes": b"".join(int(c).to_bytes(16, "little") for c in cls[i]), "which": which.astype("<i8").tobytes(), "ends": np.cumsum([len(t) for t in own]).astype("<i8").tobytes(), "texts": pa.compress(raw, codec="zstd", asbytes=True)})
-        return pa.Table.from_pylist(out, schema)
-
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
-        shared.worker_memory("shingle_join")
-        place: dict[bytes, int] = {}
-        sets: list[np.ndarray] = []
-        groups: dict[int, list[int]] = {}
-        for r in table.to_pylist():
-            ends = np.frombuffer(r["ends"], "<i8").tolist()
-            raw = pa.decompress(r["texts"], decompressed_size=ends[-1], codec="zstd", asbytes=True)
-            for k, (token, at) in enumerate(zip(np.frombuffer(r["keys"], "<u8").tolist(), np.frombuffer(r["which"], "<i8").tolist(), strict=True)):
-                cls = r["classes"][16 * k : 16 * k + 16]
-                i = place.get(cls)
-                if i is None:
-                    i = place[cls] = len(sets)
-                    sets.append(shingle_set(raw[ends[at - 1] if at else 0 : ends[at]], words))
-                groups.setdefault(token, []).append(i)
-        parts, links = Parts(len(sets)), []
-        for members in groups.values():
-            if len(members) > 1:
-                join_group(members, sets, parts, percent, links)
-        names = list(place)
-        return pa.Table.from_pylist([{"a": names[i], "b": names[j]} for i, j in links], _schema(a=pa.binary(), b=pa.binary()))
-
-    sent = blocks.cogroup(wanted.groupBy("block")).applyInArrow(send, "bucket long, keys binary, classes binary, which binary, ends binary, texts binary")
-    links = sent.groupBy("bucket").applyInArrow(meet, "a binary, b binary")
-    return found.select("doc_id", "n", "cls"), links
+    A bucket holds about block_bytes of texts, by eight bytes for each shingle.
+    """
+    shared.shared_dir(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("k2"), "text")
+    found = shared.written(rows.mapInArrow(_described(words, orders), "doc_id long, k1 long, k2 long, n long, cls binary, keys array<long>"), "shingles")
+    # One row of each class stands for it.
+    classes = found.where("keys is not null").groupBy("cls").agg(F.min(F.struct("k1", "k2", "n", "keys")).alias("o")).select("cls", "o.*")
+    single = classes.select("cls", "k1", "k2", "n", F.explode("keys").alias("key"))
+    # Groups of two classes or more; of those with the same classes one is enough.
+    mark = [F.bit_xor(F.xxhash64("cls", F.lit(i))) for i in (1, 2)]
+    shape = single.groupBy("key").agg(F.count("*").alias("total"), F.sum("n").alias("tokens"), mark[0].alias("m1"), mark[1].alias("m2")).where("total > 1")
+    groups = shared.written(shape.groupBy("total", "tokens", "m1", "m2").agg(F.min("key").alias("key")).select("key", "total", "tokens"), "groups")
+    buckets = max(1, -(-8 * (groups.agg(F.sum("tokens")).first()[0] or 0) // block_bytes))
+    tiles = F.greatest(F.ceil(F.col("total") / group_rows), F.ceil(8 * F.col("tokens") / (4 * block_bytes)))
+    wanted = single.join(groups.withColumn("tiles", tiles), "key").withColumn("tile", F.pmod(F.xxhash64("cls"), "tiles"))
+    # A row of tile t goes to the tile pairs of t and any other.
+    pairs = F.expr("case when tiles > 1 then transform(sequence(0L, tiles - 1), j -> xxhash64(key, least(tile, j), greatest(tile, j))) else array(key) end")
+    wanted = wanted.groupBy("k1", "k2", "cls").agg(F.flatten(F.collect_list(pairs)).alias("keys"))
+    sent = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("cls", F.explode("keys").alias("key"), "text")
+    met = sent.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets).cast("long"))).groupBy("bucket")
+    return found.select("doc_id", "n", "cls"), met.applyInArrow(_meet(words, percent), "a binary, b binary")
 
 
 def shingle_components(docs: DataFrame, **options) -> DataFrame:

@@ -85,6 +85,23 @@ def test_long_words():
     assert set(a) != set(shingle_join.shingle_set(b"x" * 5001 + b" b c d e"))
 
 
+def test_words_that_fool_polynomials(spark):
+    """A Thue-Morse word and its complement have the same polynomial hash modulo 2**64."""
+    w = "".join("ab"[i.bit_count() & 1] for i in range(1 << 11))
+    a, b = (shingle_join.shingle_set(x.encode()) for x in (f"{w} x y z", f"{w.translate(str.maketrans('ab', 'ba'))} x y z"))
+    assert len(a) == len(b) == 1 and a[0] != b[0]
+    docs = [(1, w), (2, w.translate(str.maketrans("ab", "ba"))), (3, w.upper())]
+    assert got(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+
+
+def test_small_and_large_sets(spark):
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(4000)]
+    big = [rng.choice(words) for _ in range(6000)]
+    docs = [(i, " ".join(big[: 6000 - 180 * i])) for i in range(12)] + [(100 + i, " ".join(big[i : i + 3 + i % 5])) for i in range(60)] + [(200 + i, "one two three") for i in range(40)]
+    assert got(spark.createDataFrame(docs, "doc_id long, text string"), block_bytes=50_000) == brute(docs)
+
+
 def test_trees_find_what_pairs_find():
     docs = families(11, 160)
     sets = [shingle_join.shingle_set(t.encode()) for _, t in docs]
