@@ -5,26 +5,31 @@ block every dimension has a posting segment for each quantised value (the value
 query a segment's impact is the least that it adds to the score, above the least of its dimension. Segments of all
 dimensions are taken by descending impact and added to one accumulator for each row. What is still to come in a
 dimension is at most the impact of its next segment, so accumulator + sum of these bounds a row from above and the
-accumulator alone from below. Work stops only when that proves all but RESCORED rows out; the rest are rescored with
-whole-number inner products. Per block the k + 1 best leave (one may be the query itself), and a window takes
-the best k of all blocks, ties to the smaller id.
-
-A query is a row whose id is divisible by `every`; queries are dealt to blocks too, so a task holds one block of
-each. Vectors that are null, or that hold null or non-finite components, and rows with a null id take no part; rows
-that share an id count as one, with the smallest vector. Shorter vectors are filled up with zeros. Fewer than k
-candidates give fewer rows. Components times 256 must fit 31 bits.
+accumulator alone from below. Rows that this proves out are dropped; work stops where rescoring the rest with
+whole-number inner products reads fewer components than the postings that are left, and at the latest where all
+postings are read. Per block the k best leave, and a window takes the best k of all blocks, ties to the smaller id.
+
+A block's index is built once: its rows come before its queries in one sorted stream, and queries pass through it in
+batches, so a task holds one block, whatever the number of queries. A query is a row whose id is divisible by `every`;
+a query id that repeats is asked once, with its smallest vector. Candidates are all rows with another id than the
+query's, also where ids repeat. Vectors that are null, or that hold null or non-finite components, and rows with a null
+id take no part. Shorter vectors are filled up with zeros; an empty vector is all zeros. Fewer than k candidates give
+fewer rows, an empty table an empty result. Columns other than vec_id and embedding aren't read. Components times 256
+must fit 31 bits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS, QUERY_ROWS = 32768, 512
-#: Rows that a proof may leave to be rescored.
-RESCORED = 1024
+BLOCK_ROWS = 32768
+#: So few rows are rescored at once, whatever is left of the postings.
+RESCORED = 16
 LEVELS = 64
 CHECK_EVERY = 128
 
@@ -79,57 +84,88 @@ class ImpactIndex:
         slack = np.abs(query) * low
         score = np.zeros(n, np.int64)
         rest, alive = int(left.sum()), np.arange(n)
-        begun = np.zeros(len(query), bool)
+        unread = n * int(np.count_nonzero(query))
         for i, (d, s, x) in enumerate(zip(dim.tolist(), number.tolist(), impact.tolist(), strict=True)):
-            score[self.segments[d][1][s]] += x
+            segment = self.segments[d][1][s]
+            score[segment] += x
+            unread -= len(segment)
             new = max(int(after[i]), int(slack[d]))
             rest += new - int(left[d])
             left[d] = new
-            begun[d] = True
             if i % CHECK_EVERY == CHECK_EVERY - 1:
                 kth = np.partition(score, n - k)[n - k]
                 alive = np.flatnonzero(score + rest >= kth)
-                if len(alive) <= max(RESCORED, 4 * k):
+                if len(alive) <= RESCORED or len(alive) * len(query) <= unread:
                     return alive
         kth = np.partition(score, n - k)[n - k]
         return np.flatnonzero(score + rest >= kth)
 
-    def best(self, query: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        rows = self.possible(query, k)
+    def best(self, query: np.ndarray, ids: np.ndarray, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best rows whose id isn't own."""
+        rows = self.possible(query, k + (0 if own is None else int(np.count_nonzero(ids == own))))
+        rows = rows if own is None else rows[ids[rows] != own]
         score = self.rows[rows] @ query
         order = np.lexsort((ids[rows], -score))[:k]
         return ids[rows[order]], score[order]
 
 
-def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), np.int64)
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
-    return out
+def _matrix(vectors: pa.ListArray, width: int | None = None) -> np.ndarray:
+    """Rows of the list's values, filled up with zeros or cut to width."""
+    size = np.diff(vectors.offsets.to_numpy())
+    out = np.zeros((len(size), int(size.max(initial=0))), np.int64)
+    out[np.arange(out.shape[1]) < size[:, None]] = vectors.flatten().to_numpy()
+    if width is None or width == out.shape[1]:
+        return out
+    fit = np.zeros((len(size), width), np.int64)
+    least = min(width, out.shape[1])
+    fit[:, :least] = out[:, :least]
+    return fit
+
+
+def _search(k: int):
+    """Rows (block, asks, vec_id, v) in order of block and asks: first a block's vectors, then its queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, kept, index, ids = None, [], None, np.zeros(0, np.int64)
+        for batch in batches:
+            where = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(where)) + 1).tolist(), len(where)]
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if s == e:
+                    continue
+                own, asks = divmod(int(where[s]), 2)
+                if own != block:
+                    block, kept, index = own, [], None
+                part = batch.slice(s, e - s)
+                if not asks:
+                    kept.append(part)
+                    continue
+                if index is None and kept:
+                    table = pa.Table.from_batches(kept)
+                    ids, index = table.column(2).to_numpy(), ImpactIndex(_matrix(pa.concat_arrays(table.column(3).chunks)))
+                    kept = []
+                if index is None:
+                    continue
+                out = []
+                for q, vector in zip(part.column(2).to_pylist(), _matrix(part.column(3), index.rows.shape[1]), strict=True):
+                    found, score = index.best(vector, ids, k, q)
+                    out += [(q, i, x) for i, x in zip(found.tolist(), score.tolist(), strict=True)]
+                cols = np.array(out, np.int64).reshape(-1, 3)
+                yield pa.RecordBatch.from_pydict({c: pa.array(cols[:, i]) for i, c in enumerate(("query_id", "vec_id", "score"))})
+
+    return run
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score over columns vec_id and embedding."""
     good = "embedding is not null and vec_id is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf'))"
     whole = vectors.where(good).select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(f"transform(embedding, x -> floor({scale} * double(x)))").alias("v"))
-    whole = whole.groupBy("vec_id").agg(F.min("v").alias("v"))
-    n = vectors.count()
-    blocks, asked = max(1, -(-n // BLOCK_ROWS)), max(1, -(-n // (every * QUERY_ROWS)))
-    mixed = F.xxhash64("vec_id")
-    queries = whole.where(F.col("vec_id") % every == 0).select("vec_id", "v", F.pmod(mixed, F.lit(asked).cast("long")).alias("q"), F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("b"))
-    index = whole.select("vec_id", "v", F.pmod(mixed, F.lit(blocks).cast("long")).alias("b"), F.explode(F.expr(f"sequence(0L, {asked - 1}L)")).alias("q"))
-
-    def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(queries) and len(rows):
-            width = max(max(map(len, queries.v)), max(map(len, rows.v)))
-            own, ids = ImpactIndex(_matrix(rows.v, width)), rows.vec_id.to_numpy()
-            for qid, q in zip(queries.vec_id.tolist(), _matrix(queries.v, width), strict=True):
-                found, score = own.best(q, ids, k + 1)
-                out += [(qid, i, s) for i, s in zip(found.tolist(), score.tolist(), strict=True) if i != qid][:k]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    found = queries.groupBy("q", "b").cogroup(index.groupBy("q", "b")).applyInPandas(search, "query_id long, vec_id long, score long")
+    blocks = max(1, -(-vectors.count() // BLOCK_ROWS))
+    index = whole.select(F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks).cast("long")).alias("block"), F.lit(0).cast("long").alias("asks"), "vec_id", "v")
+    queries = whole.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = queries.select(F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"), F.lit(1).cast("long").alias("asks"), "vec_id", "v")
+    dealt = index.unionByName(queries).repartition(2 * blocks, "block").sortWithinPartitions("block", "asks")
+    found = dealt.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

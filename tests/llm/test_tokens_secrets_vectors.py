@@ -196,10 +196,9 @@ def brute_top(vectors, k=5, every=50):
     return sorted(out)
 
 
-@pytest.mark.parametrize("blocks", [(8192, 512), (40, 3)])
-def test_top_k(spark, monkeypatch, blocks):
-    monkeypatch.setattr(impact_topk, "BLOCK_ROWS", blocks[0])
-    monkeypatch.setattr(impact_topk, "QUERY_ROWS", blocks[1])
+@pytest.mark.parametrize("rows_", [8192, 40])
+def test_top_k(spark, monkeypatch, rows_):
+    monkeypatch.setattr(impact_topk, "BLOCK_ROWS", rows_)
     rng = np.random.default_rng(4)
     raw = {i: rng.normal(0, 0.2, 12).astype(np.float32) for i in range(0, 600)}
     for i in range(100, 160):
@@ -222,11 +221,26 @@ def test_nothing_possible_is_lost(n, k, seed, span):
     assert found.tolist() == order.tolist() and score.tolist() == (rows_ @ q)[order].tolist()
 
 
+def test_fewer_rows_are_rescored_than_there_are(spark, sf):
+    """At 500 rows, and whatever the vectors: the proof leaves a part of them."""
+    raw = np.random.default_rng(6).normal(0, 0.2, (500, 64))
+    index = impact_topk.ImpactIndex(np.floor(256 * raw).astype(np.int64))
+    left = [len(index.possible(index.rows[q], 6)) for q in range(0, 500, 50)]
+    assert max(left) < 500 and np.mean(left) < 350
+
+
+def test_repeated_ids_are_rows(spark):
+    data = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (7, [0.5, 0.0]), (7, [0.5, 0.0]), (7, [0.25, 0.0]), (8, [0.125, 1.0])]
+    got = [tuple(r) for r in impact_topk.top_k(spark.createDataFrame(data, "vec_id long, embedding array<float>")).orderBy("rank").collect()]
+    assert got == [(50, 1, 7, 32768), (50, 2, 7, 32768), (50, 3, 7, 16384), (50, 4, 8, 8192)]
+
+
 def test_top_k_odd(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 0.5], "x"), (0, [1.0, 0.5], "x"), (1, [0.5], "x"), (2, None, "x"), (3, [1.0, None], "x"), (4, [nan, 1.0], "x"), (5, [inf, 1.0], "x"), (None, [1.0, 1.0], "x"), (6, [], "x"), (50, [0.25, 0.25], "x")]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>, score string")
     got = sorted(tuple(r) for r in impact_topk.top_k(df).collect())
     vectors = {0: np.array([256, 128]), 1: np.array([128, 0]), 6: np.array([0, 0]), 50: np.array([64, 64])}
-    assert got == brute_top(vectors)
+    # The row with id 0 stands there twice: one query, and two candidates for another query.
+    assert got == [r for r in brute_top(vectors) if r[0] == 0] + [(50, 1, 0, 24576), (50, 2, 0, 24576), (50, 3, 1, 8192), (50, 4, 6, 0)]
     assert impact_topk.top_k(df.limit(0)).count() == 0
