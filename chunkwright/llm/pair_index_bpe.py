@@ -8,7 +8,8 @@ lower rank than the one at hand, that rank goes first, so each piece sees the or
 
 Covered: BPE files with end_of_word_suffix, normaliser and pre-tokeniser of the file (the tokenizers library runs
 these two on distinct runs; the merges are ours). Strings of the file's added tokens are tokens of their own.
-Null and empty texts have no tokens; texts of any length are encoded whole; rows are independent of each other.
+Null and empty texts have no tokens; texts of any length are encoded whole; rows are independent of each other, so an
+empty table gives an empty result and repeated rows equal ones. Other columns aren't read, unless they are carried.
 """
 
 from __future__ import annotations
@@ -204,8 +205,8 @@ def groups(texts: list[bytes], most: int = GROUP_BYTES) -> Iterator[list[bytes]]
         yield own
 
 
-def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the ids and decoded text; one pass, no shuffle."""
+def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the ids and decoded text; one pass, no shuffle. carry: columns of docs that pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
@@ -219,11 +220,12 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> Data
             cols |= {"ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()), "decoded_sha256": pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string())}
             if keep_ids:
                 cols |= {"ids": pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in ids], pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
-            yield pa.RecordBatch.from_pydict(cols)
+            yield pa.RecordBatch.from_pydict(cols | {c: batch.column(2 + i) for i, c in enumerate(carry)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     more = ", ids array<int>, decoded string" if keep_ids else ""
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    more += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return docs.select("doc_id", "text", *[f"`{c}`" for c in carry]).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
 
 
 def op6_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

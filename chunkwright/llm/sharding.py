@@ -79,28 +79,31 @@ def assign(df: DataFrame, key: Column, shards: int, vnodes: int = 128) -> DataFr
 
     Rows are ordered within an arc by position and then by all of `order` columns (doc_id, size, text_crc32), so
     equal rows may swap slots but the result as a set of rows is fixed. Null keys hash like any other value; an
-    empty table gives an empty result; extra columns pass through.
+    empty table gives an empty result; extra columns pass through, but for those named as one of the three that are added.
     """
-    spark, points = df.sparkSession, ring_points(shards, vnodes)
+    spark, points, given = df.sparkSession, ring_points(shards, vnodes), df.columns
+    # The caller's columns travel under names that none here has.
+    df = df.select(key.alias("_key"), *[F.col(f"`{c}`").alias(f"_in_{c}") for c in given])
     arcs = _table(spark, _arcs(points), "cell:bigint,arc:int,lo:bigint,hi:bigint")
-    placed = df.withColumn("_pos", F.shiftrightunsigned(F.xxhash64(key), 1)).withColumn("_cell", F.shiftright("_pos", RING_BITS - CELL_BITS))
+    placed = df.withColumn("_pos", F.shiftrightunsigned(F.xxhash64("_key"), 1)).withColumn("_cell", F.shiftright("_pos", RING_BITS - CELL_BITS))
     # The arcs are shards * vnodes rows and at most 2**CELL_BITS more: a bound set by the parameters.
     placed = placed.join(F.broadcast(arcs), (F.col("_cell") == F.col("cell")) & F.col("_pos").between(F.col("lo"), F.col("hi"))).drop("cell", "lo", "hi", "_cell")
     counts = {r["arc"]: r["count"] for r in placed.groupBy("arc").count().collect()}
     plan = _table(spark, spill_plan(counts, points, shards), "arc:int,from_rank:bigint,to_rank:bigint,shard:int,slot0:bigint").withColumnRenamed("arc", "_arc")
     homes = _table(spark, [{"h_arc": j, "home_shard": s} for j, (_, s) in enumerate(points)], "h_arc:int,home_shard:int")
     plan = plan.join(F.broadcast(homes), F.col("h_arc") == F.col("_arc")).drop("h_arc")
-    order = [c for c in ("doc_id", "size", "text_crc32") if c in df.columns]
+    order = [f"_in_{c}" for c in ("doc_id", "size", "text_crc32") if c in given]
     ranked = placed.withColumn("_rank", F.row_number().over(Window.partitionBy("arc").orderBy("_pos", *order)).cast("long") - 1)
     at = (F.col("arc") == F.col("_arc")) & (F.col("_rank") >= F.col("from_rank")) & (F.col("_rank") < F.col("to_rank"))
     out = ranked.join(F.broadcast(plan), at)  # as many rows as arcs and overflowing ranges, again bound by the parameters
-    return out.withColumn("slot", F.col("slot0") + F.col("_rank") - F.col("from_rank")).select(*df.columns, "home_shard", "shard", "slot")
+    return out.withColumn("slot", F.col("slot0") + F.col("_rank") - F.col("from_rank")).select(*[F.col(f"`_in_{c}`").alias(c) for c in given if c not in ("home_shard", "shard", "slot")], "home_shard", "shard", "slot")
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, vnodes: int = 128) -> DataFrame:
     """doc_id, size, text_crc32, home_shard, shard, slot of every document.
 
-    Null text counts as no bytes (size 16, crc 0); a null doc_id is placed by its text's crc.
+    Null text counts as no bytes (size 16, crc 0), and so does an empty one; texts of any length are read whole, for their
+    bytes and crc only. A null doc_id is placed by its text's crc. Other columns aren't read.
     """
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = docs.select("doc_id", (F.octet_length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +52,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir). Where it is unset, as in tests, a local one is made and set."""
+    """The folder that the cluster shares (spark.checkpoint.dir). Where it is unset, which is an error but in local mode, a local one is made and set."""
     kept = spark.conf.get("spark.checkpoint.dir", None)
     if not kept:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         kept = getattr(spark, "_chunkwright_shared", None) or "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark._chunkwright_shared = kept
     if spark.sparkContext.getCheckpointDir() is None:
@@ -69,6 +72,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def placed(docs: DataFrame, part: str, row: str) -> DataFrame:
+    """docs with the number of the file that each row is read from and its place there, null where docs aren't read from files."""
+    try:
+        number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+        return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (part, row)], number.alias(part), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:
+        return docs.drop(part, row).withColumns({part: F.lit(None).cast("int"), row: F.lit(None).cast("long")})
+
+
 def hidden(docs: DataFrame, own: tuple[str, ...]) -> DataFrame:
     """docs with all columns but its own renamed, so that they can't clash with those that an operator adds."""
     return docs.select(*[F.col(f"`{c}`").alias(c if c in own else f"_in_{c}") for c in docs.columns])

@@ -151,6 +151,13 @@ def test_pipeline_is_its_stages(spark, sf):
     final = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in final.collect()} == one and len(corpus_pipeline.STAGES) == 5
     assert final.where(F.size("ids") != F.col("n_tokens")).isEmpty()
+    # The order of the mix shows: slots by the operator, places by the files that the last stage read.
+    from chunkwright.llm import source_mix
+
+    near = corpus_pipeline.near_duplicates(spark, fewer, sf)
+    slots = {r.doc_id: (r.mix_slot, r.mix_place) for r in source_mix.mix(near).collect()}
+    in_order = [slots[r.doc_id] for r in final.orderBy("mix_part", "mix_row").collect()]
+    assert in_order == sorted(in_order) and final.where("mix_part is null").isEmpty()
 
 
 def test_near_duplicates_at_80_percent(spark):
