@@ -30,18 +30,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same rows, in files and order of the mix."""
+    """The same rows, in files and order of the mix: by number of the part file and place in it."""
     return source_mix.mixed_order(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, digests and ids of each text, in the order of docs."""
-    return pair_index_bpe.encode_documents(docs, pair_index_bpe.vocabulary_path(), keep_ids=True).drop("decoded")
+    """doc_id, n_tokens, digests and ids of each text, and its place in the mix: mix_part and mix_row, by which rows sort to the order of the stage before."""
+    rows = shared.placed(docs, "mix_part", "mix_row")
+    return pair_index_bpe.encode_documents(rows, pair_index_bpe.vocabulary_path(), keep_ids=True, carry=("mix_part", "mix_row")).drop("decoded")
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("shingle_join", near_duplicates), ("source_mix", mixing), ("pair_index_bpe", tokens)]
 
-#: Near duplicates and BPE merges have no SQL form; tests/llm compares each stage with a brute-force version.
+#: Near duplicates and BPE merges have no SQL form; tests/llm compares stages with brute-force versions.
 ORACLE_SQL = None
 
 
