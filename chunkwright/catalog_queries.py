@@ -6,6 +6,10 @@ five types are mapped to the five of a run. Time spans are in hours where a run'
 
 from __future__ import annotations
 
+import uuid
+from datetime import timedelta
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,7 +166,11 @@ def q_plan_balanced(spark, sf):
 
 
 def q_plan_audit(spark, sf):
-    return plans.audit_plan(_even(spark, sf), _catalog(spark, sf))
+    """A sound plan with faults put in: a hole in documents, a lost end in pages, a wrong estimate in labels, a negative one in events."""
+    bad = _even(spark, sf).where("not (table = 'documents' and idx = 1) and not (table = 'pages' and idx = 0)")
+    bad = bad.withColumn("est_rows", F.when((F.col("table") == "labels") & (F.col("idx") == 0), F.col("est_rows") + 1).otherwise(F.col("est_rows")))
+    bad = bad.withColumn("est_bytes", F.when((F.col("table") == "events") & (F.col("idx") == 0), -F.col("est_bytes")).otherwise(F.col("est_bytes")))
+    return plans.audit_plan(bad, _catalog(spark, sf))
 
 
 def q_strategy_mix(spark, sf):
@@ -194,13 +202,15 @@ def q_balance_ratio(spark, sf):
 
 def q_null_key(spark, sf):
     docs = _documents(spark, sf).withColumn("doc_id", F.when(F.col("doc_id") % 50 != 0, F.col("doc_id")))
-    plan = _even(spark, sf).where("table = 'documents'")
-    return chunks.assign_chunks(docs, "doc_id", plan).groupBy("chunk_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("doc_id").isNull()).alias("n_null"))
+    return chunks.assign_chunks(docs, "doc_id", _even(spark, sf), "documents").groupBy("chunk_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("doc_id").isNull()).alias("n_null"))
 
 
 def q_key_range(spark, sf):
-    half = F.expr("n_chars")
-    return tables.scan_key_range(_documents(spark, sf), "doc_id", 100, 299, 0).agg(F.count("*").alias("n_rows"), F.sum(half).alias("n_chars"))
+    """A scan for each range of the plan."""
+    docs, out = _documents(spark, sf), []
+    for r in _even(spark, sf).where("table = 'documents'").orderBy("idx").collect():
+        out.append(tables.scan_key_range(docs, "doc_id", r.range_start, r.range_end, r.idx).agg(F.lit(r.idx).alias("chunk_id"), F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def q_block_rows(spark, sf):
@@ -250,9 +260,40 @@ def q_preview(spark, sf):
     return plans.preview(jobs, jobs.where("idx % 3 = 0")).select("schema", "table", "idx", "done")
 
 
+_LOADED = {"documents": "doc_id", "orders": "o_orderkey"}
+
+
+def _exported(spark, sf, names):
+    """An export of some tables in one run, and its manifest's jobs."""
+    root, catalog = workspace(spark, "export"), _catalog(spark, sf)
+    plan = tables.kept(plans.chunk_folders(_even(spark, sf).where(F.col("table").isin(*names))), f"{root}/plan")
+    found = _tables(spark, sf)
+    load.export_tables({n: found[n].select(*COLUMNS[n]) for n in names}, _LOADED, plan, root, "lz4")
+    done = plan.withColumn("status", F.lit("exported"))
+    manifest.write_manifest(done, catalog, profile.sequence_state(catalog), "run-1", f"{root}/manifest")
+    jobs = plans.plan_jobs(manifest.read_manifest(spark, f"{root}/manifest")).withColumn("strategy", F.lit("key_range"))
+    return root, jobs.withColumn("chunk_key", ledger.chunk_key("run-1"))
+
+
 def q_missing_chunks(spark, sf):
-    jobs = _keyed_jobs(spark, sf)
-    return load.missing_chunks(jobs, jobs.where("idx % 4 <> 1")).select("file")
+    """Chunks of the manifest whose files were lost after the export."""
+    root, jobs = _exported(spark, sf, ["documents"])
+    for r in jobs.where("idx % 4 = 1").select("file").collect():
+        tables.delete_path(spark, f"{root}/{r.file}")
+    return load.missing_chunks(jobs, load.list_chunks(spark, root)).select("file", "status")
+
+
+def q_load_resume(spark, sf):
+    """Two tables loaded from a manifest through a ledger: a first run stops between data and mark, a second loads the rest once."""
+    root, jobs = _exported(spark, sf, list(_LOADED))
+    marks = ledger.Ledger(spark, f"{root}/ledger")
+    marks.create()
+    load.load_chunks(spark, jobs.where("idx % 4 = 0"), root, COLUMNS, f"{root}/target", marks)
+    load.load_chunks(spark, jobs.where("idx % 2 = 0"), root, COLUMNS, f"{root}/target", marks, mark=False)
+    load.load_chunks(spark, jobs, root, COLUMNS, f"{root}/target", marks)
+    n_marks = jobs.join(marks.done(), "chunk_key").groupBy("table", F.col("idx").alias("chunk_id")).agg(F.count("*").alias("n_marks"))
+    rows = reduce(DataFrame.unionByName, [spark.read.parquet(f"{root}/target/{n}").select(F.lit(n).alias("table"), F.col("chunk_id").cast("long").alias("chunk_id"), F.col(k).alias("k")) for n, k in _LOADED.items()])
+    return rows.groupBy("table", "chunk_id").agg(F.count("*").alias("n_rows"), F.min("k").alias("first_key"), F.max("k").alias("last_key")).join(n_marks, ["table", "chunk_id"])
 
 
 def q_manifest(spark, sf):
@@ -263,13 +304,14 @@ def q_manifest(spark, sf):
 
 def q_export_reload(spark, sf):
     """Exports half of the chunks, stops, resumes by the ledger, and reads all back."""
-    path, plan = workspace(spark, "export"), _balanced(spark, sf)
+    path = workspace(spark, "export")
+    plan = tables.kept(_balanced(spark, sf), f"{path}/plan")
     rows = chunks.assign_chunks(_documents(spark, sf), "doc_id", plan)
     jobs = plan.withColumn("chunk_key", ledger.chunk_key("run-1")).withColumn("chunk_id", F.col("idx"))
     marks = ledger.Ledger(spark, f"{path}/ledger")
     marks.create()
-    for todo in (jobs.where("idx % 2 = 0"), jobs):
-        left = ledger.pending(todo, marks.done())
+    for n, todo in enumerate((jobs.where("idx % 2 = 0"), jobs)):
+        left = tables.kept(ledger.pending(todo, marks.done()), f"{path}/todo-{n}")
         load.redo_chunks(rows, left, f"{path}/data", "lz4")
         marks.mark(left)
     back = spark.read.parquet(f"{path}/data")
@@ -286,7 +328,10 @@ def q_orphans(spark, sf):
 
 
 def q_sequences(spark, sf):
-    return load.reset_sequences(profile.sequence_state(_catalog(spark, sf)))
+    """Tables without a key have no value to go on from, which the result says."""
+    catalog = _catalog(spark, sf)
+    unused = catalog.where("key_max is null").select("schema", "table", F.lit(None).cast("long").alias("last_value"), F.lit(False).alias("is_called"))
+    return load.reset_sequences(profile.sequence_state(catalog).unionByName(unused))
 
 
 VIEW = "SELECT n_name, count(*) AS n_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey GROUP BY n_name"
@@ -298,9 +343,12 @@ def q_view_refresh(spark, sf):
 
 
 def _changed(spark, sf):
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"])
-    copy = orders.where("o_orderkey % 11 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 13 == 0, F.lit("?")).otherwise(F.col("o_orderstatus")))
-    return orders, copy
+    """In the copy rows are missing, others have another status, and in some a null and a value have changed places."""
+    k, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    raw = spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"])
+    orders = raw.withColumn("o_orderstatus", F.when(k % 17 != 0, status))
+    swapped = raw.withColumns({"o_orderstatus": F.when(k % 17 == 0, priority).otherwise(status), "o_orderpriority": F.when(k % 17 != 0, priority)})
+    return orders, swapped.where("o_orderkey % 11 <> 0").withColumn("o_orderstatus", F.when(k % 13 == 0, F.lit("?")).otherwise(status))
 
 
 def q_reconcile(spark, sf):
@@ -370,6 +418,21 @@ def q_stream_state(spark, sf):
     return streams.drained(streams.stream_worker_state(_stream(spark, sf)), workspace(spark, "state"))
 
 
+def q_stream_late(spark, sf):
+    """Append mode, a file a batch: the second brings late rows within the watermark, which count, the third older ones, which don't; two far marks close all windows."""
+    path, events = workspace(spark, "late"), _events(spark, sf)
+    end = events.agg(F.max("ts")).first()[0]
+    day = timedelta(days=1)
+    again = events.where(F.col("ts") >= F.lit(end - day / 2))
+    old = events.where(F.col("ts") >= F.lit(end - 10 * day)).withColumn("ts", F.col("ts") - F.expr("interval 15 days"))
+    for n, rows in enumerate((events, again, old, None, None)):
+        if rows is None:
+            rows = events.limit(1).withColumns({"run": F.lit(-1).cast("long"), "ts": F.lit(end + (100 + n) * day)})
+        rows.withColumn("run", F.col("run").cast("long")).coalesce(1).write.mode("append").parquet(f"{path}/events")
+    speed = streams.stream_speed(streams.read_stream(spark, f"{path}/events", 1), "6 hours", "6 hours", "1 day")
+    return _naive(streams.drained(speed, path, "append").where("run >= 0"))
+
+
 def q_scrub_urls(spark, sf):
     own = F.concat(F.lit("db://u"), F.col("page_id"), F.lit(":secret"), F.col("page_id"), F.lit("@host/base"), F.col("page_id"), F.lit("?a=1&sslmode=require&b=2"))
     pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").unionByName(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", own.alias("url")))
@@ -384,19 +447,35 @@ def q_schema_export(spark, sf):
 
 
 def q_pin(spark, sf):
-    pinned = tables.pin_snapshot(spark, {n: f"{sf}/{n}.parquet" for n in COLUMNS})
+    """After the pin, orders gets more files, of which pinned reads see nothing, and events is replaced, so its snapshot is lost."""
+    path, found = workspace(spark, "pin"), {}
+    for n in ("orders", "events"):
+        found[n] = f"{path}/{n}"
+        spark.read.parquet(f"{sf}/{n}.parquet").select(*COLUMNS[n]).repartition(3).write.parquet(found[n])
+    pinned = tables.kept(tables.pin_snapshot(spark, found), f"{path}/pinned")
+    spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"]).write.mode("append").parquet(found["orders"])
+    spark.read.parquet(f"{sf}/events.parquet").select(*COLUMNS["events"]).where("event_id % 2 = 0").write.mode("overwrite").parquet(found["events"])
+    lost = tables.snapshot_lost(pinned, tables.pin_snapshot(spark, found)).select("table", "snapshot_lost")
+    gone = {r.table for r in lost.where("snapshot_lost").collect()}
+    read = [(spark.read.parquet(p) if n in gone else tables.read_pinned(spark, pinned, n)).agg(F.lit(n).alias("table"), F.count("*").alias("n_read")) for n, p in found.items()]
     rows = pinned.groupBy("table").agg(F.sum("n_rows").alias("n_rows"))
-    return rows.join(tables.snapshot_lost(pinned, pinned).select("table", "n_lost", "snapshot_lost"), "table")
+    return rows.join(lost, "table").join(reduce(DataFrame.unionByName, read), "table")
 
 
 def q_clean(spark, sf):
-    """Loads orders twice into a target that is emptied between."""
+    """Loads orders twice into a table that clean_target empties between, then has clean_target make its schema anew."""
     path, orders = workspace(spark, "target"), spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"])
+    schema = "target_" + uuid.uuid4().hex
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{path}/{schema}'")
+    orders.limit(0).write.saveAsTable(f"{schema}.rows")
     for _ in range(2):
-        orders.limit(0).write.mode("overwrite").parquet(f"{path}/rows")
-        orders.write.mode("overwrite").parquet(f"{path}/chunk")
-        load.load_chunk(spark, f"{path}/chunk", COLUMNS["orders"], f"{path}/rows")
-    return spark.read.parquet(f"{path}/rows").groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
+        load.clean_target(spark, tables=[f"{schema}.rows"])
+        orders.write.insertInto(f"{schema}.rows")
+    out = tables.kept(spark.table(f"{schema}.rows").groupBy("o_orderstatus").agg(F.count("*").alias("n_rows")), f"{path}/counts")
+    load.clean_target(spark, schemas=[schema])
+    left = spark.sql(f"SHOW TABLES IN {schema}").count()
+    spark.sql(f"DROP SCHEMA {schema}")
+    return out.withColumn("tables_left", F.lit(left).cast("long"))
 
 
 def queries() -> dict:
@@ -497,7 +576,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_plan_even": f'{with_even} SELECT schema, "table", idx, range_start, range_end, est_bytes, est_rows FROM plan',
         "q_plan_blocks": f"WITH {catalog}, {blocks} SELECT * FROM plan",
         "q_plan_balanced": f"{with_greedy} SELECT * FROM plan",
-        "q_plan_audit": f'{with_even} SELECT p.schema, p."table", count(*) AS n_chunks, true AS contiguous, min(range_start) = any_value(c.key_min) AND max(range_end) = any_value(c.key_max) AS bounds_match, sum(p.est_bytes) = any_value(c.bytes) AND sum(p.est_rows) = any_value(c.est_rows) AS sums_match, min(p.est_bytes) >= 0 AND min(p.est_rows) >= 0 AS none_negative FROM plan p JOIN catalog c ON p.schema = c.schema AND p."table" = c."table" GROUP BY p.schema, p."table"',
+        "q_plan_audit": f'{with_even}, bad AS (SELECT schema, "table", idx, range_start, range_end, CASE WHEN "table" = {chr(39)}events{chr(39)} AND idx = 0 THEN -est_bytes ELSE est_bytes END AS est_bytes, CASE WHEN "table" = {chr(39)}labels{chr(39)} AND idx = 0 THEN est_rows + 1 ELSE est_rows END AS est_rows FROM plan WHERE NOT ("table" = {chr(39)}documents{chr(39)} AND idx = 1) AND NOT ("table" = {chr(39)}pages{chr(39)} AND idx = 0)), steps AS (SELECT *, lag(range_end) OVER (PARTITION BY schema, "table" ORDER BY idx) AS was FROM bad) SELECT p.schema, p."table", count(*) AS n_chunks, bool_and(coalesce(idx = 0 OR range_start = was + 1, false)) AS contiguous, min(range_start) = any_value(c.key_min) AND max(range_end) = any_value(c.key_max) AS bounds_match, sum(p.est_bytes) = any_value(c.bytes) AND sum(p.est_rows) = any_value(c.est_rows) AS sums_match, min(p.est_bytes) >= 0 AND min(p.est_rows) >= 0 AS none_negative FROM steps p JOIN catalog c ON p.schema = c.schema AND p."table" = c."table" GROUP BY p.schema, p."table"',
         "q_strategy_mix": f"WITH {catalog} SELECT strategy, count(*) AS n_tables FROM (SELECT CASE WHEN bytes < {THRESHOLD} THEN 'single' WHEN key_min IS NOT NULL THEN 'key_range' WHEN n_blocks > 0 THEN 'block_range' ELSE 'single' END AS strategy FROM catalog) GROUP BY strategy",
         "q_fill_estimates": f'{with_even}, c AS (SELECT "table", bytes AS tb, est_rows AS tr FROM catalog) SELECT schema, "table", idx, CASE WHEN idx % 2 = 0 THEN est_bytes ELSE {_half_up("tb", "count(*) OVER (PARTITION BY schema, \"table\")")} END AS est_bytes, CASE WHEN idx % 2 = 0 THEN est_rows ELSE {_half_up("tr", "count(*) OVER (PARTITION BY schema, \"table\")")} END AS est_rows FROM plan JOIN c USING ("table")',
         "q_job_order": f"{with_even} SELECT row_number() OVER (ORDER BY est_bytes DESC, schema, \"table\", idx) AS place, 'data/' || schema || '.' || \"table\" || printf('/chunk_%04d.parquet.zstd', idx) AS file, est_bytes FROM plan",
@@ -505,7 +584,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_chunk_balance": f"{with_greedy} {balance}",
         "q_balance_ratio": f"{with_greedy}, b AS ({balance}) SELECT count(*) AS n_chunks, CAST(sum(n_bytes) AS BIGINT) AS n_bytes, max(n_bytes) AS largest, CAST(max(n_bytes) * 1000 * count(*) // sum(n_bytes) AS BIGINT) AS max_over_mean_milli FROM b",
         "q_null_key": f"{with_even} SELECT idx AS chunk_id, count(*) AS n_rows, count(*) FILTER (d.doc_id IS NULL) AS n_null FROM (SELECT CASE WHEN doc_id % 50 <> 0 THEN doc_id END AS doc_id FROM documents) d JOIN plan p ON p.\"table\" = 'documents' AND CASE WHEN d.doc_id IS NULL THEN p.idx = 0 ELSE d.doc_id BETWEEN p.range_start AND p.range_end END GROUP BY idx",
-        "q_key_range": "SELECT count(*) AS n_rows, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents WHERE doc_id BETWEEN 100 AND 299 OR doc_id IS NULL",
+        "q_key_range": f"{with_even} SELECT p.idx AS chunk_id, count(d.doc_id) AS n_rows, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM plan p LEFT JOIN documents d ON doc_id BETWEEN p.range_start AND p.range_end WHERE p.\"table\" = 'documents' GROUP BY p.idx",
         "q_block_rows": f"WITH {catalog}, {blocks}, n2 AS (SELECT count(*) AS n FROM orders), r AS (SELECT i // {ROWS_PER_BLOCK} AS block FROM n2, range(0, 1000000000) AS z(i) WHERE false UNION ALL SELECT unnest(generate_series(0, n - 1)) // {ROWS_PER_BLOCK} FROM n2) SELECT idx AS chunk_id, count(*) AS n_rows, CAST(min(block) AS BIGINT) AS first_block, CAST(max(block) AS BIGINT) AS last_block FROM r JOIN plan ON \"table\" = 'orders' AND block >= block_start AND (block_end IS NULL OR block < block_end) GROUP BY idx",
         "q_generated": "SELECT 'disc_price' AS \"column\", count(*) AS n_rows, count(*) FILTER (l_orderkey % 97 = 0) AS n_null, count(*) FILTER (l_orderkey % 97 = 0 OR l_orderkey % 89 = 0) AS n_different FROM lineitem",
         "q_recomputed": f"SELECT l_linenumber, count(*) AS n_rows, CAST(sum({price}) * 10000 AS BIGINT) AS disc_price_x10000 FROM lineitem GROUP BY l_linenumber",
@@ -513,15 +592,17 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_loadable": f"WITH {catalog} SELECT schema, \"table\", kind, est_rows FROM catalog WHERE kind <> 'm'",
         "q_pending": f'{with_even} SELECT schema, "table", idx, est_rows FROM plan WHERE idx % 3 <> 0',
         "q_preview": f'{with_even} SELECT schema, "table", idx, idx % 3 = 0 AS done FROM plan',
-        "q_missing_chunks": f"{with_even} SELECT 'data/' || schema || '.' || \"table\" || printf('/chunk_%04d.parquet.zstd', idx) AS file FROM plan WHERE idx % 4 = 1",
+        "q_missing_chunks": f"{with_even} SELECT 'data/chunk_table=documents/chunk_id=' || idx AS file, 'exported' AS status FROM plan WHERE \"table\" = 'documents' AND (idx % 4 = 1 OR NOT EXISTS (SELECT 1 FROM documents WHERE doc_id BETWEEN range_start AND range_end))",
+        "q_load_resume": f"{with_even} " + " UNION ALL ".join(f"SELECT '{t}' AS \"table\", p.idx AS chunk_id, count(*) AS n_rows, min({k}) AS first_key, max({k}) AS last_key, CAST(1 AS BIGINT) AS n_marks FROM plan p JOIN {t} ON p.\"table\" = '{t}' AND {k} BETWEEN range_start AND range_end GROUP BY p.idx" for t, k in _LOADED.items()),
+        "q_stream_late": f"WITH {ev}, m AS (SELECT max(ts) AS mx FROM ev), a AS (SELECT ev.* FROM ev UNION ALL SELECT ev.* FROM ev, m WHERE ts >= mx - INTERVAL 12 HOUR) SELECT CAST(run AS BIGINT) AS run, {stamp(f'({secs("ts")} // 21600) * 21600')} AS window_start, {stamp(f'({secs("ts")} // 21600 + 1) * 21600')} AS window_end, count(*) AS n_events, CAST(sum(bytes) AS BIGINT) AS bytes FROM a GROUP BY ALL",
         "q_manifest": f"{with_even} SELECT schema, \"table\", kind, idx, range_start, range_end, est_bytes, est_rows, 'data/' || schema || '.' || \"table\" || printf('/chunk_%04d.parquet.zstd', idx) AS file FROM plan",
         "q_export_reload": f"{with_greedy} SELECT chunk_id, n_rows, n_bytes FROM metrics",
         "q_keys_dup": "SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1",
         "q_orphans": "SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 7 <> 0)",
-        "q_sequences": f'WITH {catalog} SELECT schema, "table", key_max + 1 AS next_value, true AS ok FROM catalog WHERE key_max IS NOT NULL',
+        "q_sequences": f'WITH {catalog} SELECT schema, "table", key_max + 1 AS next_value, key_max IS NOT NULL AS ok FROM catalog',
         "q_view_refresh": VIEW.format(orders="orders", customer="customer", nation="nation"),
-        "q_reconcile": "SELECT 'orders' AS \"table\", count(*) AS source_rows, count(*) FILTER (o_orderkey % 11 <> 0) AS target_rows, count(*) FILTER (o_orderkey % 11 = 0) = 0 AS rows_match, count(*) FILTER (o_orderkey % 11 = 0 OR o_orderkey % 13 = 0) = 0 AS values_match FROM orders UNION ALL SELECT 'events', count(*), count(*), true, true FROM events",
-        "q_changed_rows": "SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'missing' ELSE 'changed' END AS difference FROM orders WHERE o_orderkey % 11 = 0 OR (o_orderkey % 13 = 0 AND o_orderstatus <> '?')",
+        "q_reconcile": "SELECT 'orders' AS \"table\", count(*) AS source_rows, count(*) FILTER (o_orderkey % 11 <> 0) AS target_rows, count(*) FILTER (o_orderkey % 11 = 0) = 0 AS rows_match, count(*) FILTER (o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0) = 0 AS values_match FROM orders UNION ALL SELECT 'events', count(*), count(*), true, true FROM events",
+        "q_changed_rows": "SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'missing' ELSE 'changed' END AS difference FROM orders WHERE o_orderkey % 11 = 0 OR (o_orderkey % 13 = 0 AND o_orderstatus <> '?') OR o_orderkey % 17 = 0",
         "q_errors": f"WITH {failures}, c AS (SELECT event_id, {category} AS category FROM fl) SELECT event_id, category, category <> 'UNKNOWN' AS transient, CASE WHEN category <> 'UNKNOWN' THEN 'retrying' ELSE 'failed' END AS outcome FROM c",
         "q_retry_schedule": f"WITH {failures}, a AS (SELECT event_id, ts, row_number() OVER (PARTITION BY run, job ORDER BY ts, event_id) - 1 AS attempt FROM fl), w AS (SELECT *, CAST(least(5 * (1 << CAST(least(attempt, 5) AS INTEGER)), 60) AS BIGINT) AS wait_s FROM a) SELECT event_id, attempt, wait_s, ts + to_seconds(wait_s) AS due FROM w",
         "q_outcomes": f"WITH {ev} SELECT run, type, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes FROM ev GROUP BY run, type",
@@ -537,6 +618,6 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_stream_state": f"WITH {ev}, {latest} SELECT worker, {state}, n_events FROM last",
         "q_scrub_urls": "WITH p AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, 'db://u' || page_id || ':secret' || page_id || '@host/base' || page_id || '?a=1&sslmode=require&b=2' FROM pages) SELECT page_id, regexp_replace(regexp_replace(url, '://([^:]+):[^@]+@', '://\\1:***@', 'g'), '\\?.*', '', 'g') AS masked, regexp_extract(url, '/([^/?]+)(?:\\?.*)?$', 1) AS tail, split_part(url, '?', 1) || coalesce('?' || list_filter(string_split(CASE WHEN contains(url, '?') THEN split_part(url, '?', 2) END, '&'), lambda x: starts_with(lower(x), 'sslmode='))[1], '') AS clean FROM p",
         "q_schema_export": f"SELECT c.\"table\", c.position, c.\"column\", n.n_rows FROM ({positions}) c JOIN ({counts}) n USING (\"table\")",
-        "q_pin": f'SELECT "table", n_rows, CAST(0 AS BIGINT) AS n_lost, false AS snapshot_lost FROM ({counts})',
-        "q_clean": "SELECT o_orderstatus, count(*) AS n_rows FROM orders GROUP BY o_orderstatus",
+        "q_pin": "SELECT 'orders' AS \"table\", count(*) AS n_rows, count(*) AS n_read, false AS snapshot_lost FROM orders UNION ALL SELECT 'events', count(*), count(*) FILTER (event_id % 2 = 0), true FROM events",
+        "q_clean": "SELECT o_orderstatus, count(*) AS n_rows, CAST(0 AS BIGINT) AS tables_left FROM orders GROUP BY o_orderstatus",
     }

@@ -50,8 +50,9 @@ def percent(done: Column, total: Column) -> Column:
 
 
 def safe_name(name: Column) -> Column:
-    """Characters that paths can't hold become _."""
-    return F.regexp_replace(name, r'[/\\<>:"|?*\x00-\x1f]', "_")
+    """Characters that paths can't hold become _: marks that some file system gives a meaning, and control characters."""
+    marks = '<>:"/|?*' + chr(92)
+    return F.regexp_replace(F.translate(name, marks, "_" * len(marks)), r"\p{Cntrl}", "_")
 
 
 def chunk_file(schema: Column, table: Column, idx: Column, codec: str = "zstd") -> Column:
@@ -59,13 +60,19 @@ def chunk_file(schema: Column, table: Column, idx: Column, codec: str = "zstd")
 
 
 def masked_url(url: Column) -> Column:
-    """Password masked, query dropped."""
-    return F.regexp_replace(F.regexp_replace(url, r"://([^:]+):[^@]+@", "://$1:***@"), r"\?.*", "")
+    """Password masked, query dropped. The login is what stands before the last @ of the authority, the password what follows its first colon."""
+    bare = F.split_part(url, F.lit("?"), F.lit(1))
+    rest = F.substring_index(F.split_part(bare, F.lit("://"), F.lit(2)), "/", 1)
+    login = F.substring_index(rest, "@", 1)
+    masked = F.concat(F.substring_index(login, ":", 1), F.lit(":***"))
+    known = rest.contains("@") & F.substring_index(login, ":", 1).isNotNull() & (F.length(F.substring_index(login, ":", 1)) > 0) & (F.length(F.substring_index(login, ":", 1)) < F.length(login) - 1)
+    return F.when(known, F.concat(F.split_part(bare, F.lit("://"), F.lit(1)), F.lit("://"), masked, F.substring(bare, F.length(F.split_part(bare, F.lit("://"), F.lit(1))) + 4 + F.length(login), F.length(bare)))).otherwise(bare)
 
 
 def url_tail(url: Column) -> Column:
     """Last part of the path, or ''."""
-    return F.regexp_extract(url, r"/([^/?]+)(?:\?.*)?$", 1)
+    bare = F.split_part(url, F.lit("?"), F.lit(1))
+    return F.when(bare.contains("/"), F.substring_index(bare, "/", -1)).otherwise(F.lit(""))
 
 
 def url_with_only(url: Column, parameter: str) -> Column:

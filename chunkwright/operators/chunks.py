@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkwright.functions.expressions import row_bytes
 
 
-def assign_chunks(df: DataFrame, key: str, plan: DataFrame) -> DataFrame:
+#: Cells of the key space for each chunk.
+CELLS = 4
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
+
+
+def assign_chunks(df: DataFrame, key: str, plan: DataFrame, table: str | None = None) -> DataFrame:
     """df with chunk_id by the key ranges of its table's plan. First and last range are open, null keys go to chunk 0.
 
-    The plan's range starts travel as one row with one array, a number for each chunk of a threshold of bytes.
+    table names the one that df is where the plan has more. The key space of the plan is cut to cells, a few for each
+    chunk: a row finds its chunk by an equality on the cell and two comparisons. The plan and its cells are broadcast
+    only where Spark finds them small enough.
     """
-    starts = F.broadcast(plan.agg(F.array_sort(F.collect_list("range_start")).alias("_starts")))
-    at = F.greatest(F.size(F.filter("_starts", lambda s: s <= F.col(key))) - 1, F.lit(0))
-    return df.crossJoin(starts).withColumn("chunk_id", F.when(F.col(key).isNull(), 0).otherwise(at).cast("long")).drop("_starts")
+    own = (plan.where(F.col("table") == table) if table else plan).select("idx", F.col("range_start").cast("long").alias("_from"))
+    bounds = own.agg(F.min("_from").alias("_lo"), F.max("_from").alias("_hi"), F.expr(f"(max(_from) - min(_from)) div ({CELLS} * count(*)) + 1").alias("_width"))
+    one = F.broadcast(bounds)  # one row
+    after = F.lead("_from").over(Window.orderBy("_from"))  # a row for each chunk of one table
+    ranges = own.withColumn("_next", after).crossJoin(one)
+    cells = F.sequence(F.expr("(_from - _lo) div _width"), F.expr("(coalesce(_next - 1, _hi) - _lo) div _width"))
+    ranges = ranges.select(F.col("idx").cast("long").alias("chunk_id"), F.when(F.col("_from") > F.col("_lo"), F.col("_from")).otherwise(F.lit(LEAST)).alias("_from"), F.coalesce(F.col("_next") - 1, F.lit(MOST)).alias("_to"), F.explode(cells).alias("_cell"))
+    at = F.coalesce(F.col(key).cast("long"), F.lit(LEAST))
+    placed = df.drop("chunk_id").crossJoin(one).withColumn("_at", at).withColumn("_c", F.expr("(least(greatest(_at, _lo), _hi) - _lo) div _width"))
+    return placed.join(ranges, (F.col("_c") == F.col("_cell")) & F.col("_at").between(F.col("_from"), F.col("_to"))).drop("_lo", "_hi", "_width", "_at", "_c", "_cell", "_from", "_to")
 
 
 def assign_blocks(df: DataFrame, plan: DataFrame) -> DataFrame:

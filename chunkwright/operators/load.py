@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunkwright.operators.chunks import assign_chunks
+from chunkwright.operators.ledger import Ledger, pending
 from chunkwright.sources.tables import write_chunks
 
 
@@ -41,9 +43,30 @@ def check_generated(df: DataFrame, expressions: dict[str, Column]) -> DataFrame:
     return one.select("n_rows", F.inline(rows)).select("column", "n_rows", "n_null", "n_different")
 
 
-def load_chunk(spark: SparkSession, file: str, columns: list[str], target: str) -> None:
-    """Appends one chunk's files to a target folder, with the listed columns."""
-    spark.read.parquet(file).select(*columns).write.mode("append").parquet(target)
+def export_tables(found: dict[str, DataFrame], keys: dict[str, str], plan: DataFrame, root: str, codec: str | None = None) -> None:
+    """Writes the tables of a plan of key ranges, each chunk to the folder that chunk_folder names."""
+    for name, df in found.items():
+        rows = assign_chunks(df, keys[name], plan, name).withColumn("chunk_table", F.lit(name))
+        write_chunks(rows, f"{root}/data", codec, ("chunk_table", "chunk_id"))
+
+
+def load_chunks(spark: SparkSession, jobs: DataFrame, root: str, columns: dict[str, list[str]], target: str, marks: Ledger, mark: bool = True) -> None:
+    """Loads the chunks of a manifest's jobs (table, idx, file, chunk_key) that the ledger doesn't have, then marks them.
+
+    Fails with the whole list if files are missing. A chunk's rows replace what an earlier try left of that chunk, so
+    a run may stop between data and mark and loads each chunk once. Jobs are a row for each chunk of a threshold of bytes.
+    """
+    left = pending(jobs, marks.done())
+    lost = missing_chunks(left, list_chunks(spark, root)).orderBy("file").select("file").collect()
+    if lost:
+        raise FileNotFoundError(f"{len(lost)} chunks are missing: " + ", ".join(r[0] for r in lost))
+    todo = left.select("table", "file", "chunk_key").collect()
+    for name in sorted({r["table"] for r in todo}):
+        files = sorted(f"{root}/{r['file']}" for r in todo if r["table"] == name)
+        rows = spark.read.option("basePath", f"{root}/data").parquet(*files)
+        write_chunks(rows.select(*columns[name], F.col("chunk_table"), F.col("chunk_id").cast("long").alias("chunk_id")), f"{target}/{name}", by=("chunk_table", "chunk_id"))
+    if todo and mark:
+        marks.mark(spark.createDataFrame([(r["chunk_key"],) for r in todo], "chunk_key string"))
 
 
 def clean_target(spark: SparkSession, tables: list[str] = (), schemas: list[str] = (), data_only: bool = False) -> None:
@@ -98,9 +121,10 @@ def missing_chunks(jobs: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def list_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """(file, chunk_id) of what is there, without reading content."""
+    """(file, chunk_id) of the chunk folders that hold files, as the manifest names them, without reading content."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    return found.select(F.col("path").alias("file"), F.regexp_extract("path", r"/chunk_id=(\d+)/", 1).cast("long").alias("chunk_id"))
+    folder = F.regexp_extract("path", r"((data/chunk_table=[^/]+/)?chunk_id=\d+)/[^/]+$", 1)
+    return found.select(folder.alias("file"), F.regexp_extract("path", r"/chunk_id=(\d+)/", 1).cast("long").alias("chunk_id")).distinct()
 
 
 def redo_chunks(df: DataFrame, failed: DataFrame, path: str, codec: str | None = None) -> None:

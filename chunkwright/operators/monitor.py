@@ -19,6 +19,8 @@ TRANSIENT = ("NETWORK", "SERVER", "STREAM")
 
 DONE = ("completed", "skipped")
 LONGEST_WAIT, MOST_DOUBLINGS = 60, 5
+#: Running sums and gaps are windows inside buckets of that many seconds.
+BUCKET_SECONDS = 3600
 
 
 def _class_of(code: str, message: str) -> Column:
@@ -84,10 +86,16 @@ def progress(events: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def rolling_speed(samples: DataFrame, total_bytes: int, seconds: int = 10) -> DataFrame:
-    """Adds speed (bytes a second over the last `seconds`, at least one) and eta_s to samples (run, ts, event_id, bytes so far), each run on its own."""
-    micros = F.unix_micros("ts")
-    frame = Window.partitionBy("run").orderBy(micros).rangeBetween(-seconds * 1_000_000, 0)
-    out = samples.withColumn("_first", F.min("done_bytes").over(frame)).withColumn("_since", F.greatest(F.lit(1_000_000).cast("long"), micros - F.min(micros).over(frame)))
+    """Adds speed (bytes a second over the last `seconds`, at least one) and eta_s to samples (run, ts, event_id, bytes so far), each run on its own.
+
+    A sample stands in its own bucket of that many seconds and, as history, in the next one, so a window never holds
+    more than two buckets of a run.
+    """
+    micros, span = F.unix_micros("ts"), seconds * 1_000_000
+    both = samples.withColumn("_bucket", F.explode(F.array(F.expr(f"unix_micros(ts) div {span}"), F.expr(f"unix_micros(ts) div {span} + 1"))))
+    frame = Window.partitionBy("run", "_bucket").orderBy(micros).rangeBetween(-span, 0)
+    out = both.withColumn("_first", F.min("done_bytes").over(frame)).withColumn("_since", F.greatest(F.lit(1_000_000).cast("long"), micros - F.min(micros).over(frame)))
+    out = out.where(F.col("_bucket") == F.expr(f"unix_micros(ts) div {span}")).drop("_bucket")
     gained, left = F.col("done_bytes") - F.col("_first"), F.lit(total_bytes) - F.col("done_bytes")
     out = out.withColumn("_gained", gained).withColumn("speed", F.expr("(_gained * 1000000L) div _since"))
     need = left.cast("decimal(38,0)") * F.col("_since")
@@ -96,10 +104,15 @@ def rolling_speed(samples: DataFrame, total_bytes: int, seconds: int = 10) -> Da
     return out.withColumn("eta_s", eta).drop("_first", "_since", "_gained")
 
 
-def samples_of(events: DataFrame) -> DataFrame:
-    """Bytes done so far after each event of a run. One run's events make a window, never all runs at once."""
-    by = Window.partitionBy("run").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.withColumn("done_bytes", F.sum(F.when(F.col("type").isin(*DONE), F.col("bytes")).otherwise(F.lit(0).cast("long"))).over(by))
+def samples_of(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Bytes done so far after each event of a run: a sum for each bucket of time, a prefix over a run's buckets, and a window inside the bucket."""
+    done = F.when(F.col("type").isin(*DONE), F.col("bytes")).otherwise(F.lit(0).cast("long"))
+    rows = events.withColumn("_bucket", F.expr(f"unix_seconds(ts) div {seconds}"))
+    before = Window.partitionBy("run").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("run", "_bucket").agg(F.sum(done).alias("_sum")).select("run", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("run", "_bucket").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.withColumn("done_bytes", F.sum(done).over(inside)).join(sums, ["run", "_bucket"])
+    return out.withColumn("done_bytes", F.col("done_bytes") + F.col("_before")).select(*events.columns, "done_bytes")
 
 
 def worker_speed(events: DataFrame, bucket: str = "5 seconds") -> DataFrame:
@@ -110,10 +123,13 @@ def worker_speed(events: DataFrame, bucket: str = "5 seconds") -> DataFrame:
     return out.withColumn("speed", F.when(F.col("_s").isNotNull(), F.expr("bytes div _s"))).drop("_s")
 
 
-def idle_gaps(events: DataFrame, key: str = "worker", seconds: int = 60) -> DataFrame:
-    """(key, from, to, gap_s) of silences of that long or longer."""
-    before = F.lag("ts").over(Window.partitionBy(key).orderBy("ts", "event_id"))
-    out = events.withColumn("gap_from", before).withColumn("gap_s", F.unix_seconds("ts") - F.unix_seconds("gap_from"))
+def idle_gaps(events: DataFrame, key: str = "worker", seconds: int = 60, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """(key, from, to, gap_s) of silences of that long or longer. Windows are inside buckets of time; a bucket's first event looks back to the last one of the bucket before."""
+    rows = events.withColumn("_bucket", F.expr(f"unix_seconds(ts) div {bucket_seconds}"))
+    ends = rows.groupBy(key, "_bucket").agg(F.max("ts").alias("_end"))
+    ends = ends.select(key, "_bucket", F.lag("_end").over(Window.partitionBy(key).orderBy("_bucket")).alias("_was"))
+    before = F.lag("ts").over(Window.partitionBy(key, "_bucket").orderBy("ts", "event_id"))
+    out = rows.withColumn("_lag", before).join(ends, [key, "_bucket"]).withColumn("gap_from", F.coalesce("_lag", "_was")).withColumn("gap_s", F.unix_seconds("ts") - F.unix_seconds("gap_from"))
     return out.where(F.col("gap_s") >= seconds).select(key, "gap_from", F.col("ts").alias("gap_to"), "gap_s")
 
 

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def row_hash(names: list[str]) -> Column:
+    """A hash of a row's values. Spark's hash skips nulls, so each value brings a mark of whether it is one."""
+    return F.xxhash64(*[x for c in names for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+
+
 def fingerprint(tables: dict[str, DataFrame], columns: dict[str, list[str]] | None = None) -> DataFrame:
     """(table, n_rows, value_hash) of each table; the hash doesn't depend on the order of rows."""
     columns, parts = columns or {}, []
     for name, df in tables.items():
         names = columns.get(name, df.columns)
-        one = df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(F.xxhash64(*names).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("value_hash"))
+        one = df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(row_hash(names).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("value_hash"))
         parts.append(one.select(F.lit(name).alias("table"), "n_rows", "value_hash"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -27,8 +32,8 @@ def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def changed_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Keys with a row on one side only, or other values."""
-    mark = lambda df, p: df.select(key, F.xxhash64(*[c for c in source.columns]).alias(p))
+    """Keys with a row on one side only, or other values. A null and a value are different, wherever they stand."""
+    mark = lambda df, p: df.select(key, row_hash(source.columns).alias(p))
     both = mark(source, "_s").join(mark(target, "_t"), key, "full_outer")
     how = F.when(F.col("_t").isNull(), "missing").when(F.col("_s").isNull(), "extra").when(F.col("_s") != F.col("_t"), "changed")
     return both.withColumn("difference", how).where("difference is not null").select(key, "difference")

@@ -128,6 +128,11 @@ def chunk_paths(plan: DataFrame, codec: str = "zstd") -> DataFrame:
     return plan.withColumn("file", chunk_file(F.col("schema"), F.col("table"), F.col("idx"), codec))
 
 
+def chunk_folders(plan: DataFrame) -> DataFrame:
+    """Adds file: the folder to which a chunk is written, by partition columns, so that manifest and folders agree."""
+    return plan.withColumn("file", F.concat(F.lit("data/chunk_table="), "table", F.lit("/chunk_id="), F.col("idx").cast("string")))
+
+
 def plan_jobs(manifest: DataFrame) -> DataFrame:
     """One row for each chunk of a manifest (its tables as nested rows)."""
     tables = manifest.select(F.explode("tables").alias("t"))

@@ -71,6 +71,18 @@ def write_chunks(df: DataFrame, path: str, codec: str | None = None, by: tuple[s
     out.option("compression", codec_or_default(codec)).parquet(path)
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """df written and read again, so that it is worked out once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def pin_snapshot(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
     """(table, file, bytes, modified, n_rows) of the files that make up each table. Write it to keep it: the frame itself lists them anew."""
     parts = []

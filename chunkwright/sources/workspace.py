@@ -11,8 +11,10 @@ _OWN: dict[str, str] = {}
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder in spark.checkpoint.dir; where that is unset, as in tests, in a folder of this process."""
+    """A new folder in spark.checkpoint.dir; where that is unset, which is an error but in local mode, in a folder of this process."""
     kept = spark.conf.get("spark.checkpoint.dir", None)
+    if not kept and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
     if not kept:
         kept = _OWN.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="spark-workspace-"))
     return f"{kept.rstrip('/')}/{name}-{uuid.uuid4().hex}"
