@@ -16,7 +16,8 @@ equal line that stays at an earlier place. Chunks then only count what went.
 
 A null text has no lines and stays null; an empty one has one line and stays. A text may lose all its lines and is
 then empty, but its row stays. A null doc_id counts as smaller than all others. Rows that share doc_id and text count
-as one row, and each gets the result. Other columns pass through; n_chars, if there, is counted anew.
+as one row, and each gets the result. Texts of any length are read whole. Other columns pass through, whatever their
+names; n_chars, if there, is counted anew. An empty table gives an empty result.
 """
 
 from __future__ import annotations

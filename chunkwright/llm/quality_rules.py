@@ -8,7 +8,8 @@ kept if no rule rejects it, so a task that runs again may time its rules otherwi
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D; lines are split at \\n. A null text has no words, so it
 fails the base limits and isn't kept; so does an empty one. Texts of any length are read whole. doc_id may be null
-or repeated: rows are judged one by one.
+or repeated: rows are judged one by one. An empty table gives an empty result. keep_quality passes all columns through,
+whatever their names; quality_scores reads doc_id and text only.
 """
 
 from __future__ import annotations

@@ -20,7 +20,11 @@ bucket of its own hash, so that no trigger fills a bucket.
 
 Matches are between documents only, by doc_id: rows with the same doc_id don't remove from each other, and a null
 doc_id counts as smaller than all others. Null texts are empty; a text shorter than `length` loses nothing. Long texts
-are read whole.
+are read whole, though one text is never cut: its arrays of some 80 bytes for each byte must fit a task. An empty table
+gives an empty result. Repeated rows are results of their own. Columns other than doc_id and text aren't read.
+
+Each block writes a row to each bucket that it has hashes for, so rows grow with the square of the input while bytes grow
+with the input, until a row holds one hash; see the README for figures.
 """
 
 from __future__ import annotations

@@ -25,6 +25,31 @@ def brute_counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(covered)
 
 
+def brute_kept(text):
+    """The rules again, in plain Python over characters."""
+    text = text or ""
+    n_words, word_chars, n_symbols, n_dup, n_repeat = brute_counts(text)
+    words, lines = WORD.findall(text), text.split("\n")
+    letter = lambda c: c.isascii() and c.isalpha() or not c.isascii()
+    letters, upper = sum(map(letter, text)), sum("A" <= c <= "Z" for c in text)
+    worded = sum(bool(WORD.search(x)) for x in lines)
+    dots = sum(x.rstrip(" \t\n\r\x0b\x0c").endswith(("...", "\u2026")) for x in lines)
+    wordlike = sum(any(map(letter, w)) for w in words)
+    if n_words < 50 or 100 * n_repeat > 50 * n_words:
+        return False
+    bad = [10 * n_symbols > n_words, word_chars < 2 * n_words, word_chars > 20 * n_words, 2 * upper > letters, 10 * n_dup > 6 * worded, dots > 0.3 * len(lines), wordlike < 0.7 * n_words, max(Counter(words).values()) > 0.3 * n_words]
+    return not any(bad)
+
+
+def test_kept_by_brute_force(spark, sf):
+    made = [" ".join([f"w{i}" for i in range(70)] + x) for x in (["#"] * 8, ["#"] * 3, ["A" * 300], ["1"] * 29, ["1"] * 40, ["same"] * 31, ["x" * 3000])]
+    made += ["\n".join(f"line {i % k} has words {i % k}" for i in range(60)) for k in (3, 20, 40, 60)] + ["\n".join(f"a{i} b{i} c{i} d{i}" + ("..." if i % 3 == 0 else " \u2026 " if i % 7 == 0 else "") for i in range(40)), "é ü ß 日本 " * 3 + " ".join(f"ñ{i}" for i in range(60)), None, ""]
+    rows_ = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()] + [(10**6 + i, t) for i, t in enumerate(made)]
+    got = {r.doc_id: r.kept for r in quality_rules.quality_scores(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert got == {i: brute_kept(t) for i, t in rows_}
+    assert len(set(got[10**6 + i] for i in range(len(made)))) == 2
+
+
 def test_counts(spark, sf):
     texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
     texts += [r[1] for r in rows()] + ["a b a b a b a", "x\n\nx\n x", "#*$%&|<> word", "　 \x85 \x1c"]
