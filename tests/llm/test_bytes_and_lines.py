@@ -169,3 +169,12 @@ def test_whole_runs_odd(spark):
     assert got[7].text.count("\n") == 2 and (got[8].text, got[8]._n_lines, got[8]._n_removed) == ("an end", 4, 3)
     assert got[4].text is None and got[5].text == "" and got[9].text == " \t\n" and got[6]._n_removed == 0
     assert line_dedup.remove_repeats(empty(spark), whole_runs=True).count() == 0
+
+
+def test_rows_that_keep_little_go(spark):
+    text = "one line with words\nand another one\nand a third"
+    docs = [(1, text), (2, text), (3, text + "\nthis one has more to say than the first three lines do together, by far"), (4, text + "\nshort"), (5, ""), (6, None), (7, "alone")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, 0.5, whole_runs=True).collect()}
+    assert got == {1: text, 3: docs[2][1].rsplit("\n", 1)[1], 5: "", 6: None, 7: "alone"}
+    assert line_dedup.dedup_lines(df, whole_runs=True).count() == 7

@@ -145,7 +145,12 @@ def test_pipeline_is_its_stages(spark, sf):
     assert {r.doc_id for r in kept.collect()} == good
     fewer = corpus_pipeline.lines(spark, kept, sf)
     texts = [(r.doc_id, r.text) for r in fewer.collect()]
-    assert {d for d, _ in texts} == good
+    # Rows that lose over half of their characters go; a copy of a whole text is one of them.
+    from chunkwright.llm import line_dedup
+
+    before, after = ({r.doc_id: r.text for r in x.collect()} for x in (kept, line_dedup.dedup_lines(kept, whole_runs=True)))
+    assert dict(texts) == {i: t for i, t in after.items() if t == before[i] or 2 * len(t) >= len(before[i])}
+    assert set(after) == good and all(texts) and len(texts) < len(good)
     one = {d for d, _, c in brute(texts) if d == c}
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, fewer, sf).collect()} == one
     final = corpus_pipeline.run(spark, sf)
