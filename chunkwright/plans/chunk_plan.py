@@ -154,7 +154,7 @@ def audit_plan(plan: DataFrame, catalog: DataFrame) -> DataFrame:
     steps = plan.withColumn("_before", F.lag("range_end").over(by)).withColumn("_block", F.lag("block_end").over(by))
     ok = (F.col("idx") == 0) | F.when(F.col("strategy") == "key_range", F.col("range_start") == F.col("_before") + 1).when(F.col("strategy") == "block_range", F.col("block_start") == F.col("_block")).otherwise(F.lit(False))
     sums = steps.groupBy("schema", "table").agg(
-        F.count("*").alias("n_chunks"), F.bool_and(ok).alias("contiguous"), F.min("range_start").alias("_lo"), F.max("range_end").alias("_hi"),
+        F.count("*").alias("n_chunks"), F.bool_and(F.coalesce(ok, F.lit(False))).alias("contiguous"), F.min("range_start").alias("_lo"), F.max("range_end").alias("_hi"),
         F.sum("est_bytes").alias("_bytes"), F.sum("est_rows").alias("_rows"), F.bool_and((F.col("est_bytes") >= 0) & (F.col("est_rows") >= 0)).alias("none_negative"),
     )
     out = sums.join(catalog, ["schema", "table"])
