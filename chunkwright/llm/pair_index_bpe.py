@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a pair occurrence index.
 
 Texts are cut at ASCII white space; each distinct run of other bytes is normalised and split to pieces as the
-tokenizer file says, and distinct pieces that a Python worker hasn't met are merged together: all their symbols
+tokenizer file says, and distinct pieces that a Python worker doesn't remember are merged together: all their symbols
 stand in one linked list, an index maps each merge rank to the positions of its pair, and active ranks are taken
 from a heap in ascending order. A merge updates the lists of the pairs to its left and right. Where it brings up a
 lower rank than the one at hand, that rank goes first, so each piece sees the order that it would see alone.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunkwright.llm import shared
 
-#: Runs that a worker remembers at most; the memory is emptied when it is full.
+#: Runs, and pieces, of which a worker remembers about this many at most.
 REMEMBERED = 400_000
 GROUP_BYTES = 8 << 20
 
@@ -41,6 +41,22 @@ def _byte_chars() -> list[str]:
     return out
 
 
+class Remembered:
+    """A dictionary in two generations: when the young one is full it becomes the old one, and what is used again is young again."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def unknown(self, keys: set[bytes]) -> set[bytes]:
+        """Those of keys that aren't remembered; the others are young from here on."""
+        if len(self.young) > self.most // 2:
+            self.young, self.old = {}, self.young
+        new = keys - self.young.keys()
+        again = new & self.old.keys()
+        self.young.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        return new - again
+
+
 def _lowers_alone(text: str) -> bool:
     """Latin text without marks: its normal form and lower case need no more than str.lower()."""
     return text.isascii() or max(text) < "ɐ"
@@ -58,7 +74,8 @@ class PairIndexBpe:
         end = model["end_of_word_suffix"] or ""
         self.added = {t["content"]: t["id"] for t in raw["added_tokens"]}
         self.added_split = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")")
-        self.split = regex.compile(raw["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        pattern = raw["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.split, self.split_lines = regex.compile(pattern), regex.compile(pattern + "|\n")
         self.names = [""] * (max([*self.vocab.values(), *self.added.values()]) + 1)
         for k, v in (*self.vocab.items(), *self.added.items()):
             self.names[v] = k
@@ -72,8 +89,8 @@ class PairIndexBpe:
             pair = self.vocab[a], self.vocab[b]
             self.merges.append((*pair, self.vocab[a + b]))
             self.rank[pair] = r
-        #: Run -> ids as little-endian unsigned 32-bit integers.
-        self.known: dict[bytes, bytes] = {}
+        #: Run or piece -> ids as little-endian unsigned 32-bit integers.
+        self.runs, self.pieces = Remembered(REMEMBERED), Remembered(REMEMBERED)
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids, as bytes, of each piece, which isn't empty."""
@@ -149,29 +166,42 @@ class PairIndexBpe:
         whole = self.lib.normalizer.normalize_str(run)
         return [bytes(self.byte_of[c] for c in p) for p, _ in self.lib.pre_tokenizer.pre_tokenize_str(whole)]
 
+    def _cut_lines(self, runs: list[bytes]) -> tuple[list[bytes], list[int]]:
+        """Pieces of runs that lower alone, a line feed between runs, and where each run ends."""
+        flat = list(map(str.encode, self.split_lines.findall(b"\n".join(runs).decode().lower())))
+        return flat, [i for i, p in enumerate(flat) if p == b"\n"] + [len(flat)]
+
     def learn(self, runs: set[bytes]) -> None:
-        """Makes ids and decoded text of the runs known."""
+        """Makes the ids of the runs known."""
+        plain = [r for r in runs if b"<" not in r and _lowers_alone(r.decode())]
+        flat, ends = self._cut_lines(plain) if plain else ([], [])
+        if len(ends) != len(plain):  # the file's pattern has pieces with line feeds
+            plain, flat, ends = [], [], []
         cut: dict[bytes, list] = {}
-        for run in runs:
+        for run in runs.difference(plain):
             text = run.decode()
             parts = self.added_split.split(text) if b"<" in run else [text]
             cut[run] = [x for i, p in enumerate(parts) if p for x in ([self.added[p]] if i % 2 else self._cut(p))]
-        new = list({p for c in cut.values() for p in c if isinstance(p, bytes)})
-        pieces = dict(zip(new, self.merge(new), strict=True)) if new else {}
+        met = {p for c in cut.values() for p in c if isinstance(p, bytes)}.union(flat)
+        met.discard(b"\n")
+        new = list(self.pieces.unknown(met))
+        pieces, known = self.pieces.young, self.runs.young
+        if new:
+            pieces.update(zip(new, self.merge(new), strict=True))
+        start = 0
+        for run, end in zip(plain, ends, strict=True):
+            known[run] = pieces[flat[start]] if end - start == 1 else b"".join([pieces[p] for p in flat[start:end]])
+            start = end + 1
         for run, c in cut.items():
-            self.known[run] = b"".join([p.to_bytes(4, "little") if isinstance(p, int) else pieces[p] for p in c])
+            known[run] = b"".join([p.to_bytes(4, "little") if isinstance(p, int) else pieces[p] for p in c])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         runs = [t.split() for t in texts]
-        new = set().union(*runs) if runs else set()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-        else:
-            new -= self.known.keys()
+        new = self.runs.unknown(set().union(*runs))
         if new:
             self.learn(new)
-        get = self.known.__getitem__
+        get = self.runs.young.__getitem__
         return [b"".join(map(get, r)) for r in runs]
 
     def decode(self, ids: bytes) -> str:
