@@ -291,3 +291,14 @@ def test_top_k_odd(spark):
     # The row with id 0 stands there twice: one query, and two candidates for another query.
     assert got == [r for r in brute_top(vectors) if r[0] == 0] + [(50, 1, 0, 24576), (50, 2, 0, 24576), (50, 3, 1, 8192), (50, 4, 6, 0)]
     assert impact_topk.top_k(df.limit(0)).count() == 0
+
+
+def test_bpe_forgets(bpe):
+    """Runs and pieces that go from memory, stay in the old generation or come back have the same ids."""
+    own = pair_index_bpe.PairIndexBpe(pair_index_bpe.vocabulary_path())
+    own.runs, own.pieces = pair_index_bpe.Remembered(6), pair_index_bpe.Remembered(4)
+    words = "the cat's end.of 12ab <|endoftext|>x naïve Σας the, cats don't".split()
+    for i in range(60):
+        same_as_library(own, [" ".join(words[(i * k) % len(words)] for k in range(1, 4)), words[i % 3]])
+        assert len(own.runs.young) <= 3 + 4
+    same_as_library(own, ODD)
