@@ -213,6 +213,24 @@ def q_key_range(spark, sf):
     return reduce(DataFrame.unionByName, out)
 
 
+def q_jdbc_chunks(spark, sf):
+    """Orders in a database, read back with a partition for each range of the plan.
+
+    The database is the one that spark.chunkwright.jdbc.url names, which all executors must reach; where that is unset,
+    which is an error but in local mode, one in this JVM.
+    """
+    url = spark.conf.get("spark.chunkwright.jdbc.url", None)
+    if not url and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.chunkwright.jdbc.url must name a database that all executors reach")
+    url, name = url or "jdbc:derby:memory:chunkwright;create=true", f"orders_{uuid.uuid4().hex}"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"} if url.startswith("jdbc:derby:") else {}
+    orders = tables.scan_table(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_custkey"])
+    orders.write.jdbc(url, name, properties=driver)
+    plan = _even(spark, sf).where("table = 'orders'")
+    rows = tables.read_chunked_jdbc(spark, url, name, plan, '"o_orderkey"', **driver).withColumn("chunk_id", F.spark_partition_id().cast("long"))
+    return rows.groupBy("chunk_id").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"), F.sum("o_custkey").alias("sum_custkey"))
+
+
 def q_block_rows(spark, sf):
     plan = _blocks(spark, sf).where("table = 'orders'")
     rows = tables.with_blocks(spark, f"{sf}/orders.parquet", ROWS_PER_BLOCK)
@@ -440,10 +458,13 @@ def q_scrub_urls(spark, sf):
 
 
 def q_schema_export(spark, sf):
+    """Exported schemas are applied to the tables with their columns in reverse, and read off the result."""
     found = _tables(spark, sf)
-    rows = manifest.export_schemas(found)
-    counts = profile.profile_tables(found, columns=COLUMNS).select("table", F.col("est_rows").alias("n_rows"))
-    return rows.join(counts, "table").select("table", "position", "column", "n_rows")
+    kept = manifest.export_schemas(found).where("position = 1").select("table", "schema_json").collect()  # a row for each table
+    back = {r["table"]: manifest.apply_schema(found[r["table"]].select(*reversed(found[r["table"]].columns)), r["schema_json"]) for r in kept}
+    counts = profile.profile_tables(back, columns=COLUMNS).select("table", F.col("est_rows").alias("n_rows"))
+    rows = manifest.export_schemas(back).withColumn("type", F.when(F.col("type").startswith("timestamp"), "timestamp").otherwise(F.col("type")))
+    return rows.join(counts, "table").select("table", "position", "column", "type", "nullable", "n_rows")
 
 
 def q_pin(spark, sf):
@@ -555,7 +576,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
     declared = " ".join(f"WHEN '{t}' THEN '{k}'" for t, k in KEYS.items())
     ints = {"region": ["r_regionkey"], "nation": ["n_nationkey", "n_regionkey"], "customer": ["c_custkey", "c_nationkey"], "supplier": ["s_suppkey", "s_nationkey"], "part": ["p_partkey", "p_size"], "orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], "events": ["event_id", "user_id"], "documents": ["doc_id", "n_chars"], "embeddings": ["vec_id", "label"], "pages": ["page_id"], "benchmark": ["item_id"], "labels": ["doc_id", "quality", "toxic"], "conversations": ["conv_id", "turn"]}
     candidates = " UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, {i} AS p, count(*) = count({c}) AND count(*) = count(DISTINCT {c}) AS ok FROM {t}" for t, cs in ints.items() for i, c in enumerate(cs))
-    positions = 'SELECT table_name AS "table", CAST(ordinal_position AS BIGINT) AS position, column_name AS "column" FROM information_schema.columns WHERE table_name IN (' + ", ".join(f"'{t}'" for t in COLUMNS) + ")"
+    positions = 'SELECT table_name AS "table", CAST(ordinal_position AS BIGINT) AS position, column_name AS "column", CASE data_type WHEN \'VARCHAR\' THEN \'string\' WHEN \'INTEGER\' THEN \'int\' WHEN \'FLOAT[]\' THEN \'array<float>\' WHEN \'DOUBLE[]\' THEN \'array<double>\' ELSE lower(data_type) END AS type, is_nullable = \'YES\' AS nullable FROM information_schema.columns WHERE table_name IN (' + ", ".join(f"'{t}'" for t in COLUMNS) + ")"
     all_columns = {"customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"], "events": ["event_id", "ts", "user_id", "event_type", "value", "props"], "embeddings": ["vec_id", "embedding", "label"]}
     values = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count({c}) AS n_values FROM {t}" for t in COLUMNS for c in all_columns.get(t, COLUMNS[t]))
     counts = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in COLUMNS)
@@ -590,6 +611,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_recomputed": f"SELECT l_linenumber, count(*) AS n_rows, CAST(sum({price}) * 10000 AS BIGINT) AS disc_price_x10000 FROM lineitem GROUP BY l_linenumber",
         "q_select_tables": f"WITH {catalog} SELECT schema, \"table\", est_rows FROM catalog WHERE schema = 'sales' OR \"table\" = 'labels'",
         "q_loadable": f"WITH {catalog} SELECT schema, \"table\", kind, est_rows FROM catalog WHERE kind <> 'm'",
+        "q_jdbc_chunks": f"{with_even} SELECT p.idx AS chunk_id, count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(sum(o_custkey) AS BIGINT) AS sum_custkey FROM plan p JOIN orders ON p.\"table\" = 'orders' AND CASE WHEN o_orderkey IS NULL THEN p.idx = 0 ELSE o_orderkey BETWEEN p.range_start AND p.range_end END GROUP BY p.idx",
         "q_pending": f'{with_even} SELECT schema, "table", idx, est_rows FROM plan WHERE idx % 3 <> 0',
         "q_preview": f'{with_even} SELECT schema, "table", idx, idx % 3 = 0 AS done FROM plan',
         "q_missing_chunks": f"{with_even} SELECT 'data/chunk_table=documents/chunk_id=' || idx AS file, 'exported' AS status FROM plan WHERE \"table\" = 'documents' AND (idx % 4 = 1 OR NOT EXISTS (SELECT 1 FROM documents WHERE doc_id BETWEEN range_start AND range_end))",
@@ -617,7 +639,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_stream_session": f"WITH {ev}, g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM ev WINDOW w AS (PARTITION BY worker ORDER BY ts, event_id)), n AS (SELECT *, sum(new) OVER (PARTITION BY worker ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT worker, min(ts) AS session_start, max(ts) + INTERVAL 2 HOUR AS session_end, count(*) AS n_events, CAST(sum(bytes) AS BIGINT) AS bytes FROM n GROUP BY worker, k",
         "q_stream_state": f"WITH {ev}, {latest} SELECT worker, {state}, n_events FROM last",
         "q_scrub_urls": "WITH p AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, 'db://u' || page_id || ':secret' || page_id || '@host/base' || page_id || '?a=1&sslmode=require&b=2' FROM pages) SELECT page_id, regexp_replace(regexp_replace(url, '://([^:]+):[^@]+@', '://\\1:***@', 'g'), '\\?.*', '', 'g') AS masked, regexp_extract(url, '/([^/?]+)(?:\\?.*)?$', 1) AS tail, split_part(url, '?', 1) || coalesce('?' || list_filter(string_split(CASE WHEN contains(url, '?') THEN split_part(url, '?', 2) END, '&'), lambda x: starts_with(lower(x), 'sslmode='))[1], '') AS clean FROM p",
-        "q_schema_export": f"SELECT c.\"table\", c.position, c.\"column\", n.n_rows FROM ({positions}) c JOIN ({counts}) n USING (\"table\")",
+        "q_schema_export": f"SELECT c.\"table\", c.position, c.\"column\", c.type, c.nullable, n.n_rows FROM ({positions}) c JOIN ({counts}) n USING (\"table\")",
         "q_pin": "SELECT 'orders' AS \"table\", count(*) AS n_rows, count(*) AS n_read, false AS snapshot_lost FROM orders UNION ALL SELECT 'events', count(*), count(*) FILTER (event_id % 2 = 0), true FROM events",
         "q_clean": "SELECT o_orderstatus, count(*) AS n_rows, CAST(0 AS BIGINT) AS tables_left FROM orders GROUP BY o_orderstatus",
     }
