@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 from importlib import import_module
 
-MODULES = ("suffix_dedup", "line_dedup", "quality_rules", "source_mix", "sharding", "pair_index_bpe", "secret_forest", "shingle_join", "token_pack", "impact_topk", "fingerprints", "conversation_repair")
+MODULES = ("suffix_dedup", "line_dedup", "quality_rules", "source_mix", "sharding", "pair_index_bpe", "secret_forest", "shingle_join", "token_pack", "impact_topk", "fingerprints", "conversation_repair", "token_alignment")
 
 
 def _all(name: str) -> dict:
