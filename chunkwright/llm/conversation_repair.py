@@ -14,8 +14,8 @@ run is halved at cached powers until few rows are left, so that no run is held r
 Rows are combined by (conv_id, turn, role, text) with their number, so a million repeated rows are one; what stood earlier is
 known by an aggregate over (conv_id, hashes of role and text). Rows are then sorted in ranges of (conv_id, turn, role,
 text), which cut a long conversation, and each range yields segments of it: symbols as runs, and texts that can stay. One
-stream a conversation reads first all its runs and then its texts, piece by piece: it holds one byte a row, as the audit
-does that it returns, and no texts. Repeating the checksum of a whole conversation elsewhere isn't possible, so that stream is
+stream a conversation reads first all its runs and then its texts, piece by piece: it holds a byte a row, as the audit
+does that it returns, 17 bytes a run, and no texts. Repeating the checksum of a whole conversation elsewhere isn't possible, so that stream is
 one task's.
 
 Nulls count as one space, in role and text and where a key is made of conv_id and turn; a null conv_id is a conversation of
@@ -27,7 +27,9 @@ table gives an empty result. Other columns aren't read, whatever their names.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
+from io import StringIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,7 @@ SYMBOLS = {GONE: 0} | {(i, t): 1 + 2 * k + t for k, i in enumerate("suao") for t
 _OF = {v: k for k, v in SYMBOLS.items()}
 #: Rows and characters of text in a segment, and rows of a run that are unrolled one by one.
 SEGMENT_ROWS, SEGMENT_CHARS, UNROLLED = 256, 1 << 15, 64
+MARK = 512
 
 Matrix = tuple[tuple[int, ...], ...]
 
@@ -96,7 +99,8 @@ class Repair:
     #: Cost to the end from each state: nothing, or whole pairs of user and assistant.
     END = (0, *(min(_inserts()[q][NONE], _inserts()[q][ASSISTANT]) for q in (SYSTEM, USER, ASSISTANT)))
 
-    def __init__(self) -> None:
+    def __init__(self, unrolled: int = UNROLLED) -> None:
+        self.unrolled = unrolled
         self.steps = {s: _steps(s) for s in SYMBOLS.values()}
         self.powers: dict[int, list[Matrix]] = {s: [_matrix(s)] for s in SYMBOLS.values()}
 
@@ -118,7 +122,7 @@ class Repair:
         if symbol == SYMBOLS[GONE]:  # costs the same from any state, and D is least
             yield "D" * n, q
             return
-        if n > UNROLLED:
+        if n > self.unrolled:
             half = 1 << ((n - 1).bit_length() - 1)
             for edits, q in self.unroll(symbol, n - half, q, self.before(symbol, half, behind)):
                 yield edits, q
@@ -149,18 +153,44 @@ class Repair:
         return out
 
 
-def best_edits(runs: list[tuple[int, int]], repair: Repair) -> tuple[int, list[str]]:
-    """Cost, and the edits of each run; the last item holds inserts at the end."""
-    behind = [Repair.END]
-    for symbol, n in reversed(runs):
-        behind.append(repair.before(symbol, n, behind[-1]))
-    cost, q, out = behind[-1][NONE], NONE, []
-    for k, (symbol, n) in enumerate(runs):
-        pieces = []
-        for edits, q in repair.unroll(symbol, n, q, behind[len(runs) - 1 - k]):
-            pieces.append(edits)
-        out.append("".join(pieces))
-    return cost, [*out, repair.finish(q)]
+class Runs:
+    """Successive equal symbols with their numbers, nine bytes a run."""
+
+    def __init__(self) -> None:
+        self.symbols, self.counts = bytearray(), array("q")
+
+    def add(self, symbol: int, n: int) -> None:
+        if n and self.symbols and self.symbols[-1] == symbol:
+            self.counts[-1] += n
+        elif n:
+            self.symbols.append(symbol)
+            self.counts.append(n)
+
+
+def best_edits(runs: Runs, repair: Repair) -> tuple[int, str, array]:
+    """Cost, audit, and where in it each run's edits end; what follows the last are inserts.
+
+    Costs to the end are kept at each MARK-th run, and those between are worked out again on the way forward.
+    """
+    n, g = len(runs.symbols), Repair.END
+    marks = [g]
+    for k in range(n - 1, -1, -1):
+        g = repair.before(runs.symbols[k], runs.counts[k], g)
+        if k % MARK == 0:
+            marks.append(g)
+    cost, q, audit, ends, at = g[NONE], NONE, StringIO(), array("q"), 0
+    for low in range(0, n, MARK):
+        high = min(n, low + MARK)
+        behind = [marks[-2 - low // MARK]]
+        for k in range(high - 1, low, -1):
+            behind.append(repair.before(runs.symbols[k], runs.counts[k], behind[-1]))
+        for k in range(low, high):
+            for edits, q in repair.unroll(runs.symbols[k], runs.counts[k], q, behind.pop()):
+                audit.write(edits)
+                at += len(edits)
+            ends.append(at)
+    audit.write(repair.finish(q))
+    return cost, audit.getvalue(), ends
 
 
 def damaged(rows: DataFrame) -> DataFrame:
@@ -192,18 +222,11 @@ _SEGMENT = pa.schema([("conv_id", pa.int64()), ("kind", pa.int32()), ("part", pa
 class _Segment:
     def __init__(self, conv: int | None):
         self.conv, self.rows, self.chars = conv, 0, 0
-        self.symbols, self.counts, self.roles, self.texts = [], [], [], []
+        self.runs, self.roles, self.texts = Runs(), [], []
         self.sums = dict.fromkeys(("turns", "blank", "duplicate", "truncated", "illegal"), 0)
         self.first_turn = self.last_turn = None
         self.head = self.tail = ""
 
-    def _symbol(self, symbol: int, n: int) -> None:
-        if n and self.symbols and self.symbols[-1] == symbol:
-            self.counts[-1] += n
-        elif n:
-            self.symbols.append(symbol)
-            self.counts.append(n)
-
     def add(self, turn: int | None, role: str, text: str, n: int, blank: bool, first: bool, cut: bool) -> None:
         self.rows += 1
         if not n:
@@ -219,38 +242,41 @@ class _Segment:
         self.head, self.tail = self.head or "^" + initial, "^" + initial
         stays = int(first and not blank)
         if stays:
-            self._symbol(SYMBOLS[(initial if initial in ("s", "u", "a") else "o", int(cut))], 1)
+            self.runs.add(SYMBOLS[(initial if initial in ("s", "u", "a") else "o", int(cut))], 1)
             self.roles.append(role)
             self.texts.append(text)
             self.chars += len(text)
             self.sums["truncated"] += cut
-        self._symbol(SYMBOLS[GONE], n - stays)
+        self.runs.add(SYMBOLS[GONE], n - stays)
         self.sums["blank" if blank else "duplicate"] += n - stays
 
     def out(self, part: int, seq: int) -> list[dict]:
         base = {"conv_id": self.conv, "part": part, "seq": seq}
         turns = {"low": self.first_turn, "high": self.last_turn, "first_turn": self.first_turn, "last_turn": self.last_turn}
-        runs = base | self.sums | turns | {"kind": 0, "symbols": bytes(self.symbols), "counts": self.counts, "head": self.head, "tail": self.tail}
+        runs = base | self.sums | turns | {"kind": 0, "symbols": bytes(self.runs.symbols), "counts": self.runs.counts.tolist(), "head": self.head, "tail": self.tail}
         return [runs, base | {"kind": 1, "roles": self.roles, "texts": self.texts}] if self.texts else [runs]
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _segments(most_rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    part, seq, now, out = TaskContext.get().partitionId(), 0, None, []
-    for batch in shared.small_batches(batches):
-        for conv, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if now is None or now.conv != conv or now.rows >= SEGMENT_ROWS or now.chars >= SEGMENT_CHARS:
-                if now is not None:
-                    out += now.out(part, seq)
-                    seq += 1
-                now = _Segment(conv)
-            now.add(*row)
-        if out:
-            yield pa.RecordBatch.from_pylist(out, _SEGMENT)
-            out = []
-    if now is not None:
-        yield pa.RecordBatch.from_pylist(out + now.out(part, seq), _SEGMENT)
+        part, seq, now, out = TaskContext.get().partitionId(), 0, None, []
+        for batch in shared.small_batches(batches):
+            for conv, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is None or now.conv != conv or now.rows >= most_rows or now.chars >= SEGMENT_CHARS:
+                    if now is not None:
+                        out += now.out(part, seq)
+                        seq += 1
+                    now = _Segment(conv)
+                now.add(*row)
+            if out:
+                yield pa.RecordBatch.from_pylist(out, _SEGMENT)
+                out = []
+        if now is not None:
+            yield pa.RecordBatch.from_pylist(now.out(part, seq), _SEGMENT)
+
+    return run
 
 
 RESULT = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
@@ -261,10 +287,10 @@ class _Conversation:
     """Takes a conversation's segments of runs and then its texts, in order."""
 
     def __init__(self, conv: int | None, repair: Repair):
-        self.conv, self.repair, self.runs = conv, repair, []
+        self.conv, self.repair, self.runs = conv, repair, Runs()
         self.sums = dict.fromkeys(("blank", "duplicate", "truncated", "illegal"), 0)
         self.low = self.high = self.last_turn = None
-        self.turns, self.tail, self.edits = 0, "", None
+        self.turns, self.tail, self.audit = 0, "", None
         self.hash, self.begun = hashlib.sha256(), False
 
     def add(self, r: dict) -> None:
@@ -279,10 +305,7 @@ class _Conversation:
                 self.turns += r["turns"] - (r["first_turn"] == self.last_turn)
                 self.high = self.last_turn = r["last_turn"]
             for symbol, n in zip(r["symbols"], r["counts"], strict=True):
-                if self.runs and self.runs[-1][0] == symbol:
-                    self.runs[-1] = (symbol, self.runs[-1][1] + n)
-                else:
-                    self.runs.append((symbol, n))
+                self.runs.add(symbol, n)
             return
         self._plan()
         for role, text in zip(r["roles"], r["texts"], strict=True):
@@ -294,21 +317,17 @@ class _Conversation:
                 self._put(role if edit == "K" else _NAME[to], text, to)
 
     def _plan(self) -> None:
-        if self.edits is None:
-            self.cost, self.edits = best_edits(self.runs, self.repair)
-            self.audit, self.at, self.state = "".join(self.edits), 0, NONE
-            # Which edits are of rows that must go: their texts aren't here.
-            self.gone = [(s == SYMBOLS[GONE], len(e)) for (s, _), e in zip(self.runs, self.edits, strict=False)]
-            self.run, self.until = 0, self.gone[0][1] if self.gone else 0
+        if self.audit is None:
+            self.cost, self.audit, self.ends = best_edits(self.runs, self.repair)
+            self.at, self.state, self.run = 0, NONE, 0
 
     def _to_text(self) -> None:
-        """Goes to the edit of the next row that has a text here."""
+        """Goes to the edit of the next row that has a text here: rows that must go have none."""
         while True:
-            while self.run < len(self.gone) and self.at >= self.until:
+            while self.run < len(self.ends) and self.at >= self.ends[self.run]:
                 self.run += 1
-                self.until += self.gone[self.run][1] if self.run < len(self.gone) else 0
-            if self.run < len(self.gone) and self.gone[self.run][0]:
-                self.at = self.until
+            if self.run < len(self.ends) and self.runs.symbols[self.run] == SYMBOLS[GONE]:
+                self.at = self.ends[self.run]
             elif self.at < len(self.audit) and self.audit[self.at] == "I":
                 self._put(_NAME[_FOLLOWS[self.state]], "", _FOLLOWS[self.state])
                 self.at += 1
@@ -326,30 +345,33 @@ class _Conversation:
         return {"conv_id": self.conv, "gaps": gaps, **self.sums, "cost": self.cost, "audit": self.audit, "repaired_sha256": self.hash.hexdigest()}
 
 
-def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    repair, now, out = Repair(), None, []
-    for batch in shared.small_batches(batches):
-        for r in batch.to_pylist():
-            if now is None or now.conv != r["conv_id"]:
-                if now is not None:
-                    out.append(now.result())
-                now = _Conversation(r["conv_id"], repair)
-            now.add(r)
-        if out:
-            yield pa.RecordBatch.from_pylist(out, _RESULT)
-            out = []
-    if now is not None:
-        yield pa.RecordBatch.from_pylist([now.result()], _RESULT)
+def _results(unrolled: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repair, now, out = Repair(unrolled), None, []
+        for batch in shared.small_batches(batches):
+            for r in batch.to_pylist():
+                if now is None or now.conv != r["conv_id"]:
+                    if now is not None:
+                        out.append(now.result())
+                    now = _Conversation(r["conv_id"], repair)
+                now.add(r)
+            if out:
+                yield pa.RecordBatch.from_pylist(out, _RESULT)
+                out = []
+        if now is not None:
+            yield pa.RecordBatch.from_pylist([now.result()], _RESULT)
+
+    return run
 
 
-def repair_conversations(rows: DataFrame) -> DataFrame:
+def repair_conversations(rows: DataFrame, segment_rows: int = SEGMENT_ROWS, unrolled: int = UNROLLED) -> DataFrame:
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of conversations, from rows (conv_id, turn, role, text, n copies)."""
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
     own = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")], "n")
     dealt = judged(own).repartitionByRange(*order).sortWithinPartitions(*order)
-    segments = dealt.mapInArrow(_segments, SEGMENT)
+    segments = dealt.mapInArrow(_segments(segment_rows), SEGMENT)
     one = segments.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "kind", "part", "seq")
-    return one.mapInArrow(_results, RESULT)
+    return one.mapInArrow(_results(unrolled), RESULT)
 
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
