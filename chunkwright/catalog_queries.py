@@ -17,6 +17,7 @@ from chunkwright.functions.expressions import masked_url, row_bytes, url_tail, u
 from chunkwright.operators import chunks, ledger, load, monitor, profile, reconcile
 from chunkwright.plans import chunk_plan as plans
 from chunkwright.sources import manifest, tables
+from chunkwright.sources.chunk_store import ChunkStore
 from chunkwright.sources.workspace import workspace
 from chunkwright.streaming import monitor_stream as streams
 
@@ -283,14 +284,21 @@ _LOADED = {"documents": "doc_id", "orders": "o_orderkey"}
 
 def _exported(spark, sf, names):
     """An export of some tables in one run, and its manifest's jobs."""
-    root, catalog = workspace(spark, "export"), _catalog(spark, sf)
-    plan = tables.kept(plans.chunk_folders(_even(spark, sf).where(F.col("table").isin(*names))), f"{root}/plan")
+    root, catalog = workspace(spark, "export"), tables.kept(_catalog(spark, sf), workspace(spark, "catalog"))
+    plan = tables.kept(plans.plan_even(catalog.where("key_min is not null"), THRESHOLD, MAX_CHUNKS).where(F.col("table").isin(*names)), f"{root}/plan")
     found = _tables(spark, sf)
-    load.export_tables({n: found[n].select(*COLUMNS[n]) for n in names}, _LOADED, plan, root, "lz4")
-    done = plan.withColumn("status", F.lit("exported"))
-    manifest.write_manifest(done, catalog, profile.sequence_state(catalog), "run-1", f"{root}/manifest")
-    jobs = plans.plan_jobs(manifest.read_manifest(spark, f"{root}/manifest")).withColumn("strategy", F.lit("key_range"))
-    return root, jobs.withColumn("chunk_key", ledger.chunk_key("run-1"))
+    done = load.export_all({f"{_schema(n)}.{n}": load.Source(found[n], COLUMNS[n], KEYS[n]) for n in names}, plan, root, "lz4")
+    return root, _manifest_jobs(spark, done, catalog, root, "run-1")
+
+
+def _schema(table):
+    return "corpus" if table in CORPUS else "sales"
+
+
+def _manifest_jobs(spark, exported, catalog, root, run):
+    """The export's manifest, written and read back as jobs."""
+    manifest.write_manifest(exported, catalog, profile.sequence_state(catalog), run, f"{root}/manifest")
+    return plans.plan_jobs(manifest.read_manifest(spark, f"{root}/manifest")).withColumn("chunk_key", ledger.chunk_key(run))
 
 
 def q_missing_chunks(spark, sf):
@@ -310,10 +318,107 @@ def q_load_resume(spark, sf):
     load.load_chunks(spark, jobs.where("idx % 2 = 0"), root, COLUMNS, f"{root}/target", marks, mark=False)
     load.load_chunks(spark, jobs, root, COLUMNS, f"{root}/target", marks)
     n_marks = jobs.join(marks.done(), "chunk_key").groupBy("table", F.col("idx").alias("chunk_id")).agg(F.count("*").alias("n_marks"))
-    rows = reduce(DataFrame.unionByName, [spark.read.parquet(f"{root}/target/{n}").select(F.lit(n).alias("table"), F.col("chunk_id").cast("long").alias("chunk_id"), F.col(k).alias("k")) for n, k in _LOADED.items()])
+    rows = reduce(DataFrame.unionByName, [ChunkStore(spark, f"{root}/target/{n}").read(spark.read.parquet(f"{sf}/{n}.parquet").select(*COLUMNS[n]).schema).select(F.lit(n).alias("table"), "chunk_id", F.col(k).alias("k")) for n, k in _LOADED.items()])
     return rows.groupBy("table", "chunk_id").agg(F.count("*").alias("n_rows"), F.min("k").alias("first_key"), F.max("k").alias("last_key")).join(n_marks, ["table", "chunk_id"])
 
 
+def q_export_all(spark, sf):
+    """All tables of two schemas and one of a third with a name that another has, each by its strategy, exported in one run and loaded from the manifest: do rows and values arrive?"""
+    root, found = workspace(spark, "export"), _tables(spark, sf)
+    twin = profile.profile_tables({"documents": found["orders"]}, {"documents": "o_orderkey"}, {"documents": COLUMNS["orders"]}, "archive", None, ROWS_PER_BLOCK)
+    catalog = tables.kept(_catalog(spark, sf).unionByName(twin), f"{root}/catalog")
+    samples = lambda schema, table, df, key, columns: profile.probe_sample(df, key, TARGET, row_bytes(df, columns)).select(F.lit(schema).alias("schema"), F.lit(table).alias("table"), "pk", "bytes")
+    taken = samples("corpus", "documents", found["documents"], "doc_id", COLUMNS["documents"]).unionByName(samples("archive", "documents", found["orders"], "o_orderkey", COLUMNS["orders"]))
+    plan = tables.kept(plans.plan_all(catalog, taken, THRESHOLD, MAX_CHUNKS, BLOCKS_PER_CHUNK), f"{root}/plan")
+    sources = {f"{_schema(n)}.{n}": load.Source(df, COLUMNS[n], KEYS.get(n), ROWS_PER_BLOCK) for n, df in found.items()}
+    sources["archive.documents"] = load.Source(found["orders"], COLUMNS["orders"], "o_orderkey", ROWS_PER_BLOCK)
+    done = tables.kept(load.export_all(sources, plan, root), f"{root}/exported")
+    marks = ledger.Ledger(spark, f"{root}/ledger")
+    marks.create()
+    load.load_chunks(spark, _manifest_jobs(spark, done, catalog, root, "run-1"), root, {n: s.columns for n, s in sources.items()}, f"{root}/target", marks, by_schema=True)
+    back = {n: ChunkStore(spark, f"{root}/target/{n}").read(s.df.select(*s.columns).schema) for n, s in sources.items()}
+    same = reconcile.reconcile(reconcile.fingerprint({n: s.df for n, s in sources.items()}, {n: s.columns for n, s in sources.items()}), reconcile.fingerprint(back, {n: s.columns for n, s in sources.items()}))
+    counted = done.groupBy("schema", "table", "strategy").agg(F.sum("n_rows").alias("n_exported"))
+    return counted.join(same, F.concat_ws(".", counted["schema"], counted["table"]) == same["table"]).select(counted["schema"], counted["table"], "strategy", "n_exported", F.col("target_rows").alias("n_loaded"), "values_match")
+
+
+def q_replan_load(spark, sf):
+    """A table loaded under one plan, then half and then all of it under another: readers see the first until the second is whole, and never both."""
+    root, docs = workspace(spark, "replan"), _documents(spark, sf)
+    catalog = tables.kept(profile.profile_tables({"documents": docs}, KEYS, COLUMNS, "corpus", rows_per_block=ROWS_PER_BLOCK), f"{root}/catalog")
+    marks, store, out = ledger.Ledger(spark, f"{root}/ledger"), ChunkStore(spark, f"{root}/target/documents"), []
+    marks.create()
+
+    def step(name, jobs, export):
+        load.load_chunks(spark, jobs, export, COLUMNS, f"{root}/target", marks)
+        rows = tables.kept(store.read(docs.schema), f"{root}/{name}")
+        out.append(rows.agg(F.lit(name).alias("step"), F.count("*").alias("n_rows"), F.count_distinct("doc_id").alias("n_keys"), F.max("chunk_id").alias("last_chunk")))
+
+    for run, chunks_ in (("first", 5), ("second", 2)):
+        plan = tables.kept(plans.plan_even(catalog, 1, chunks_), f"{root}/plan-{run}")
+        done = load.export_all({"corpus.documents": load.Source(docs, None, "doc_id")}, plan, f"{root}/{run}-export")
+        jobs = _manifest_jobs(spark, done, catalog, f"{root}/{run}-export", run)
+        if run == "second":
+            step("in part", jobs.where("idx = 0"), f"{root}/{run}-export")
+        step(run, jobs, f"{root}/{run}-export")
+    step("again", jobs, f"{root}/second-export")
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_chunk_facts(spark, sf):
+    """Keys with a wide hole: the export counts what it writes, so chunks without rows are known as empty, aren't missing, and load."""
+    root, docs = workspace(spark, "facts"), _documents(spark, sf)
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).otherwise(F.col("doc_id") + 10_000_000))
+    catalog = tables.kept(profile.profile_tables({"documents": docs}, KEYS, COLUMNS, "corpus", rows_per_block=ROWS_PER_BLOCK), f"{root}/catalog")
+    plan = tables.kept(plans.plan_even(catalog, 1, 8), f"{root}/plan")
+    jobs = tables.kept(_manifest_jobs(spark, load.export_all({"corpus.documents": load.Source(docs, None, "doc_id")}, plan, root), catalog, root, "run-1"), f"{root}/jobs")
+    missing = load.missing_chunks(jobs, load.list_chunks(spark, f"{root}/data")).count()
+    marks = ledger.Ledger(spark, f"{root}/ledger")
+    marks.create()
+    load.load_chunks(spark, jobs, root, COLUMNS, f"{root}/target", marks)
+    loaded = ChunkStore(spark, f"{root}/target/documents").chunks().select("chunk_key", F.col("n_rows").alias("n_loaded"))
+    return jobs.join(loaded, "chunk_key").select("idx", "n_rows", (F.col("n_bytes") > 0).alias("has_file"), "n_loaded", F.lit(missing).cast("long").alias("n_missing"))
+
+
+def q_block_scan(spark, sf):
+    """Orders in four files: each chunk of blocks is read from the files that hold it."""
+    path = workspace(spark, "blocks")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"]).withColumn("part", F.col("o_orderkey") % 4)
+    orders.repartition("part").sortWithinPartitions("part", "o_orderkey").write.partitionBy("part").parquet(f"{path}/orders")
+    pinned = tables.kept(tables.pin_snapshot(spark, {"orders": f"{path}/orders"}), f"{path}/pinned")
+    index = tables.kept(tables.block_index(pinned, "orders", ROWS_PER_BLOCK), f"{path}/index")
+    catalog = index.agg(F.sum("n_blocks").alias("n_blocks"), F.sum("n_rows").alias("est_rows"), F.sum("n_rows").alias("bytes")).select(F.lit("sales").alias("schema"), F.lit("orders").alias("table"), "*")
+    out = []
+    for r in plans.plan_blocks(catalog, BLOCKS_PER_CHUNK, MAX_CHUNKS).orderBy("idx").collect():
+        rows = tables.scan_blocks(spark, index, ROWS_PER_BLOCK, r.block_start, r.block_end)
+        out.append(rows.agg(F.lit(r.idx).alias("chunk_id"), F.count("*").alias("n_rows"), F.min("block").alias("first_block"), F.max("block").alias("last_block"), F.sum("o_orderkey").alias("sum_key")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_codecs(spark, sf):
+    """Chunks written by default, by an unknown codec's name and by lz4: what the files' names say, and the rows read back."""
+    root, orders, out = workspace(spark, "codecs"), spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"]), []
+    plan = tables.kept(plans.plan_single(profile.profile_tables({"orders": orders}, schema="sales")), f"{root}/plan")
+    for asked in (None, "unknown", "lz4"):
+        load.export_all({"sales.orders": load.Source(orders)}, plan, f"{root}/{asked}", asked)
+        rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{asked}/data")
+        used = F.regexp_extract(F.col("_metadata.file_name"), r"\.(zstd|lz4)[a-z]*\.parquet$", 1)
+        out.append(rows.select(F.lit(asked or "none").alias("asked"), used.alias("codec")).groupBy("asked", "codec").agg(F.count("*").alias("n_rows")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_load_table(spark, sf):
+    """A load by a list of columns into a table of the catalog that has them in another order, and one column more."""
+    path, schema = workspace(spark, "columns"), "target_" + uuid.uuid4().hex
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{path}/{schema}'")
+    spark.sql(f"CREATE TABLE {schema}.rows (note STRING, o_orderstatus STRING, o_orderkey BIGINT, o_custkey BIGINT) USING parquet")
+    load.load_table(spark.read.parquet(f"{sf}/orders.parquet").selectExpr("cast(o_orderkey as bigint) o_orderkey", "cast(o_custkey as bigint) o_custkey", "o_orderstatus"), f"{schema}.rows")
+    out = tables.kept(spark.table(f"{schema}.rows").groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.count("note").alias("n_notes"), F.sum("o_orderkey").alias("sum_key"), F.sum("o_custkey").alias("sum_cust")), f"{path}/counts")
+    load.clean_target(spark, schemas=[schema])
+    spark.sql(f"DROP SCHEMA {schema}")
+    return out
+
+
 def q_manifest(spark, sf):
     path, catalog = workspace(spark, "manifest"), _catalog(spark, sf)
     manifest.write_manifest(plans.chunk_paths(_even(spark, sf)), catalog, profile.sequence_state(catalog), "run-1", path)
@@ -476,11 +581,50 @@ def q_pin(spark, sf):
     pinned = tables.kept(tables.pin_snapshot(spark, found), f"{path}/pinned")
     spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"]).write.mode("append").parquet(found["orders"])
     spark.read.parquet(f"{sf}/events.parquet").select(*COLUMNS["events"]).where("event_id % 2 = 0").write.mode("overwrite").parquet(found["events"])
-    lost = tables.snapshot_lost(pinned, tables.pin_snapshot(spark, found)).select("table", "snapshot_lost")
-    gone = {r.table for r in lost.where("snapshot_lost").collect()}
-    read = [(spark.read.parquet(p) if n in gone else tables.read_pinned(spark, pinned, n)).agg(F.lit(n).alias("table"), F.count("*").alias("n_read")) for n, p in found.items()]
+    read = [tables.read_or_degrade(spark, pinned, n, p).groupBy("snapshot_lost").agg(F.lit(n).alias("table"), F.count("*").alias("n_read")) for n, p in found.items()]
     rows = pinned.groupBy("table").agg(F.sum("n_rows").alias("n_rows"))
-    return rows.join(lost, "table").join(reduce(DataFrame.unionByName, read), "table")
+    return rows.join(reduce(DataFrame.unionByName, read), "table")
+
+
+def q_scrub_passwords(spark, sf):
+    """Passwords that hold what ends other parts of a URL, and one without a user."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id")
+    forms = F.explode(F.array(*[F.struct(F.lit(n).alias("form"), F.lit(f).alias("pattern")) for n, f in _LOGINS.items()]))
+    urls = pages.select("page_id", forms.alias("f")).select("page_id", "f.form", F.replace("f.pattern", F.lit("#"), F.col("page_id").cast("string")).alias("url"))
+    return urls.select("page_id", "form", masked_url(F.col("url")).alias("masked"), url_tail(F.col("url")).alias("tail"))
+
+
+#: URLs of logins, # for a number.
+_LOGINS = {"slash": "db://u#:pa/ss#@host/base#", "at": "db://u#:p@ss#@host/base#?a=1", "no user": "db://:secret#@host/base#", "question": "db://u#:pa?ss#@host/base#?x=y", "all": "db://u#:p@/?:#@host:5432/base#", "none": "db://host:5432/base#?x=1"}
+
+
+def q_silences(spark, sf):
+    """Workers 0 to 3 die at half-time: their silence lasts to the end."""
+    return _naive(monitor.silences(_dying(_events(spark, sf)), seconds=2 * HOUR))
+
+
+def _dying(events):
+    half = events.agg(F.min("ts").alias("_a"), F.max("ts").alias("_b"))
+    return events.crossJoin(F.broadcast(half)).where((F.col("worker") > 3) | (F.unix_micros("ts") * 2 < F.unix_micros("_a") + F.unix_micros("_b"))).drop("_a", "_b")  # one row
+
+
+def q_stream_silences(spark, sf):
+    """The same as a stream in append mode: what is reported when the last event has come, ended or not."""
+    stream = _stream(spark, sf)
+    half = spark.read.parquet(f"{sf}/events.parquet").agg((F.unix_micros(F.min("ts").cast("timestamp")) + F.unix_micros(F.max("ts").cast("timestamp"))).alias("x")).first()[0]
+    dying = stream.where((F.col("worker") > 3) | (F.unix_micros("ts") * 2 < half))
+    return _naive(streams.drained(streams.stream_silences(dying, "2 hours", "1 hour"), workspace(spark, "silences"), "append"))
+
+
+def q_multiset_difference(spark, sf):
+    """Source and copy with null keys and repeated rows: a plan's digests say which chunks differ, and only those are compared row by row."""
+    root, k = workspace(spark, "difference"), F.col("o_orderkey")
+    raw = spark.read.parquet(f"{sf}/orders.parquet").select(*COLUMNS["orders"])
+    orders = raw.unionAll(raw.where("o_orderkey % 10 = 3")).withColumn("o_orderkey", F.when(k % 50 != 0, k))
+    copy = raw.where("o_orderkey % 7 <> 0").unionAll(raw.where("o_orderkey % 15 = 3")).withColumn("o_orderstatus", F.when((k % 50 == 0) | (k % 13 != 0), F.col("o_orderstatus"))).withColumn("o_orderkey", F.when(k % 50 != 0, k))
+    plan = tables.kept(plans.plan_even(profile.profile_tables({"orders": orders}, KEYS, COLUMNS, "sales"), THRESHOLD, MAX_CHUNKS), f"{root}/plan")
+    same = reconcile.diff_by_chunks(orders, orders.repartition(3), "o_orderkey", plan).select(F.lit("same").alias("side"), "*")
+    return reconcile.diff_by_chunks(orders, copy, "o_orderkey", plan).select(F.lit("copy").alias("side"), "*").unionByName(same)
 
 
 def q_clean(spark, sf):
@@ -580,6 +724,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
     all_columns = {"customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"], "events": ["event_id", "ts", "user_id", "event_type", "value", "props"], "embeddings": ["vec_id", "embedding", "label"]}
     values = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count({c}) AS n_values FROM {t}" for t in COLUMNS for c in all_columns.get(t, COLUMNS[t]))
     counts = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in COLUMNS)
+    dying = "h AS (SELECT epoch_us(min(ts)) + epoch_us(max(ts)) AS x FROM ev), dy AS (SELECT ev.* FROM ev, h WHERE worker > 3 OR epoch_us(ts) * 2 < x)"
     window = f"SELECT run, {stamp(f'({secs("ts")} // 10800 - k) * 10800')} AS window_start, {stamp(f'({secs("ts")} // 10800 - k + 2) * 10800')} AS window_end, count(*) AS n_events, CAST(sum(bytes) AS BIGINT) AS bytes FROM ev, range(0, 2) AS r(k) GROUP BY ALL"
     return {
         "q_table_profile": f"WITH {catalog} SELECT * FROM catalog",
@@ -614,7 +759,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_jdbc_chunks": f"{with_even} SELECT p.idx AS chunk_id, count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(sum(o_custkey) AS BIGINT) AS sum_custkey FROM plan p JOIN orders ON p.\"table\" = 'orders' AND CASE WHEN o_orderkey IS NULL THEN p.idx = 0 ELSE o_orderkey BETWEEN p.range_start AND p.range_end END GROUP BY p.idx",
         "q_pending": f'{with_even} SELECT schema, "table", idx, est_rows FROM plan WHERE idx % 3 <> 0',
         "q_preview": f'{with_even} SELECT schema, "table", idx, idx % 3 = 0 AS done FROM plan',
-        "q_missing_chunks": f"{with_even} SELECT 'data/chunk_table=documents/chunk_id=' || idx AS file, 'exported' AS status FROM plan WHERE \"table\" = 'documents' AND (idx % 4 = 1 OR NOT EXISTS (SELECT 1 FROM documents WHERE doc_id BETWEEN range_start AND range_end))",
+        "q_missing_chunks": f"{with_even} SELECT 'data/corpus.documents/chunk_id=' || idx AS file, 'exported' AS status FROM plan WHERE \"table\" = 'documents' AND idx % 4 = 1 AND EXISTS (SELECT 1 FROM documents WHERE doc_id BETWEEN range_start AND range_end)",
         "q_load_resume": f"{with_even} " + " UNION ALL ".join(f"SELECT '{t}' AS \"table\", p.idx AS chunk_id, count(*) AS n_rows, min({k}) AS first_key, max({k}) AS last_key, CAST(1 AS BIGINT) AS n_marks FROM plan p JOIN {t} ON p.\"table\" = '{t}' AND {k} BETWEEN range_start AND range_end GROUP BY p.idx" for t, k in _LOADED.items()),
         "q_stream_late": f"WITH {ev}, m AS (SELECT max(ts) AS mx FROM ev), a AS (SELECT ev.* FROM ev UNION ALL SELECT ev.* FROM ev, m WHERE ts >= mx - INTERVAL 12 HOUR) SELECT CAST(run AS BIGINT) AS run, {stamp(f'({secs("ts")} // 21600) * 21600')} AS window_start, {stamp(f'({secs("ts")} // 21600 + 1) * 21600')} AS window_end, count(*) AS n_events, CAST(sum(bytes) AS BIGINT) AS bytes FROM a GROUP BY ALL",
         "q_manifest": f"{with_even} SELECT schema, \"table\", kind, idx, range_start, range_end, est_bytes, est_rows, 'data/' || schema || '.' || \"table\" || printf('/chunk_%04d.parquet.zstd', idx) AS file FROM plan",
@@ -641,5 +786,15 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_scrub_urls": "WITH p AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, 'db://u' || page_id || ':secret' || page_id || '@host/base' || page_id || '?a=1&sslmode=require&b=2' FROM pages) SELECT page_id, regexp_replace(regexp_replace(url, '://([^:]+):[^@]+@', '://\\1:***@', 'g'), '\\?.*', '', 'g') AS masked, regexp_extract(url, '/([^/?]+)(?:\\?.*)?$', 1) AS tail, split_part(url, '?', 1) || coalesce('?' || list_filter(string_split(CASE WHEN contains(url, '?') THEN split_part(url, '?', 2) END, '&'), lambda x: starts_with(lower(x), 'sslmode='))[1], '') AS clean FROM p",
         "q_schema_export": f"SELECT c.\"table\", c.position, c.\"column\", c.type, c.nullable, n.n_rows FROM ({positions}) c JOIN ({counts}) n USING (\"table\")",
         "q_pin": "SELECT 'orders' AS \"table\", count(*) AS n_rows, count(*) AS n_read, false AS snapshot_lost FROM orders UNION ALL SELECT 'events', count(*), count(*) FILTER (event_id % 2 = 0), true FROM events",
+        "q_export_all": f"WITH {catalog}, every AS (SELECT * FROM catalog UNION ALL SELECT 'archive', 'documents', kind, est_rows, bytes, n_blocks, key_col, key_min, key_max FROM catalog WHERE \"table\" = 'orders') SELECT schema, \"table\", CASE WHEN bytes < {THRESHOLD} THEN 'single' WHEN key_min IS NOT NULL THEN 'key_range' WHEN n_blocks > 0 THEN 'block_range' ELSE 'single' END AS strategy, est_rows AS n_exported, est_rows AS n_loaded, true AS values_match FROM every",
+        "q_replan_load": "WITH n AS (SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_keys FROM documents) SELECT step, n_rows, n_keys, CAST(last_chunk AS BIGINT) AS last_chunk FROM n, (VALUES ('first', 4), ('in part', 4), ('second', 1), ('again', 1)) AS s(step, last_chunk)",
+        "q_chunk_facts": "WITH d AS (SELECT CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE doc_id + 10000000 END AS k FROM documents), z AS (SELECT min(k) AS lo, (max(k) - min(k) + 8) // 8 AS width FROM d), p AS (SELECT CAST(i AS BIGINT) AS idx, lo + i * width AS s, lo + (i + 1) * width AS e FROM z, range(0, 8) AS r(i)), c AS (SELECT idx, count(k) AS n FROM p LEFT JOIN d ON k >= s AND k < e GROUP BY idx) SELECT idx, n AS n_rows, n > 0 AS has_file, n AS n_loaded, CAST(0 AS BIGINT) AS n_missing FROM c",
+        "q_block_scan": f"WITH o AS (SELECT o_orderkey AS k, o_orderkey % 4 AS part, (row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) - 1) // {ROWS_PER_BLOCK} AS b FROM orders), f AS (SELECT part, max(b) + 1 AS n FROM o GROUP BY part), g AS (SELECT part, n, coalesce(sum(n) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM f), t AS (SELECT least((sum(n) + {b} - 1) // {b}, {MAX_CHUNKS}) AS n_chunks FROM f), r AS (SELECT k, CAST(b + first AS BIGINT) AS block, CAST(least((b + first) // {b}, n_chunks - 1) AS BIGINT) AS chunk_id FROM o JOIN g USING (part), t) SELECT chunk_id, count(*) AS n_rows, min(block) AS first_block, max(block) AS last_block, CAST(sum(k) AS BIGINT) AS sum_key FROM r GROUP BY chunk_id",
+        "q_codecs": "SELECT asked, codec, n AS n_rows FROM (SELECT count(*) AS n FROM orders), (VALUES ('none', 'zstd'), ('unknown', 'zstd'), ('lz4', 'lz4')) AS v(asked, codec)",
+        "q_load_table": "SELECT o_orderstatus, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_notes, CAST(sum(o_orderkey) AS BIGINT) AS sum_key, CAST(sum(o_custkey) AS BIGINT) AS sum_cust FROM orders GROUP BY o_orderstatus",
+        "q_scrub_passwords": "SELECT page_id, form, replace(masked, '#', CAST(page_id AS VARCHAR)) AS masked, 'base' || page_id AS tail FROM pages, (VALUES ('slash', 'db://u#:***@host/base#'), ('at', 'db://u#:***@host/base#'), ('no user', 'db://:***@host/base#'), ('question', 'db://u#:***@host/base#'), ('all', 'db://u#:***@host:5432/base#'), ('none', 'db://host:5432/base#')) AS v(form, masked)",
+        "q_silences": f"WITH {ev}, {dying}, g AS (SELECT worker, lag(ts) OVER (PARTITION BY worker ORDER BY ts, event_id) AS gap_from, ts AS gap_to, false AS lasts, ts AS until FROM dy UNION ALL SELECT worker, max(ts), NULL, true, (SELECT max(ts) FROM dy) FROM dy GROUP BY worker) SELECT worker, gap_from, gap_to, CAST({secs('until')} - {secs('gap_from')} AS BIGINT) AS gap_s, lasts FROM g WHERE {secs('until')} - {secs('gap_from')} >= {2 * HOUR}",
+        "q_stream_silences": f"WITH {ev}, {dying}, g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM dy WINDOW w AS (PARTITION BY worker ORDER BY ts, event_id)), n AS (SELECT *, sum(new) OVER (PARTITION BY worker ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g), s AS (SELECT worker, max(ts) AS silent_since, count(*) AS n_events FROM n GROUP BY worker, k) SELECT * FROM s WHERE epoch_ms(silent_since + INTERVAL 2 HOUR) <= epoch_ms((SELECT max(ts) FROM dy) - INTERVAL 1 HOUR)",
+        "q_multiset_difference": "WITH raw AS (SELECT o_orderkey AS i, o_custkey, o_orderstatus, o_orderpriority FROM orders), s AS (SELECT CASE WHEN i % 50 <> 0 THEN i END AS o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE i % 10 = 3)), t AS (SELECT CASE WHEN i % 50 <> 0 THEN i END AS o_orderkey, o_custkey, CASE WHEN i % 50 = 0 OR i % 13 <> 0 THEN o_orderstatus END AS o_orderstatus, o_orderpriority FROM (SELECT * FROM raw WHERE i % 7 <> 0 UNION ALL SELECT * FROM raw WHERE i % 15 = 3)), m AS (SELECT o_orderkey, count(*) AS n FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM t) GROUP BY o_orderkey), e AS (SELECT o_orderkey, count(*) AS n FROM (SELECT * FROM t EXCEPT ALL SELECT * FROM s) GROUP BY o_orderkey) SELECT 'copy' AS side, coalesce(m.o_orderkey, e.o_orderkey) AS o_orderkey, CASE WHEN e.n IS NULL THEN 'missing' WHEN m.n IS NULL THEN 'extra' ELSE 'changed' END AS difference, coalesce(m.n, 0) AS n_missing, coalesce(e.n, 0) AS n_extra FROM m FULL JOIN e ON m.o_orderkey IS NOT DISTINCT FROM e.o_orderkey",
         "q_clean": "SELECT o_orderstatus, count(*) AS n_rows, CAST(0 AS BIGINT) AS tables_left FROM orders GROUP BY o_orderstatus",
     }

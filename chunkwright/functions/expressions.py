@@ -49,10 +49,12 @@ def percent(done: Column, total: Column) -> Column:
     return F.when(total > 0, F.least(F.floor(done * 100 / total), F.lit(100))).otherwise(F.lit(0)).cast("long")
 
 
+# The characters that become _ in names of files, and control characters.
+UNSAFE = r'[/\\<>:"|?*\x00-\x1f]'
+
+
 def safe_name(name: Column) -> Column:
-    """Characters that paths can't hold become _: marks that some file system gives a meaning, and control characters."""
-    marks = '<>:"/|?*' + chr(92)
-    return F.regexp_replace(F.translate(name, marks, "_" * len(marks)), r"\p{Cntrl}", "_")
+    return F.regexp_replace(name, UNSAFE, "_")
 
 
 def chunk_file(schema: Column, table: Column, idx: Column, codec: str = "zstd") -> Column:
@@ -60,18 +62,13 @@ def chunk_file(schema: Column, table: Column, idx: Column, codec: str = "zstd")
 
 
 def masked_url(url: Column) -> Column:
-    """Password masked, query dropped. The login is what stands before the last @ of the authority, the password what follows its first colon."""
-    bare = F.split_part(url, F.lit("?"), F.lit(1))
-    rest = F.substring_index(F.split_part(bare, F.lit("://"), F.lit(2)), "/", 1)
-    login = F.substring_index(rest, "@", 1)
-    masked = F.concat(F.substring_index(login, ":", 1), F.lit(":***"))
-    known = rest.contains("@") & F.substring_index(login, ":", 1).isNotNull() & (F.length(F.substring_index(login, ":", 1)) > 0) & (F.length(F.substring_index(login, ":", 1)) < F.length(login) - 1)
-    return F.when(known, F.concat(F.split_part(bare, F.lit("://"), F.lit(1)), F.lit("://"), masked, F.substring(bare, F.length(F.split_part(bare, F.lit("://"), F.lit(1))) + 4 + F.length(login), F.length(bare)))).otherwise(bare)
+    """Password masked, then the query dropped. The password is all between the first colon behind :// and the last @, so none of its characters can end it; the user may be empty."""
+    return F.split_part(F.regexp_replace(url, r"(?s)://([^:]*):.*@", "://$1:***@"), F.lit("?"), F.lit(1))
 
 
 def url_tail(url: Column) -> Column:
-    """Last part of the path, or ''."""
-    bare = F.split_part(url, F.lit("?"), F.lit(1))
+    """Last part of the path, or ''; taken where the password is masked already."""
+    bare = masked_url(url)
     return F.when(bare.contains("/"), F.substring_index(bare, "/", -1)).otherwise(F.lit(""))
 
 

@@ -13,14 +13,23 @@ CELLS = 4
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
+def plan_of(plan: DataFrame, table: str | None) -> DataFrame:
+    """The chunks of `table` or `schema.table`; of all without a name."""
+    if not table:
+        return plan
+    schema, _, name = table.rpartition(".")
+    return plan.where((F.col("table") == name) & (F.col("schema") == schema)) if schema else plan.where(F.col("table") == table)
+
+
 def assign_chunks(df: DataFrame, key: str, plan: DataFrame, table: str | None = None) -> DataFrame:
     """df with chunk_id by the key ranges of its table's plan. First and last range are open, null keys go to chunk 0.
 
-    table names the one that df is where the plan has more. The key space of the plan is cut to cells, a few for each
+    table, `table` or `schema.table`, names the one that df is where the plan has more. A plan that has chunks without a range is an error. The key space of the plan is cut to cells, a few for each
     chunk: a row finds its chunk by an equality on the cell and two comparisons. The plan and its cells are broadcast
     only where Spark finds them small enough.
     """
-    own = (plan.where(F.col("table") == table) if table else plan).select("idx", F.col("range_start").cast("long").alias("_from"))
+    no_range = F.raise_error(F.lit("a chunk of the plan has no key range"))
+    own = plan_of(plan, table).select("idx", F.coalesce(F.col("range_start").cast("long"), no_range).alias("_from"))
     bounds = own.agg(F.min("_from").alias("_lo"), F.max("_from").alias("_hi"), F.expr(f"(max(_from) - min(_from)) div ({CELLS} * count(*)) + 1").alias("_width"))
     one = F.broadcast(bounds)  # one row
     after = F.lead("_from").over(Window.orderBy("_from"))  # a row for each chunk of one table

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.operators.chunks import assign_chunks
-from chunkwright.operators.ledger import Ledger, pending
-from chunkwright.sources.tables import write_chunks
+from chunkwright.operators.chunks import assign_blocks, assign_chunks, plan_of
+from chunkwright.operators.ledger import Ledger
+from chunkwright.plans.chunk_plan import chunk_places
+from chunkwright.sources.chunk_store import ChunkStore, write_counted
+from chunkwright.sources.tables import numbered_blocks, write_chunks
 
 
 def select_tables(rows: DataFrame, schema: str | None = None, table: str | None = None) -> DataFrame:
@@ -43,30 +48,111 @@ def check_generated(df: DataFrame, expressions: dict[str, Column]) -> DataFrame:
     return one.select("n_rows", F.inline(rows)).select("column", "n_rows", "n_null", "n_different")
 
 
+@dataclass
+class Source:
+    """A table to export: its rows as read, so that files can be asked for; the columns to take; its key, for plans of key ranges."""
+
+    df: DataFrame
+    columns: list[str] | None = None
+    key: str | None = None
+    rows_per_block: int | None = None
+
+
+def route_rows(source: Source, plan: DataFrame, strategy: str) -> DataFrame:
+    """The columns of a table with chunk_id, by the strategy of its plan: one chunk, key ranges, or blocks of its files."""
+    columns = source.columns or source.df.columns
+    if strategy == "single":
+        return source.df.select(*columns, F.lit(0).cast("long").alias("chunk_id"))
+    if strategy == "key_range" and source.key:
+        return assign_chunks(source.df.select(*columns), source.key, plan).select(*columns, "chunk_id")
+    if strategy == "block_range" and source.rows_per_block:
+        return assign_blocks(numbered_blocks(source.df, source.rows_per_block), plan).select(*columns, "chunk_id")
+    raise ValueError(f"{strategy!r} can't place rows: it takes a key for key_range, rows_per_block for block_range")
+
+
+def export_all(sources: dict[str, Source], plan: DataFrame, root: str, codec: str | None = None) -> DataFrame:
+    """Writes the tables of a plan, each by its own strategy, and returns the plan with file, status, n_rows and n_bytes.
+
+    sources are by `schema.table`. Rows and bytes are counted by the writes themselves. A chunk without rows has no file, 0 rows and
+    the status of any other. All rows of a source get a chunk, or the export fails. Chunks are replaced one by one, so a
+    run may be repeated. The result has a row for each chunk of a threshold of bytes.
+    """
+    spark, plan = plan.sparkSession, chunk_places(plan)
+    chunks = plan.select("schema", "table", "strategy", "idx", "file").collect()  # a plan is small
+    if len({c.file for c in chunks}) < len(chunks):
+        raise ValueError("two chunks of the plan have one place: names of tables differ only by characters that paths can't hold")
+    facts = []
+    for name in sorted({f"{c.schema}.{c.table}" for c in chunks}):
+        mine = [c for c in chunks if f"{c.schema}.{c.table}" == name]
+        strategies = sorted({c.strategy for c in mine})
+        if name not in sources or len(strategies) > 1:
+            raise ValueError(f"{name} has no source" if name not in sources else f"{name} has chunks of {strategies}")
+        rows = route_rows(sources[name], plan_of(plan, name), strategies[0])
+        counts, sizes = write_counted(rows, f"{root}/{mine[0].file.rpartition('/')[0]}", len(mine), codec, overwrite=True)
+        facts += [(c.file, counts.get(c.idx, 0), sizes.get(c.idx, 0)) for c in mine]
+    known = spark.createDataFrame(facts, "file string, n_rows long, n_bytes long")
+    return plan.join(known, "file").withColumn("status", F.lit("exported"))
+
+
 def export_tables(found: dict[str, DataFrame], keys: dict[str, str], plan: DataFrame, root: str, codec: str | None = None) -> None:
-    """Writes the tables of a plan of key ranges, each chunk to the folder that chunk_folder names."""
+    """Writes the tables of a plan of key ranges, each chunk to the folder that chunk_folder names. A chunk without a range is an error; see export_all."""
     for name, df in found.items():
         rows = assign_chunks(df, keys[name], plan, name).withColumn("chunk_table", F.lit(name))
         write_chunks(rows, f"{root}/data", codec, ("chunk_table", "chunk_id"))
 
 
-def load_chunks(spark: SparkSession, jobs: DataFrame, root: str, columns: dict[str, list[str]], target: str, marks: Ledger, mark: bool = True) -> None:
-    """Loads the chunks of a manifest's jobs (table, idx, file, chunk_key) that the ledger doesn't have, then marks them.
+def load_chunks(spark: SparkSession, jobs: DataFrame, root: str, columns: dict[str, list[str]], target: str, marks: Ledger, mark: bool = True, by_schema: bool = False) -> None:
+    """Loads the chunks of a manifest's jobs (schema, table, idx, file, chunk_key) that their targets don't have, then marks them.
+
+    A table's target is a ChunkStore in `target/table`, or in `target/schema.table` with by_schema. What is loaded is what
+    its log says, whatever the ledger does: a run may stop anywhere and loads each chunk once, and a load
+    under another plan replaces the rows of the first one when it is complete. Jobs with plan and n_chunks, as plan_jobs has them,
+    are complete with n_chunks chunks; without, with all jobs given here.
 
-    Fails with the whole list if files are missing. A chunk's rows replace what an earlier try left of that chunk, so
-    a run may stop between data and mark and loads each chunk once. Jobs are a row for each chunk of a threshold of bytes.
+    Fails with the whole list if files are missing; a chunk whose n_rows is 0 has none. columns are by table, or by schema.table.
     """
-    left = pending(jobs, marks.done())
-    lost = missing_chunks(left, list_chunks(spark, root)).orderBy("file").select("file").collect()
-    if lost:
-        raise FileNotFoundError(f"{len(lost)} chunks are missing: " + ", ".join(r[0] for r in lost))
-    todo = left.select("table", "file", "chunk_key").collect()
-    for name in sorted({r["table"] for r in todo}):
-        files = sorted(f"{root}/{r['file']}" for r in todo if r["table"] == name)
-        rows = spark.read.option("basePath", f"{root}/data").parquet(*files)
-        write_chunks(rows.select(*columns[name], F.col("chunk_table"), F.col("chunk_id").cast("long").alias("chunk_id")), f"{target}/{name}", by=("chunk_table", "chunk_id"))
-    if todo and mark:
-        marks.mark(spark.createDataFrame([(r["chunk_key"],) for r in todo], "chunk_key string"))
+    chunks = jobs.select("schema", "table", "idx", "file", "chunk_key", *[F.col(c) if c in jobs.columns else F.lit(None).alias(c) for c in ("plan", "n_chunks", "n_rows")]).collect()  # a row for each chunk
+    names = sorted({(c.schema, c.table) for c in chunks})
+    if not by_schema and len({t for _, t in names}) < len(names):
+        raise ValueError("tables of several schemas have one name: load them by schema")
+    todo, stores, plans = {}, {}, {}
+    for schema, table in names:
+        mine = [c for c in chunks if (c.schema, c.table) == (schema, table)]
+        own = hashlib.sha256("\n".join(sorted(c.chunk_key for c in mine)).encode()).hexdigest()
+        plans[schema, table] = (str(mine[0].plan or own), int(mine[0].n_chunks or len(mine)))
+        stores[schema, table] = ChunkStore(spark, f"{target}/{schema}.{table}" if by_schema else f"{target}/{table}")
+        held = stores[schema, table].state(f"{schema}.{table}").held.get(plans[schema, table][0], {})
+        todo[schema, table] = [c for c in mine if c.chunk_key not in held]
+    left = [c.file for own in todo.values() for c in own if c.n_rows is None or c.n_rows > 0]
+    if left:
+        lost = missing_chunks(spark.createDataFrame([(f,) for f in left], "file string"), list_chunks(spark, root)).orderBy("file").select("file").collect()
+        if lost:
+            raise FileNotFoundError(f"{len(lost)} chunks are missing: " + ", ".join(r[0] for r in lost))
+    for (schema, table), own in todo.items():
+        if own:
+            wanted = columns.get(f"{schema}.{table}") or columns[table]
+            plan, n_chunks = plans[schema, table]
+            rows = _read_chunks(spark, [f"{root}/{c.file}" for c in own if c.n_rows is None or c.n_rows > 0], wanted)
+            if rows is None:
+                rows = spark.createDataFrame([], "chunk_id long")
+            stores[schema, table].write(rows, {c.chunk_key: c.idx for c in own}, f"{schema}.{table}", plan, n_chunks)
+    if chunks and mark:
+        marks.mark(jobs.select("chunk_key"))
+
+
+def _read_chunks(spark: SparkSession, folders: list[str], columns: list[str]) -> DataFrame | None:
+    """The rows of chunk folders with the number that each folder's name ends with."""
+    if not folders:
+        return None
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(*sorted(folders))
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/chunk_id=(\d+)/[^/]*$", 1).cast("long")
+    return rows.select(*columns, number.alias("chunk_id"))
+
+
+def load_table(rows: DataFrame, table: str, columns: list[str] | None = None) -> None:
+    """Appends rows to a table of the catalog by a list of columns; the table's others are null or their defaults, and its order of columns is its own."""
+    spark = rows.sparkSession
+    spark.sql(f"INSERT INTO {table} ({', '.join(f'`{c}`' for c in columns or rows.columns)}) SELECT {', '.join(f'`{c}`' for c in columns or rows.columns)} FROM {{rows}}", rows=rows)
 
 
 def clean_target(spark: SparkSession, tables: list[str] = (), schemas: list[str] = (), data_only: bool = False) -> None:
@@ -116,14 +202,15 @@ def check_orphans(child: DataFrame, parent: DataFrame, on: dict[str, str]) -> Da
 
 
 def missing_chunks(jobs: DataFrame, files: DataFrame) -> DataFrame:
-    """Jobs whose file isn't among files: all of them, so that a load can fail with the whole list."""
+    """Jobs whose file isn't among files: all of them, so that a load can fail with the whole list. A job that is known to have no rows has no file."""
+    jobs = jobs.where("n_rows is null or n_rows > 0") if "n_rows" in jobs.columns else jobs
     return jobs.join(files.select("file").distinct(), "file", "left_anti")
 
 
 def list_chunks(spark: SparkSession, path: str) -> DataFrame:
     """(file, chunk_id) of the chunk folders that hold files, as the manifest names them, without reading content."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    folder = F.regexp_extract("path", r"((data/chunk_table=[^/]+/)?chunk_id=\d+)/[^/]+$", 1)
+    folder = F.regexp_extract("path", r"((data/[^/]+/)?chunk_id=\d+)/[^/]+$", 1)
     return found.select(folder.alias("file"), F.regexp_extract("path", r"/chunk_id=(\d+)/", 1).cast("long").alias("chunk_id")).distinct()
 
 

@@ -133,6 +133,22 @@ def idle_gaps(events: DataFrame, key: str = "worker", seconds: int = 60, bucket_
     return out.where(F.col("gap_s") >= seconds).select(key, "gap_from", F.col("ts").alias("gap_to"), "gap_s")
 
 
+def silences(events: DataFrame, key: str = "worker", seconds: int = 60, until: Column | None = None, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """idle_gaps and, with gap_to null and lasts true, the silences that hadn't ended at the end: the last event of all, or until, a timestamp.
+
+    A key with one event and then nothing has such a silence. gap_s counts to the end. A key's last event comes from an aggregate
+    that is combined before its shuffle, and the end is one row.
+    """
+    closed = idle_gaps(events, key, seconds, bucket_seconds).withColumn("lasts", F.lit(False))
+    last = events.groupBy(key).agg(F.max("ts").alias("gap_from"))
+    if until is None:
+        last = last.crossJoin(F.broadcast(events.agg(F.max("ts").alias("_end"))))  # one row
+    else:
+        last = last.withColumn("_end", until)
+    open_ = last.withColumn("gap_s", F.unix_seconds("_end") - F.unix_seconds("gap_from")).where(F.col("gap_s") >= seconds)
+    return closed.unionByName(open_.select(key, "gap_from", F.lit(None).cast("timestamp").alias("gap_to"), "gap_s", F.lit(True).alias("lasts")))
+
+
 def run_report(events: DataFrame, catalog: DataFrame) -> DataFrame:
     """For each run: tables, succeeded (with skipped), skipped, failed, duration, sizes and percent in words."""
     count = lambda *t: F.count_if(F.col("type").isin(*t))

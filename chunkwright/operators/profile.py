@@ -56,28 +56,36 @@ def column_lists(columns: DataFrame) -> DataFrame:
     return listed.select("table", pick(False).alias("columns"), pick(True).alias("generated"))
 
 
+def key_sketches(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, position, n_rows, n_values, n_distinct, low, high) of every integer column; distinct values by a sketch. One pass over each table."""
+    parts = []
+    for name, df in tables.items():
+        ints = [c for c, t in df.dtypes if t in ("smallint", "int", "bigint")]
+        if ints:
+            one = df.agg(F.count("*").alias("n"), *[f(c).cast("long").alias(f"{p}{i}") for i, c in enumerate(ints) for p, f in (("v", F.count), ("d", F.approx_count_distinct), ("l", F.min), ("h", F.max))])
+            rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"), F.col("n").alias("n_rows"), *[F.col(f"{p}{i}").alias(x) for p, x in (("v", "n_values"), ("d", "n_distinct"), ("l", "low"), ("h", "high"))]) for i, c in enumerate(ints)])
+            parts.append(one.select(F.lit(name).alias("table"), F.inline(rows)))
+    if not parts:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], "table string, column string, position int, n_rows long, n_values long, n_distinct long, low long, high long")
+    return _union(parts)
+
+
 def pick_chunk_key(tables: dict[str, DataFrame], declared: dict[str, str] | None = None) -> DataFrame:
     """The chunk key of each table: an integer column that is never null and never repeats, a declared one first, else the first in table order; null if none.
 
-    A sketch drops columns with under half as many distinct values as rows: its standard error is a twentieth, so a
-    unique column would have to be ten of them off. What is left is counted exactly, in one grouped count for each column.
+    One job makes sketches of all columns of all tables. They drop columns with nulls, with fewer whole numbers between
+    their bounds than rows, and with under half as many distinct values as rows: the sketch's standard error is a twentieth, so
+    a unique column would have to be ten of them off. What is left is counted exactly, in the result's own job.
     """
-    declared, parts = declared or {}, []
-    for name, df in tables.items():
-        ints = [c for c, t in df.dtypes if t in ("smallint", "int", "bigint")]
-        if not ints:
-            parts.append(df.sparkSession.range(1).select(F.lit(name).alias("table"), F.lit(None).cast("string").alias("key_col")))
-            continue
-        seen = df.agg(F.count("*").alias("n"), *[f(c).alias(f"{p}{c}") for c in ints for p, f in (("v_", F.count), ("d_", F.approx_count_distinct))]).first()
-        likely = [c for c in ints if seen[f"v_{c}"] == seen["n"] and seen[f"d_{c}"] >= 0.5 * seen["n"]]
-        rows = [df.groupBy(F.col(c).alias("k")).count().agg(F.max("count").alias("most")).select(F.lit(name).alias("table"), F.lit(c).alias("key_col"), F.lit(c != declared.get(name)).alias("other"), F.lit(ints.index(c)).alias("position"), F.coalesce("most", F.lit(1)).alias("most")) for c in likely]
-        if not rows:
-            parts.append(df.sparkSession.range(1).select(F.lit(name).alias("table"), F.lit(None).cast("string").alias("key_col")))
-            continue
-        best = _union(rows).withColumn("key_col", F.when(F.col("most") == 1, F.col("key_col")))
-        rank = F.row_number().over(Window.partitionBy("table").orderBy(F.col("key_col").isNull(), "other", "position"))
-        parts.append(best.withColumn("_rank", rank).where("_rank = 1").select("table", "key_col"))
-    return _union(parts)
+    spark, declared = next(iter(tables.values())).sparkSession, declared or {}
+    seen = key_sketches(tables).collect()  # a row for each integer column
+    likely = [r for r in seen if r.n_values == r.n_rows and (not r.n_rows or r.high - r.low + 1 >= r.n_rows) and r.n_distinct >= 0.5 * r.n_rows]
+    parts = [spark.createDataFrame([(t, None, True, 1 << 30) for t in tables], "table string, key_col string, other boolean, position int")]
+    for r in likely:
+        most = tables[r.table].groupBy(F.col(r.column).alias("k")).count().agg(F.coalesce(F.max("count"), F.lit(1)).alias("most"))
+        parts.append(most.where("most = 1").select(F.lit(r.table).alias("table"), F.lit(r.column).alias("key_col"), F.lit(r.column != declared.get(r.table)).alias("other"), F.lit(r.position).alias("position")))
+    best = _union(parts).groupBy("table").agg(F.min_by("key_col", F.struct(F.col("key_col").isNull(), "other", "position")).alias("key_col"))
+    return best.select("table", "key_col")
 
 
 def sequence_state(catalog: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkwright.functions.expressions import ceil_div, chunk_file, half_up
+from chunkwright.functions.expressions import ceil_div, chunk_file, half_up, safe_name
 
 PLAN = ("schema", "table", "strategy", "idx", "range_start", "range_end", "block_start", "block_end", "est_bytes", "est_rows")
 
@@ -133,10 +133,22 @@ def chunk_folders(plan: DataFrame) -> DataFrame:
     return plan.withColumn("file", F.concat(F.lit("data/chunk_table="), "table", F.lit("/chunk_id="), F.col("idx").cast("string")))
 
 
+def chunk_places(plan: DataFrame) -> DataFrame:
+    """Adds file: the folder of a chunk by schema, table and number, so that tables of several schemas stay apart."""
+    return plan.withColumn("file", F.concat(F.lit("data/"), safe_name(F.col("schema")), F.lit("."), safe_name(F.col("table")), F.lit("/chunk_id="), F.col("idx").cast("string")))
+
+
 def plan_jobs(manifest: DataFrame) -> DataFrame:
-    """One row for each chunk of a manifest (its tables as nested rows)."""
-    tables = manifest.select(F.explode("tables").alias("t"))
-    return tables.select("t.schema", "t.table", "t.kind", F.explode("t.chunks").alias("c")).select("schema", "table", "kind", "c.*")
+    """One row for each chunk of a manifest (its tables as nested rows).
+
+    plan names run, table and all its ranges, and n_chunks is how many chunks that plan has: what a load of several runs needs to know when a table is whole.
+    """
+    run = F.col("run_id") if "run_id" in manifest.columns else F.lit(None).cast("string")
+    tables = manifest.select(run.alias("_run"), F.explode("tables").alias("t"))
+    ranges = F.transform("t.chunks", lambda c: F.concat_ws(",", *[F.coalesce(c[n].cast("string"), F.lit("-")) for n in ("idx", "range_start", "range_end", "block_start", "block_end")]))
+    name = F.sha2(F.concat_ws("\n", F.coalesce("_run", F.lit("")), "t.schema", "t.table", "t.strategy", F.array_sort(ranges)), 256)
+    rows = tables.select("t.schema", "t.table", "t.kind", "t.strategy", name.alias("plan"), F.size("t.chunks").cast("long").alias("n_chunks"), F.explode("t.chunks").alias("c"))
+    return rows.select("schema", "table", "kind", "strategy", "plan", "n_chunks", "c.*")
 
 
 def order_jobs(jobs: DataFrame) -> DataFrame:

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = 1
-CHUNK = "idx: long, range_start: long, range_end: long, block_start: long, block_end: long, est_bytes: long, est_rows: long, file: string, status: string"
+CHUNK = "idx: long, range_start: long, range_end: long, block_start: long, block_end: long, est_bytes: long, est_rows: long, file: string, status: string, n_rows: long, n_bytes: long"
 _TEXT_CHUNK = "array<struct<" + CHUNK.replace(": long", ": string") + ">>"
 _TABLE = f"struct<schema: string, table: string, kind: string, strategy: string, bytes: string, est_rows: string, chunks: {_TEXT_CHUNK}>"
 DOCUMENT = f"version long, run_id string, tables array<{_TABLE}>, sequences array<struct<schema: string, table: string, last_value: string, is_called: boolean>>"
 
 
 def manifest_document(plan: DataFrame, catalog: DataFrame, sequences: DataFrame, run_id: str) -> DataFrame:
-    """One row. It holds a plan, a row for each chunk of a threshold of bytes, so its size follows the number of chunks."""
+    """One row. It holds a plan, a row for each chunk of a threshold of bytes, so its size follows the number of chunks.
+
+    status, n_rows and n_bytes say how a chunk's export went, as export_all counted it, and are null before it.
+    """
     names = [c.split(":")[0] for c in CHUNK.split(", ")]
-    full = plan if "status" in plan.columns else plan.withColumn("status", F.lit(None).cast("string"))
+    full = plan.withColumns({c: F.lit(None).cast(t) for c, t in (("status", "string"), ("n_rows", "long"), ("n_bytes", "long")) if c not in plan.columns})
     chunks = full.groupBy("schema", "table", "strategy").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("chunks"))
     tables = chunks.join(catalog.select("schema", "table", "kind", "bytes", "est_rows"), ["schema", "table"])
     listed = tables.agg(F.array_sort(F.collect_list(F.struct("schema", "table", "kind", "strategy", "bytes", "est_rows", "chunks"))).alias("tables"))

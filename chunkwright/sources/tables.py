@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,18 +36,43 @@ def scan_key_range(df: DataFrame, key: str, first: int, last: int, idx: int = 1)
     return df.where(in_key_range(key, first, last, idx))
 
 
-def with_blocks(spark: SparkSession, source: str, rows_per_block: int) -> DataFrame:
-    """A Parquet table with its block numbers, counted through its files by name.
+def block_index(pinned: DataFrame, table: str, rows_per_block: int) -> DataFrame:
+    """(file, n_rows, first_block, n_blocks) of a pinned table's files by name: blocks are counted through them and begin anew at each.
 
-    Block numbers begin at each file's first: a file's row count is the only thing gathered for them, one row a file.
+    Rows of a file come from its footer, where pin_snapshot took them. There is a row for each file, as in any scan's list.
     """
-    df = spark.read.parquet(source)
-    named = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    files = named.groupBy("_file").agg(F.count("*").alias("_n"))
-    blocks = F.floor((F.col("_n") + rows_per_block - 1) / rows_per_block).cast("long")
-    first = F.coalesce(F.sum("_b").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = files.withColumn("_b", blocks).select("_file", first.alias("_first"))
-    return named.join(starts, "_file").withColumn("block", F.col("_first") + F.expr(f"_row div {rows_per_block}")).drop("_file", "_row", "_first")
+    files = pinned.where(F.col("table") == table).select("file", "n_rows", F.expr(f"(n_rows + {rows_per_block} - 1) div {rows_per_block}").alias("n_blocks"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("first_block", F.coalesce(F.sum("n_blocks").over(before), F.lit(0))).select("file", "n_rows", "first_block", "n_blocks")
+
+
+def _numbered(rows: DataFrame, index: DataFrame, rows_per_block: int) -> DataFrame:
+    """rows of files as read, with block."""
+    named = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    starts = index.select(F.col("file").alias("_of"), F.col("first_block").alias("_first"))
+    return named.join(starts, F.col("_file") == F.col("_of")).withColumn("block", F.col("_first") + F.expr(f"_row div {rows_per_block}")).drop("_file", "_of", "_row", "_first")
+
+
+def numbered_blocks(rows: DataFrame, rows_per_block: int) -> DataFrame:
+    """rows as read from files, with block, counted through the files by name. Files are opened for their footers first."""
+    files = rows.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count("*").alias("n_rows")).select(F.lit("t").alias("table"), "file", "n_rows")
+    return _numbered(rows, block_index(files, "t", rows_per_block), rows_per_block)
+
+
+def with_blocks(spark: SparkSession, source: str, rows_per_block: int) -> DataFrame:
+    """A Parquet table with its block numbers."""
+    return numbered_blocks(spark.read.parquet(source), rows_per_block)
+
+
+def scan_blocks(spark: SparkSession, index: DataFrame, rows_per_block: int, start: int, end: int | None = None) -> DataFrame:
+    """Blocks start to end (not included; open without) with block, read from the files that hold any of them and no others."""
+    inside = F.col("first_block") + F.col("n_blocks") > start
+    mine = index.where(inside if end is None else inside & (F.col("first_block") < end))
+    files = mine.orderBy("file").collect()  # at most the files of one chunk
+    if not files:
+        return scan_block_range(_numbered(spark.read.parquet(index.first().file), index, rows_per_block), start, end).limit(0)
+    known = spark.createDataFrame(files, index.schema)
+    return scan_block_range(_numbered(spark.read.parquet(*[f.file for f in files]), known, rows_per_block), start, end)
 
 
 def scan_block_range(df: DataFrame, start: int, end: int | None = None) -> DataFrame:
@@ -77,6 +103,11 @@ def kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder in whatever store it is."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -84,7 +115,10 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def pin_snapshot(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
-    """(table, file, bytes, modified, n_rows) of the files that make up each table. Write it to keep it: the frame itself lists them anew."""
+    """(table, file, bytes, modified, n_rows) of the files that make up each table. Write it to keep it: the frame itself lists them anew.
+
+    The scan asks for no column of data, so files are opened for their footers only.
+    """
     parts = []
     for name, path in sources.items():
         meta = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), F.col("_metadata.file_modification_time").alias("modified"))
@@ -98,6 +132,21 @@ def read_pinned(spark: SparkSession, pinned: DataFrame, table: str) -> DataFrame
     return spark.read.parquet(*files)
 
 
+def read_or_degrade(spark: SparkSession, pinned: DataFrame, table: str, source: str) -> DataFrame:
+    """The pinned files of a table while all are as they were, else the files that are there now; snapshot_lost in each row says which.
+
+    Whether files changed is seen when this is called: size and time of the last change of each, from the store's list.
+    """
+    mine = pinned.where(F.col("table") == table)
+    try:
+        now = spark.read.parquet(source).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), F.col("_metadata.file_modification_time").alias("modified")).distinct()
+        lost = not mine.join(now, ["file", "bytes", "modified"], "left_anti").isEmpty()
+    except AnalysisException:  # nothing is left to read
+        lost = True
+    rows = spark.read.parquet(source) if lost else read_pinned(spark, pinned, table)
+    return rows.withColumn("snapshot_lost", F.lit(lost))
+
+
 def snapshot_lost(pinned: DataFrame, current: DataFrame) -> DataFrame:
     """For each table how many pinned files are gone or changed, and whether any is: reads are unpinned from then on."""
     gone = pinned.join(current.select("table", "file", "bytes", "modified"), ["table", "file", "bytes", "modified"], "left_anti").groupBy("table").agg(F.count("*").alias("_n"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LATE = "10 minutes"
 
@@ -32,6 +34,17 @@ def stream_sessions(events: DataFrame, gap: str = "60 seconds", late: str = LATE
     return rows.select("worker", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n_events", "bytes")
 
 
+def stream_silences(events: DataFrame, gap: str = "60 seconds", late: str = LATE) -> DataFrame:
+    """For append mode: (worker, silent_since, n_events) of each worker that was silent for the gap, while it still is.
+
+    The state is a worker's open session; its end, a gap behind the last event, is a timer on event time: the row comes as
+    soon as the watermark has passed it, whether the worker is heard of again or not. What moves the watermark is the
+    others' events. A silence is reported once; an event behind it opens a new session.
+    """
+    rows = events.withWatermark("ts", late).groupBy("worker", F.session_window("ts", gap).alias("w")).agg(F.max("ts").alias("silent_since"), F.count("*").alias("n_events"))
+    return rows.select("worker", "silent_since", "n_events")
+
+
 def stream_worker_state(events: DataFrame) -> DataFrame:
     """Latest state of each worker; the state kept is one row for each."""
     last = events.groupBy("worker").agg(F.max_by(F.struct("type", "job"), F.struct("ts", "event_id")).alias("e"), F.count("*").alias("n_events"))
@@ -39,13 +52,24 @@ def stream_worker_state(events: DataFrame) -> DataFrame:
     return last.select("worker", status.alias("status"), F.when(F.col("e.type").isin("started", "retrying"), F.col("e.job")).alias("job"), "n_events")
 
 
-def drained(stream: DataFrame, folder: str, mode: str = "complete") -> DataFrame:
-    """All that is there now, as a table: the last batch of a complete-mode run, each batch replacing the one before."""
-    path = f"{folder}/stream-{uuid.uuid4().hex}"
+def batch_sink(path: str, mode: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: puts each batch in a folder by its number, so that one which is replayed after a stop replaces what it wrote before. In complete mode a batch holds all, so it replaces every other."""
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{path}/rows")
+        batch.write.mode("overwrite").parquet(f"{path}/{'all' if mode == 'complete' else f'_batch={number}'}")
+
+    return put
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").foreachBatch(put).trigger(availableNow=True).start()
+
+def batch_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What batch_sink has written."""
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+
+
+def drained(stream: DataFrame, folder: str, mode: str = "complete") -> DataFrame:
+    """All that is there now, as a table: the last batch of a complete-mode run, or all batches."""
+    path = f"{folder}/stream-{uuid.uuid4().hex}"
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").foreachBatch(batch_sink(f"{path}/rows", mode)).trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
+    return batch_rows(stream.sparkSession, f"{path}/rows", stream.schema)
