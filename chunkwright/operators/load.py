@@ -133,8 +133,6 @@ def load_chunks(spark: SparkSession, jobs: DataFrame, root: str, columns: dict[s
             wanted = columns.get(f"{schema}.{table}") or columns[table]
             plan, n_chunks = plans[schema, table]
             rows = _read_chunks(spark, [f"{root}/{c.file}" for c in own if c.n_rows is None or c.n_rows > 0], wanted)
-            if rows is None:
-                rows = spark.createDataFrame([], "chunk_id long")
             stores[schema, table].write(rows, {c.chunk_key: c.idx for c in own}, f"{schema}.{table}", plan, n_chunks)
     if chunks and mark:
         marks.mark(jobs.select("chunk_key"))

@@ -93,10 +93,10 @@ class ChunkStore:
         """Where a chunk's files are; None for a chunk without rows."""
         return f"{chunk.folder}/chunk_id={chunk.chunk_id}" if chunk.folder else None
 
-    def write(self, df: DataFrame, chunks: dict[str, int], owner: str, plan: str, n_plan: int, codec: str | None = None) -> None:
-        """Writes df (with chunk_id) as these chunks (key: id) of a plan of n_plan chunks. Chunks without rows are committed as empty."""
+    def write(self, df: DataFrame | None, chunks: dict[str, int], owner: str, plan: str, n_plan: int, codec: str | None = None) -> None:
+        """Writes df (with chunk_id; None: no rows) as these chunks (key: id) of a plan of n_plan chunks. Chunks without rows are committed as empty."""
         folder = f"write={uuid.uuid4().hex}"
-        rows, sizes = write_counted(df, f"{self.path}/{folder}", len(chunks), codec)
+        rows, sizes = write_counted(df, f"{self.path}/{folder}", len(chunks), codec) if df is not None else ({}, {})
         if not set(rows) <= set(chunks.values()):
             raise ValueError(f"rows of other chunks: {sorted(set(rows) - set(chunks.values()))[:9]}")
         before = self.state(owner)
