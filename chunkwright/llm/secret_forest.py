@@ -1,8 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest (DataFrame functions and Spark ML only).
 
 Candidates are runs of 16 or more of [A-Za-z0-9+/_=-] that hold a digit or change three times from a capital or a mark
-to a small letter, and any 8 or more characters without white space, quotes, commas, semicolons and angle brackets behind a key word and
-an assignment. A name in front of a value, as in password=..., isn't part of the value.
+to a small letter, and any 8 or more characters without white space, quotes, commas, semicolons and angle brackets behind an
+identifier that holds a key word and an assignment, with any white space around it. The name isn't part of the value.
 
 Features: length, shares of digits, capitals and hex digits, distinct characters, character transitions (changes of
 class, and how usual its pairs of letters are), dictionary coverage (share of its letter triples that are among the
@@ -30,20 +30,20 @@ from pyspark.sql import functions as F
 
 from chunkwright.llm import shared
 
-_NAMES = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|credential|auth|bearer"
+_NAMES = "token|secret|password|passwd|passphrase|passcode|pwd|(?:api|access|private)[_-]?key|[a-z0-9][_-]key|credential|auth|bearer"
 KEY_WORDS = f"(?i)({_NAMES})"
 _RUN = "[A-Za-z0-9+/_=-]"
-#: Behind a key word and an assignment; a run with its own name; a run with a digit, or with three changes to small letters.
-#: Each begins with what is cheap to look at and follows from the rest.
+#: An identifier that holds a key word, an assignment with any white space around it, a quote; an authentication scheme may stand before the value.
+_LEAD = rf"(?<![\w.-])(?=[\w.-]++[\"']?\s*+[=:])(?=[\w.-]*?(?i:{_NAMES}))[\w.-]++[\"']?\s*+[=:]{{1,2}}\s*+[\"']?(?:(?i:bearer|basic)\s++)?"
+#: A value behind such a lead; a run with a digit, or with three changes to small letters. Each begins with what is cheap to look at.
 CANDIDATE = (
-    rf"(?<=[\s\"'=:])(?<=[=:]\s{{0,3}}[\"']?)(?<=(?i:{_NAMES})[\"']?\s{{0,3}}[=:]{{1,2}}\s{{0,3}}[\"']?)[^\s\"'<>,;=:][^\s\"'<>,;]{{7,}}"
-    rf"|(?<!{_RUN})(?=[A-Za-z_-]++=)[A-Za-z_-]*(?i:{_NAMES})=+[^\s\"'<>,;=]{{8,}}"
+    rf"{_LEAD}[^\s\"'<>,;=:][^\s\"'<>,;]{{7,}}"
     rf"|(?<!{_RUN})(?={_RUN}{{16}})(?:(?=[A-Za-z+/_=-]*+[0-9])|(?=[a-z]*+(?:[A-Z+/_=-]+[a-z]+){{3}})){_RUN}{{16,}}"
 )
 #: The formats of known issuers' keys.
 ISSUER = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{30,}|github_pat_\w{22,}|glpat-[\w-]{20,}|xox[abprs]-[\w-]{10,}|[sr]k_(live|test)_\w{16,}|AIza[\w-]{35}|npm_\w{36}|hf_\w{30,}|SG\.[\w.-]{60,}|eyJ[\w-]{10,}.*)$"
-#: A candidate may carry its own name, as in password=...
-OWN_NAME = r"^[A-Za-z_-]+=+"
+#: A candidate carries its own name, as in password = ...; what stands before the value.
+OWN_NAME = rf"^(?:{_LEAD}|[A-Za-z_-]+=+)"
 TRAIN_ROWS, DICTIONARY_SIZE = 5000, 1500
 TREES, DEPTH, SEED = 30, 8, 7
 NEAR_BEFORE, NEAR_AFTER = 80, 40
@@ -52,13 +52,12 @@ FEATURES = ("f_length", "f_digits", "f_capitals", "f_hex", "f_distinct", "f_chan
 
 def findings(docs: DataFrame) -> DataFrame:
     """doc_id, number (from 0 in a text), value, before and after of every candidate."""
-    found = docs.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE))
-    found = found.withColumn("_values", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).withColumn("_gaps", F.split("text", CANDIDATE, -1))
+    found = docs.select("doc_id", "text").withColumn("_values", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).where("size(_values) > 0")
+    found = found.withColumn("_gaps", F.split("text", CANDIDATE, -1))
     rows = found.select("doc_id", "_gaps", F.posexplode("_values").alias("number", "found"))
     rows = rows.select("doc_id", "number", "found", F.right(F.expr("get(_gaps, number)"), F.lit(NEAR_BEFORE)).alias("before"), F.left(F.expr("get(_gaps, number + 1)"), F.lit(NEAR_AFTER)).alias("after"))
-    name = F.regexp_extract("found", OWN_NAME, 0)
-    rows = rows.withColumn("before", F.concat("before", name)).withColumn("value", F.expr(f"substr(found, length(regexp_extract(found, '{OWN_NAME}', 0)) + 1)"))
-    return rows.drop("found")
+    rows = rows.withColumn("name", F.regexp_extract("found", OWN_NAME, 0))
+    return rows.select("doc_id", "number", F.right(F.concat("before", "name"), F.lit(NEAR_BEFORE)).alias("before"), "after", F.expr("substr(found, length(name) + 1)").alias("value"))
 
 
 def letter_triples(docs: DataFrame) -> list[str]:
@@ -96,6 +95,11 @@ _NEUTRAL = ("id=", "version: ", "path = ", "name: ", "ref=", "order: ", "file=")
 _SUMS = ("commit ", "sha1 ", "md5: ", "checksum=", "digest ", "etag: ")
 
 
+def _worked_out(df: DataFrame) -> DataFrame:
+    """df with its columns worked out before what uses them many times over: the optimizer doesn't merge expressions through an explode."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def planted(spark: SparkSession, triples: list[str], rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, text, value and label of made-up findings; half are secrets."""
     known = "array(" + ", ".join(f"'{t}'" for t in triples or ["the", "ing", "and"]) + ")"
@@ -105,7 +109,7 @@ def planted(spark: SparkSession, triples: list[str], rows: int = TRAIN_ROWS) ->
     df = spark.range(rows).select(F.col("id").alias("doc_id"), F.expr("id div 2").alias("n"), (F.col("id") % 2 == 0).cast("double").alias("label"), F.expr(known).alias("known"))
     df = df.withColumns({"h": F.expr("sha2(concat('h', doc_id), 256)"), "g": F.expr("sha2(concat('g', doc_id), 256)")} | {f"w{i}": F.expr(word(i)) for i in range(1, 8)})
     df = df.withColumn("s", F.expr("translate(base64(unhex(concat(h, g))), '+/=', 'kQ7')"))
-    df = shared.written(df.drop("known"), "planted_parts")  # its columns are used many times over
+    df = _worked_out(df.drop("known"))
     df = df.withColumn("form", F.expr(f"case when label = 1 then pmod(xxhash64(n, 1), {len(_SECRETS)}) else pmod(xxhash64(n, 1), {len(_OTHERS)}) end"))
     forms = lambda items: "case form " + " ".join(f"when {i} then {x}" for i, x in enumerate(items)) + " end"
     df = df.withColumn("value", F.expr(f"case when label = 1 then {forms(_SECRETS)} else {forms(_OTHERS)} end"))
@@ -114,7 +118,7 @@ def planted(spark: SparkSession, triples: list[str], rows: int = TRAIN_ROWS) ->
     lead = f"""case when label = 1 and (form in (6, 7) or n % 2 = 0) then {keyed} when label = 1 then ''
         when form = {_CHECKSUM} then {sums} when form = {_PLACEHOLDER} then {keyed} when n % 3 = 0 then {neutral} when n % 7 = 0 then {keyed} else '' end"""
     quote = F.expr("case when n % 4 = 1 and not (label = 0 and form = 2) then '\"' else '' end")
-    df = shared.written(df, "planted_values")
+    df = _worked_out(df)
     return df.select("doc_id", F.concat("w4", F.lit(" "), "w5", F.lit(" "), F.expr(lead), quote, "value", quote, F.lit(" "), "w6", F.lit(" "), "w7").alias("text"), "value", "label", "form")
 
 
@@ -123,10 +127,11 @@ def with_features(rows: DataFrame, triples: list[str]) -> DataFrame:
         return (F.length("value") - F.length(F.regexp_replace("value", pattern, ""))) / F.greatest(F.length("value"), F.lit(1))
 
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "a"), "[A-Z]", "B"), "[0-9]", "1"), "[^aB1]", "-")
-    known = F.array(*[F.lit(t) for t in triples]) if triples else F.array().cast("array<string>")
-    pairs = F.array_distinct(F.transform(known, lambda t: F.substring(t, 1, 2)))
+    # Lists of letters only, at most 26**3 and 26**2; Spark looks a list of literals up in a hash set.
+    listed = lambda items: ", ".join(f"'{x}'" for x in sorted(items)) or "''"
+    known, pairs = listed(triples), listed({t[:2] for t in triples})
     cut = "case when length(value) < {n} then array() else transform(sequence(1, length(value) - {n} + 1), i -> lower(substr(value, i, {n}))) end"
-    out = rows.withColumn("_known", known).withColumn("_pairs", pairs).withColumn("_3", F.expr(cut.format(n=3))).withColumn("_2", F.expr(cut.format(n=2)))
+    out = rows.withColumn("_3", F.expr(cut.format(n=3))).withColumn("_2", F.expr(cut.format(n=2)))
     out = out.withColumns(
         {
             "f_length": F.length("value").cast("double"),
@@ -135,8 +140,8 @@ def with_features(rows: DataFrame, triples: list[str]) -> DataFrame:
             "f_hex": share("[0-9a-fA-F]"),
             "f_distinct": F.size(F.array_distinct(F.split("value", ""))) / F.greatest(F.length("value"), F.lit(1)),
             "f_changes": F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) / F.greatest(F.length("value"), F.lit(1)),
-            "f_pairs": F.expr("size(filter(_2, x -> array_contains(_pairs, x))) / greatest(size(_2), 1)"),
-            "f_dictionary": F.expr("size(filter(_3, x -> array_contains(_known, x))) / greatest(size(_3), 1)"),
+            "f_pairs": F.expr(f"size(filter(_2, x -> x in ({pairs}))) / greatest(size(_2), 1)"),
+            "f_dictionary": F.expr(f"size(filter(_3, x -> x in ({known}))) / greatest(size(_3), 1)"),
             "f_path": (F.length("value") - F.length(F.replace(F.col("value"), F.lit("/"), F.lit(""))) + F.when(F.col("before").rlike(r"(://|[\w.-]+/)[^\s]*$"), 3).otherwise(0)).cast("double"),
             "f_issued": F.col("value").rlike(ISSUER).cast("double"),
             "f_checksum": F.col("before").rlike(r"(?i)\b(commit|sha-?\d*|md5|checksum|digest|etag|hash|crc)\b[\s\"'=:]*$").cast("double"),
@@ -146,13 +151,14 @@ def with_features(rows: DataFrame, triples: list[str]) -> DataFrame:
             "f_plain_after": F.col("after").rlike(r"^[\"']?\s+[A-Za-z]+\b").cast("double"),
         }
     )
-    return out.drop("_known", "_pairs", "_3", "_2")
+    return out.drop("_3", "_2")
 
 
 def forest(spark: SparkSession, triples: list[str]):
     """The forest, fitted on planted findings."""
-    truth = shared.written(planted(spark, triples), "planted")
+    truth = planted(spark, triples)
     found = with_features(findings(truth), triples).join(truth.select("doc_id", "value", "label"), ["doc_id", "value"]).select("label", *FEATURES)
+    found = shared.written(found.orderBy(*FEATURES).coalesce(1), "planted")  # at most TRAIN_ROWS; each level of the trees reads it again
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(data)
 

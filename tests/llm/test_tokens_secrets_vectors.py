@@ -225,6 +225,16 @@ def test_candidates_by_brute_force(spark, sf):
     assert first[4] == ["aBcDeFgHiJkLmNoPqRsT"] and first[5] == ["12345678901234567", "abcdefgh9", "zzzzzzzz"] and first[7] == []
 
 
+@pytest.mark.parametrize(("text", "value"), [
+    ('password    = "correcthorse"', "correcthorse"), ('secret_key = "hunter2hunter"', "hunter2hunter"), ("private_key: abcd1234efgh", "abcd1234efgh"), ('"passphrase": "abcd1234efgh"', "abcd1234efgh"),
+    ("DB_PASSWORD\n\t=\n'hunter2hunter'", "hunter2hunter"), ("my.signing-key=abcdefgh", "abcdefgh"), ("Authorization: Bearer abcdefgh.ijkl", "abcdefgh.ijkl"), ("authToken:abcdefgh", "abcdefgh"), ("monkey: abcdefgh", None), ("password: short", None),
+])
+def test_any_identifier_and_any_space(spark, text, value):
+    got = secret_forest.findings(spark.createDataFrame([(1, f"see {text} there")], "doc_id long, text string")).collect()
+    assert [r.value for r in got] == ([value] if value else [])
+    assert all(r.before.startswith("see ") and r.after.endswith(" there") for r in got)
+
+
 def test_secrets_odd(spark):
     df = documents(spark)
     got = secret_forest.scan(df).select("doc_id", "number", "value", "secret").collect()
