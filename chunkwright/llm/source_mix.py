@@ -5,7 +5,7 @@ blocks left its exact weight's share of each slot; with V slots for each unit of
 slots are filled, where n is a source's blocks. Block k of a source with weight w has the release time floor(T(k / w)) and
 the deadline ceil(T((k + 1) / w)); each slot takes the released block with the earliest deadline. The ideal mix keeps all
 those times, so this does too: over the whole schedule, also where sources run out, a source is less than one block
-away from its share by weight. Weights aren't rounded. The schedule is one pass over blocks (not rows) on the driver, which
+away from its share by weight. Weights aren't rounded, and times are exact. The schedule is one pass over blocks (not rows) on the driver, which
 holds WINDOW slots of it at a time and writes them to the shared folder.
 
 With a frame, weights become whole quotas q that add up to frame slots, at least one each, and the bound holds for these
@@ -16,7 +16,7 @@ begins in which the others share all slots by their weights.
 No row is dropped or repeated, and every source is mixed by its own weight, however many there are. The driver holds a name
 and a few numbers for each source. A frame must have at least as many slots as there are sources.
 
-A null source is a source of its own. Rows may repeat and doc_id may be null; order within a source is by a hash of
+A null source is a source of its own, NO_SOURCE in weights, whatever others are called. Rows may repeat and doc_id may be null; order within a source is by a hash of
 doc_id, then doc_id, so it looks shuffled and is the same in every run (rows that share a doc_id may swap places).
 An empty table gives an empty result; other columns pass through.
 """
@@ -28,6 +28,7 @@ import json
 import math
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -40,27 +41,69 @@ BLOCK_ROWS = 32
 WINDOW = 1 << 17
 BUCKET_ROWS = 20_000
 LEAST_BUCKETS = 256
-NO_SOURCE = "(none)"
+
+
+class _NoSource(str):
+    """A name that is equal to itself only, not to a source's that reads the same."""
+
+    __slots__ = ()
+    __hash__ = str.__hash__
+
+    def __eq__(self, other: object) -> bool:
+        return self is other
+
+
+#: Key of rows without a source in weights.
+NO_SOURCE = _NoSource("(none)")
+#: A time this near to a whole slot is worked out in whole numbers.
+NEAR = 1e-6
+
+
+class Times:
+    """Release times and deadlines of blocks: floor and ceil of T at k / w.
+
+    T is worked out in floating point, whose error at 1e9 slots is under 1e-6. Only where that leaves the whole number open, as the
+    time is that near to one, it is worked out again by whole numbers, which float weights are when brought to one denominator.
+    """
+
+    def __init__(self, blocks: list[int], weights: list[float]):
+        self.n = np.array(blocks, np.int64)
+        ratios = [float(w).as_integer_ratio() for w in weights]
+        whole = math.lcm(*[d for _, d in ratios])
+        self.exact = [a * (whole // d) for a, d in ratios]
+        self.w = np.array(weights, np.float64) / math.fsum(weights)
+        order = np.argsort(self.n / self.w)
+        self.ends = (self.n / self.w)[order]  # V at which each source runs out
+        self.spent = np.concatenate([[0], np.cumsum(self.n[order])])
+        self.live = np.concatenate([np.cumsum(self.w[order][::-1])[::-1], [0.0]])
+        left = list(accumulate([self.exact[i] for i in order[::-1].tolist()], initial=0))
+        self.exact_live = left[::-1]
+
+    def at(self, v: np.ndarray) -> np.ndarray:
+        """T(v), slots filled when V is v."""
+        gone = np.searchsorted(self.ends, v, "left")
+        return self.spent[gone] + v * self.live[gone]
+
+    def whole(self, s: np.ndarray, k: np.ndarray, up: bool) -> np.ndarray:
+        """Floor, or ceil if up, of T(k / w) of the sources s."""
+        v = k / self.w[s]
+        t = self.at(v)
+        out = (np.ceil(t) if up else np.floor(t)).astype(np.int64)
+        near = np.flatnonzero(np.abs(t - np.rint(t)) < NEAR)
+        gone = np.searchsorted(self.ends, v[near], "left")
+        for i, g, source, block in zip(near.tolist(), gone.tolist(), s[near].tolist(), k[near].tolist(), strict=True):
+            top, under = block * self.exact_live[g], self.exact[source]
+            out[i] = int(self.spent[g]) + (-(-top // under) if up else top // under)
+        return out
 
 
 def schedule(blocks: list[int], weights: list[float], window: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(source, block) of each slot, about a window of slots at a time. Weights are above 0; sources without blocks have no slots."""
-    n, w = np.array(blocks, np.int64), np.array(weights, np.float64)
-    if not n.sum():
+    if not sum(blocks):
         return
-    w = w / w.sum()
-    order = np.argsort(n / w)
-    ends = (n / w)[order]  # V at which each source runs out
-    spent = np.concatenate([[0], np.cumsum(n[order])]).astype(float)
-    live = np.concatenate([np.cumsum(w[order][::-1])[::-1], [0.0]])
-
-    def slots_at(v: np.ndarray) -> np.ndarray:
-        gone = np.searchsorted(ends, v, "left")
-        t = spent[gone] + v * live[gone]
-        near = np.rint(t)
-        return np.where(np.abs(t - near) < 1e-9 * np.maximum(1, near), near, t)
-
-    edges = np.interp(np.arange(window, int(n.sum()), window), np.concatenate([[0.0], slots_at(ends)]), np.concatenate([[0.0], ends]))
+    times = Times(blocks, weights)
+    n, w = times.n, times.w
+    edges = np.interp(np.arange(window, int(n.sum()), window), np.concatenate([[0.0], times.at(times.ends)]), np.concatenate([[0.0], times.ends]))
     ready: list[tuple[int, int, int]] = []
     slot, done, out = 0, np.zeros(len(n), np.int64), []
     for v in [*edges.tolist(), None]:
@@ -68,7 +111,7 @@ def schedule(blocks: list[int], weights: list[float], window: int = WINDOW) -> I
         more = upto - done
         s = np.repeat(np.arange(len(n)), more)
         k = np.arange(len(s)) - np.repeat(np.cumsum(more) - more, more) + done[s]
-        release, deadline = np.floor(slots_at(k / w[s])).astype(np.int64), np.ceil(slots_at((k + 1) / w[s])).astype(np.int64)
+        release, deadline = times.whole(s, k, False), times.whole(s, k + 1, True)
         by = np.lexsort((deadline, release))
         for at, due, i, b in zip(release[by].tolist(), deadline[by].tolist(), s[by].tolist(), k[by].tolist(), strict=True):
             while slot < at and ready:
@@ -139,6 +182,8 @@ def root_weights(rows: dict[str, int]) -> dict[str, float]:
 
 
 _OWN = ("doc_id", "source")
+#: Inside, a source goes by its name behind a mark, so that no name is that of rows without one.
+_NAMED, _NAMELESS = "=", "-"
 _MORE = ("mix_block", "mix_slot", "mix_place")
 
 
@@ -157,14 +202,15 @@ def _planned(spark: SparkSession, blocks: dict[str, int], target: dict[str, floa
 
 def _placed(docs: DataFrame, weights: dict[str, float] | Callable[[dict[str, int]], dict[str, float]] = root_weights, block_rows: int = BLOCK_ROWS, frame: int | None = None) -> DataFrame:
     spark = docs.sparkSession
-    named = shared.hidden(docs, _OWN).withColumn("_source", F.coalesce("source", F.lit(NO_SOURCE)))
+    named = shared.hidden(docs, _OWN).withColumn("_source", F.coalesce(F.concat(F.lit(_NAMED), F.col("source").cast("string")), F.lit(_NAMELESS)))
     top = named.groupBy("_source").count().orderBy("_source").toArrow()
     rows = dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True))
     if frame is not None and frame < len(rows):
         raise ValueError(f"a frame of {frame} slots can't hold {len(rows)} sources")
-    target = weights(rows) if callable(weights) else weights
+    name = {s: s.removeprefix(_NAMED) if s.startswith(_NAMED) else NO_SOURCE for s in rows}
+    target = weights({name[s]: n for s, n in rows.items()}) if callable(weights) else weights
     least = min(target.values(), default=1.0)
-    target = {s: target.get(s, least) for s in rows}
+    target = {s: target.get(name[s], least) for s in rows}
     blocks = {s: -(-n // block_rows) for s, n in rows.items()}
 
     buckets = max(LEAST_BUCKETS, -(-sum(rows.values()) // BUCKET_ROWS))

@@ -1,9 +1,11 @@
 """Quality rules, mixing and sharding."""
 
+import math
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from chunkwright.llm import quality_rules, sharding, source_mix
@@ -267,3 +269,27 @@ def test_no_python_in_native_plans(spark):
     for df in (sharding.shard_documents(documents(spark)), line_dedup.dedup_lines(documents(spark))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_exact_times_at_a_billion_slots():
+    """In windows far out, times are floor and ceil of exact fractions, and no source is a block away from its share."""
+    from fractions import Fraction
+
+    weights = [3.0, 1.0, 1.0, 0.7, 2**0.5]
+    times = source_mix.Times([10**10] * 5, weights)
+    total = sum(map(Fraction, weights))
+    for s, w in enumerate(weights):
+        k = np.arange(10**9, 10**9 + 400)
+        exact = [Fraction(int(i)) / Fraction(w) * total for i in k]
+        source = np.full(len(k), s)
+        assert times.whole(source, k, False).tolist() == [math.floor(x) for x in exact]
+        assert times.whole(source, k, True).tolist() == [math.ceil(x) for x in exact]
+
+
+def test_a_source_called_as_none_is(spark):
+    rows = [(i, "(none)") for i in range(70)] + [(100 + i, None) for i in range(70)] + [(200, "-"), (201, "=")]
+    got = source_mix.mix(spark.createDataFrame(rows, "doc_id long, source string")).collect()
+    blocks = {}
+    for r in got:
+        blocks.setdefault(r.mix_slot, set()).add(r.source)
+    assert len(got) == len(rows) and all(len(v) == 1 for v in blocks.values()) and len(blocks) == 3 + 3 + 2
