@@ -103,15 +103,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, every: int = EVERY, wh
     return shared.shown(out, docs, own, ("_n_lines", "_n_removed", "_n_gone"))
 
 
-def dedup_lines(docs: DataFrame, keep_share: float = 0.0, **options) -> DataFrame:
+def dedup_lines(docs: DataFrame, keep_share: float = 0.0, drop_empty: bool = False, **options) -> DataFrame:
     """The rows and columns of docs, with repeated chunks (or runs) gone from text.
 
-    With keep_share, rows that lose lines and keep a smaller share of their characters go: they are copies, or nearly
-    so, of what stands elsewhere. Rows that lose nothing stay, whatever their text.
+    With drop_empty, rows that lose lines and are left without a word go: all that they said stands elsewhere. With keep_share, rows
+    that lose lines and keep a smaller share of their characters go too. Rows that lose nothing stay, whatever their text.
     """
     was = "_chars" + "_" * max(map(len, docs.columns))
     out = remove_repeats(docs.withColumn(was, F.length("text")), **options)
-    return out.where((F.col("_n_removed") == 0) | (F.length("text") >= keep_share * F.col(was))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stays = F.length("text") >= keep_share * F.col(was)
+    stays = stays & F.col("text").rlike(r"[^\x20\x09-\x0D]") if drop_empty else stays
+    return out.where((F.col("_n_removed") == 0) | stays).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

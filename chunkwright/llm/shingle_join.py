@@ -294,7 +294,7 @@ def _meet(words: int, percent: int):
 
 
 def shingle_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orders: int = ORDERS, block_bytes: int = BLOCK_BYTES, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, cls) of each row, cls null for empty sets; and links (a, b) between classes that join all that are connected.
+    """(doc_id, k1, k2, n, cls) of each row, k1 and k2 its hashes, cls null for empty sets; and links (a, b) between classes that join all that are connected.
 
     A bucket holds about block_bytes of texts, by eight bytes for each shingle.
     """
@@ -316,11 +316,11 @@ def shingle_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, o
     wanted = wanted.groupBy("k1", "k2", "cls").agg(F.flatten(F.collect_list(pairs)).alias("keys"))
     sent = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("cls", F.explode("keys").alias("key"), "text")
     met = sent.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets).cast("long"))).groupBy("bucket")
-    return found.select("doc_id", "n", "cls"), met.applyInArrow(_meet(words, percent), "a binary, b binary")
+    return found.select("doc_id", "k1", "k2", "n", "cls"), met.applyInArrow(_meet(words, percent), "a binary, b binary")
 
 
 def shingle_components(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable), class_id (smallest doc_id with the same set) of every row."""
+    """doc_id, n_shingles, component_id (smallest doc_id reachable), class_id (smallest doc_id with the same set) of every row, and its hashes k1 and k2."""
     found, links = shingle_links(docs, **options)
     classes = found.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"))
     node = F.struct(F.col("class_id").isNull().alias("no_id"), "class_id", "cls")
@@ -330,17 +330,22 @@ def shingle_components(docs: DataFrame, **options) -> DataFrame:
     named = classes.join(roots, "cls", "left").select("cls", "class_id", F.coalesce("root_id", "class_id").alias("component_id"))
     # A class may hold a third of all rows: named has a row for each class, and Spark can split the rows' side.
     out = found.join(named, "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), "k1", "k2")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs without the rows whose component has a smaller doc_id. Rows without a doc_id stay; rows that share one stay or go together."""
-    gone = shingle_components(docs, **options).where("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """docs without the rows whose component has a smaller doc_id. Rows without a doc_id stay; rows that share doc_id and text stay or go together.
+
+    A row is told by its doc_id and hashes of its text, so that others of the same doc_id don't go with it.
+    """
+    found = shingle_components(docs, **options).where("doc_id > component_id").select(F.col("doc_id").alias("_gone"), "k1", "k2").distinct()
+    own = (F.col("doc_id").cast("long") == F.col("_gone")) & (F.xxhash64("doc_id", "text") == F.col("k1")) & (F.xxhash64("text", "doc_id", F.lit(1)) == F.col("k2"))
+    hidden = shared.hidden(docs, ("doc_id", "text"))
+    return shared.shown(hidden.join(found, own, "left_anti"), docs, ("doc_id", "text"))
 
 
 def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shingle_components(shared.documents(spark, sf_dir))
+    return shingle_components(shared.documents(spark, sf_dir)).drop("k1", "k2")
 
 
 QUERIES = {"op8_shingle_join": op8_shingle_join}

@@ -12,8 +12,6 @@ from chunkwright.llm import line_dedup, pair_index_bpe, quality_rules, shared, s
 
 #: Near duplicates of a corpus: shingles of five words, Jaccard similarity 0.8. op8_shingle_join has parameters of its own.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
-#: A text that keeps less of its characters than this when repeated lines go is a copy; what is left of it isn't kept.
-LEAST_LEFT = 0.5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated runs of lines go from texts, and with them the rows that are left with under half of their characters."""
-    return line_dedup.dedup_lines(docs, LEAST_LEFT, whole_runs=True)
+    """Repeated runs of lines go from texts, and with them the rows that are left without a word: all of them stands elsewhere."""
+    return line_dedup.dedup_lines(docs, drop_empty=True, whole_runs=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
