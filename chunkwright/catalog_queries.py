@@ -18,6 +18,7 @@ from chunkwright.operators import chunks, ledger, load, monitor, profile, reconc
 from chunkwright.plans import chunk_plan as plans
 from chunkwright.sources import manifest, tables
 from chunkwright.sources.chunk_store import ChunkStore
+from chunkwright.sources.jdbc_target import JdbcTarget
 from chunkwright.sources.workspace import workspace
 from chunkwright.streaming import monitor_stream as streams
 
@@ -117,6 +118,11 @@ def q_columns(spark, sf):
     return profile.profile_columns(_tables(spark, sf), {"documents": ["n_chars"]})
 
 
+def q_column_lists(spark, sf):
+    lists = profile.column_lists(profile.profile_columns(_tables(spark, sf), {"documents": ["n_chars"], "orders": ["o_orderdate", "o_totalprice"]}))
+    return lists.select("table", F.concat_ws(",", "columns").alias("columns"), F.concat_ws(",", "generated").alias("generated"))
+
+
 def q_key_candidates(spark, sf):
     return profile.pick_chunk_key(_tables(spark, sf), KEYS)
 
@@ -189,12 +195,18 @@ def q_job_order(spark, sf):
     return plans.chunk_paths(plans.order_jobs(_even(spark, sf))).select("place", "file", "est_bytes")
 
 
+def _planned(spark, sf):
+    """The balanced plan, worked out once."""
+    return tables.kept(_balanced(spark, sf), workspace(spark, "plan"))
+
+
 def q_chunk_rows(spark, sf):
-    return chunks.chunk_metrics(chunks.assign_chunks(_documents(spark, sf), "doc_id", _balanced(spark, sf)))
+    return chunks.chunk_metrics(chunks.assign_chunks(_documents(spark, sf), "doc_id", _planned(spark, sf)))
 
 
 def q_chunk_balance(spark, sf):
-    return chunks.chunk_balance(q_chunk_rows(spark, sf), _balanced(spark, sf))
+    plan = _planned(spark, sf)
+    return chunks.chunk_balance(chunks.chunk_metrics(chunks.assign_chunks(_documents(spark, sf), "doc_id", plan)), plan)
 
 
 def q_balance_ratio(spark, sf):
@@ -214,17 +226,18 @@ def q_key_range(spark, sf):
     return reduce(DataFrame.unionByName, out)
 
 
-def q_jdbc_chunks(spark, sf):
-    """Orders in a database, read back with a partition for each range of the plan.
-
-    The database is the one that spark.chunkwright.jdbc.url names, which all executors must reach; where that is unset,
-    which is an error but in local mode, one in this JVM.
-    """
+def _database(spark):
+    """The database that spark.chunkwright.jdbc.url names, which all executors must reach; where that is unset, which is an error but in local mode, one in this JVM."""
     url = spark.conf.get("spark.chunkwright.jdbc.url", None)
     if not url and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.chunkwright.jdbc.url must name a database that all executors reach")
-    url, name = url or "jdbc:derby:memory:chunkwright;create=true", f"orders_{uuid.uuid4().hex}"
-    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"} if url.startswith("jdbc:derby:") else {}
+    url = url or "jdbc:derby:memory:chunkwright;create=true"
+    return url, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"} if url.startswith("jdbc:derby:") else {}
+
+
+def q_jdbc_chunks(spark, sf):
+    """Orders in a database, read back with a partition for each range of the plan."""
+    (url, driver), name = _database(spark), f"orders_{uuid.uuid4().hex}"
     orders = tables.scan_table(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_custkey"])
     orders.write.jdbc(url, name, properties=driver)
     plan = _even(spark, sf).where("table = 'orders'")
@@ -232,6 +245,18 @@ def q_jdbc_chunks(spark, sf):
     return rows.groupBy("chunk_id").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"), F.sum("o_custkey").alias("sum_custkey"))
 
 
+def q_jdbc_load(spark, sf):
+    """Chunks of orders loaded into a table of a database that has its columns in another order and one more; a run that does them again finds them done."""
+    url, driver = _database(spark)
+    name, orders = f"loaded_{uuid.uuid4().hex}", tables.scan_table(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    target = JdbcTarget(spark, url, f"marks_{uuid.uuid4().hex}", **driver)
+    target._run(f'CREATE TABLE {name} ("note" VARCHAR(20) DEFAULT \'none\', "o_orderstatus" VARCHAR(4), "o_custkey" BIGINT, "o_orderkey" BIGINT)')
+    plan = _keyed_jobs(spark, sf).where("table = 'orders'").orderBy("idx").collect()  # a row for each chunk
+    loaded = [target.load(tables.scan_key_range(orders, "o_orderkey", r.range_start, r.range_end, r.idx), name, r.chunk_key) for r in [*plan, plan[0]]]
+    back = spark.read.jdbc(url, name, properties=driver).groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.count_if(F.col("note") == "none").alias("n_default"), F.sum("o_orderkey").alias("sum_key"))
+    return back.withColumns({"again": F.lit(loaded[-1]), "all_marked": F.lit(target.done().count() == len(plan))}).withColumn("sum_key", F.col("sum_key").cast("long"))
+
+
 def q_block_rows(spark, sf):
     plan = _blocks(spark, sf).where("table = 'orders'")
     rows = tables.with_blocks(spark, f"{sf}/orders.parquet", ROWS_PER_BLOCK)
@@ -420,9 +445,11 @@ def q_load_table(spark, sf):
 
 
 def q_manifest(spark, sf):
-    path, catalog = workspace(spark, "manifest"), _catalog(spark, sf)
-    manifest.write_manifest(plans.chunk_paths(_even(spark, sf)), catalog, profile.sequence_state(catalog), "run-1", path)
-    return plans.plan_jobs(manifest.read_manifest(spark, path)).select("schema", "table", "kind", "idx", "range_start", "range_end", "est_bytes", "est_rows", "file")
+    path = workspace(spark, "manifest")
+    catalog = tables.kept(_catalog(spark, sf), f"{path}/catalog")
+    plan = plans.plan_even(catalog.where("key_min is not null"), THRESHOLD, MAX_CHUNKS)
+    manifest.write_manifest(plans.chunk_paths(plan), catalog, profile.sequence_state(catalog), "run-1", f"{path}/document")
+    return plans.plan_jobs(manifest.read_manifest(spark, f"{path}/document")).select("schema", "table", "kind", "idx", "range_start", "range_end", "est_bytes", "est_rows", "file")
 
 
 def q_export_reload(spark, sf):
@@ -731,6 +758,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_top_tables": f'WITH {catalog} SELECT "table", bytes FROM catalog ORDER BY bytes DESC, "table" LIMIT 5',
         "q_catalog_totals": f"WITH {catalog} SELECT count(*) AS n_tables, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(est_rows) AS BIGINT) AS est_rows FROM catalog",
         "q_columns": f"SELECT c.\"table\", c.position, c.\"column\", c.\"table\" = 'documents' AND c.\"column\" = 'n_chars' AS generated, v.n_values FROM ({positions}) c JOIN ({values}) v USING (\"table\", \"column\")",
+        "q_column_lists": f"WITH c AS (SELECT *, (\"table\" = 'documents' AND \"column\" = 'n_chars') OR (\"table\" = 'orders' AND \"column\" IN ('o_orderdate', 'o_totalprice')) AS made FROM ({positions})) SELECT \"table\", coalesce(string_agg(\"column\", ',' ORDER BY position) FILTER (NOT made), '') AS columns, coalesce(string_agg(\"column\", ',' ORDER BY position) FILTER (made), '') AS generated FROM c GROUP BY \"table\"",
         "q_key_candidates": f"SELECT t AS \"table\", CASE WHEN ok THEN c END AS key_col FROM ({candidates}) QUALIFY row_number() OVER (PARTITION BY t ORDER BY NOT ok, c <> coalesce(CASE t {declared} END, ''), p) = 1",
         "q_key_bounds": "SELECT min(doc_id) AS key_min, max(doc_id) AS key_max FROM documents",
         "q_row_bytes": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS n_rows, CAST(sum({_bytes(COLUMNS[t])}) AS BIGINT) AS n_bytes FROM {t}" for t in ("documents", "benchmark", "pages")),
@@ -757,6 +785,7 @@ metrics AS (SELECT idx AS chunk_id, count(*) AS n_rows, CAST(sum({doc_bytes}) AS
         "q_select_tables": f"WITH {catalog} SELECT schema, \"table\", est_rows FROM catalog WHERE schema = 'sales' OR \"table\" = 'labels'",
         "q_loadable": f"WITH {catalog} SELECT schema, \"table\", kind, est_rows FROM catalog WHERE kind <> 'm'",
         "q_jdbc_chunks": f"{with_even} SELECT p.idx AS chunk_id, count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(sum(o_custkey) AS BIGINT) AS sum_custkey FROM plan p JOIN orders ON p.\"table\" = 'orders' AND CASE WHEN o_orderkey IS NULL THEN p.idx = 0 ELSE o_orderkey BETWEEN p.range_start AND p.range_end END GROUP BY p.idx",
+        "q_jdbc_load": "SELECT o_orderstatus, count(*) AS n_rows, count(*) AS n_default, CAST(sum(o_orderkey) AS BIGINT) AS sum_key, false AS again, true AS all_marked FROM orders GROUP BY o_orderstatus",
         "q_pending": f'{with_even} SELECT schema, "table", idx, est_rows FROM plan WHERE idx % 3 <> 0',
         "q_preview": f'{with_even} SELECT schema, "table", idx, idx % 3 = 0 AS done FROM plan',
         "q_missing_chunks": f"{with_even} SELECT 'data/corpus.documents/chunk_id=' || idx AS file, 'exported' AS status FROM plan WHERE \"table\" = 'documents' AND idx % 4 = 1 AND EXISTS (SELECT 1 FROM documents WHERE doc_id BETWEEN range_start AND range_end)",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,7 @@ from chunkwright.operators.chunks import assign_blocks, assign_chunks, plan_of
 from chunkwright.operators.ledger import Ledger
 from chunkwright.plans.chunk_plan import chunk_places
 from chunkwright.sources.chunk_store import ChunkStore, write_counted
-from chunkwright.sources.tables import numbered_blocks, write_chunks
+from chunkwright.sources.tables import numbered_blocks, scan_view, write_chunks
 
 
 def select_tables(rows: DataFrame, schema: str | None = None, table: str | None = None) -> DataFrame:
@@ -48,6 +50,16 @@ def check_generated(df: DataFrame, expressions: dict[str, Column]) -> DataFrame:
     return one.select("n_rows", F.inline(rows)).select("column", "n_rows", "n_null", "n_different")
 
 
+#: Tables whose jobs run side by side.
+WORKERS = 4
+
+
+def side_by_side(do: Callable[[str], list], names: list, workers: int) -> list:
+    """What do returns for each name, in order; Spark's jobs are begun from so many threads. All end before the first error is raised."""
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        return [f.result() for f in [pool.submit(do, n) for n in names]]
+
+
 @dataclass
 class Source:
     """A table to export: its rows as read, so that files can be asked for; the columns to take; its key, for plans of key ranges."""
@@ -70,26 +82,33 @@ def route_rows(source: Source, plan: DataFrame, strategy: str) -> DataFrame:
     raise ValueError(f"{strategy!r} can't place rows: it takes a key for key_range, rows_per_block for block_range")
 
 
-def export_all(sources: dict[str, Source], plan: DataFrame, root: str, codec: str | None = None) -> DataFrame:
+def export_all(sources: dict[str, Source], plan: DataFrame, root: str, codec: str | None = None, workers: int = WORKERS) -> DataFrame:
     """Writes the tables of a plan, each by its own strategy, and returns the plan with file, status, n_rows and n_bytes.
 
     sources are by `schema.table`. Rows and bytes are counted by the writes themselves. A chunk without rows has no file, 0 rows and
     the status of any other. All rows of a source get a chunk, or the export fails. Chunks are replaced one by one, so a
-    run may be repeated. The result has a row for each chunk of a threshold of bytes.
+    run may be repeated. Jobs of several tables run side by side, so that small ones don't wait for each other's last task. The
+    result has a row for each chunk of a threshold of bytes.
     """
     spark, plan = plan.sparkSession, chunk_places(plan)
     chunks = plan.select("schema", "table", "strategy", "idx", "file").collect()  # a plan is small
     if len({c.file for c in chunks}) < len(chunks):
         raise ValueError("two chunks of the plan have one place: names of tables differ only by characters that paths can't hold")
-    facts = []
-    for name in sorted({f"{c.schema}.{c.table}" for c in chunks}):
-        mine = [c for c in chunks if f"{c.schema}.{c.table}" == name]
+    tables = {}
+    for c in chunks:
+        tables.setdefault(f"{c.schema}.{c.table}", []).append(c)
+    for name, mine in tables.items():
         strategies = sorted({c.strategy for c in mine})
         if name not in sources or len(strategies) > 1:
             raise ValueError(f"{name} has no source" if name not in sources else f"{name} has chunks of {strategies}")
-        rows = route_rows(sources[name], plan_of(plan, name), strategies[0])
+
+    def written(name: str) -> list[tuple]:
+        mine = tables[name]
+        rows = route_rows(sources[name], plan_of(plan, name), mine[0].strategy)
         counts, sizes = write_counted(rows, f"{root}/{mine[0].file.rpartition('/')[0]}", len(mine), codec, overwrite=True)
-        facts += [(c.file, counts.get(c.idx, 0), sizes.get(c.idx, 0)) for c in mine]
+        return [(c.file, counts.get(c.idx, 0), sizes.get(c.idx, 0)) for c in mine]
+
+    facts = [f for own in side_by_side(written, sorted(tables), workers) for f in own]
     known = spark.createDataFrame(facts, "file string, n_rows long, n_bytes long")
     return plan.join(known, "file").withColumn("status", F.lit("exported"))
 
@@ -101,7 +120,7 @@ def export_tables(found: dict[str, DataFrame], keys: dict[str, str], plan: DataF
         write_chunks(rows, f"{root}/data", codec, ("chunk_table", "chunk_id"))
 
 
-def load_chunks(spark: SparkSession, jobs: DataFrame, root: str, columns: dict[str, list[str]], target: str, marks: Ledger, mark: bool = True, by_schema: bool = False) -> None:
+def load_chunks(spark: SparkSession, jobs: DataFrame, root: str, columns: dict[str, list[str]], target: str, marks: Ledger, mark: bool = True, by_schema: bool = False, workers: int = WORKERS) -> None:
     """Loads the chunks of a manifest's jobs (schema, table, idx, file, chunk_key) that their targets don't have, then marks them.
 
     A table's target is a ChunkStore in `target/table`, or in `target/schema.table` with by_schema. What is loaded is what
@@ -116,24 +135,30 @@ def load_chunks(spark: SparkSession, jobs: DataFrame, root: str, columns: dict[s
     if not by_schema and len({t for _, t in names}) < len(names):
         raise ValueError("tables of several schemas have one name: load them by schema")
     todo, stores, plans = {}, {}, {}
-    for schema, table in names:
+
+    def left_of(name: tuple[str, str]) -> None:
+        schema, table = name
         mine = [c for c in chunks if (c.schema, c.table) == (schema, table)]
         own = hashlib.sha256("\n".join(sorted(c.chunk_key for c in mine)).encode()).hexdigest()
         plans[schema, table] = (str(mine[0].plan or own), int(mine[0].n_chunks or len(mine)))
         stores[schema, table] = ChunkStore(spark, f"{target}/{schema}.{table}" if by_schema else f"{target}/{table}")
         held = stores[schema, table].state(f"{schema}.{table}").held.get(plans[schema, table][0], {})
         todo[schema, table] = [c for c in mine if c.chunk_key not in held]
+
+    side_by_side(left_of, names, workers)
     left = [c.file for own in todo.values() for c in own if c.n_rows is None or c.n_rows > 0]
     if left:
         lost = missing_chunks(spark.createDataFrame([(f,) for f in left], "file string"), list_chunks(spark, root)).orderBy("file").select("file").collect()
         if lost:
             raise FileNotFoundError(f"{len(lost)} chunks are missing: " + ", ".join(r[0] for r in lost))
-    for (schema, table), own in todo.items():
-        if own:
-            wanted = columns.get(f"{schema}.{table}") or columns[table]
-            plan, n_chunks = plans[schema, table]
-            rows = _read_chunks(spark, [f"{root}/{c.file}" for c in own if c.n_rows is None or c.n_rows > 0], wanted)
-            stores[schema, table].write(rows, {c.chunk_key: c.idx for c in own}, f"{schema}.{table}", plan, n_chunks)
+
+    def loaded(name: tuple[str, str]) -> None:
+        schema, table = name
+        wanted = columns.get(f"{schema}.{table}") or columns[table]
+        rows = _read_chunks(spark, [f"{root}/{c.file}" for c in todo[name] if c.n_rows is None or c.n_rows > 0], wanted)
+        stores[name].write(rows, {c.chunk_key: c.idx for c in todo[name]}, f"{schema}.{table}", *plans[name])
+
+    side_by_side(loaded, [n for n in names if todo[n]], workers)
     if chunks and mark:
         marks.mark(jobs.select("chunk_key"))
 
@@ -166,7 +191,7 @@ def clean_target(spark: SparkSession, tables: list[str] = (), schemas: list[str]
 
 def refresh_view(spark: SparkSession, query: str, target: str, **tables: DataFrame) -> DataFrame:
     """Runs a view's query again and replaces its stored rows."""
-    spark.sql(query, **tables).write.mode("overwrite").parquet(target)
+    scan_view(spark, query, **tables).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chunkwright.functions import expressions as ex
 from chunkwright.operators import chunks, ledger, load, monitor, profile, reconcile
 from chunkwright.plans import chunk_plan as plans
-from chunkwright.sources import chunk_store, manifest, tables
+from chunkwright.sources import chunk_store, jdbc_target, manifest, tables
 from chunkwright.streaming import monitor_stream
 
 PLAN = "schema string, table string, strategy string, idx long, range_start long, range_end long, block_start long, block_end long, est_bytes long, est_rows long"
@@ -245,3 +245,21 @@ def test_load_by_a_list_of_columns(spark):
         load.load_table(spark.range(3).selectExpr("id a", "id * 10 b"), "lists.t", ["a", "b"])
     assert sorted(tuple(r) for r in spark.table("lists.t").collect()) == sorted([(None, 10 * i, i) for i in range(3)] * 2)
     spark.sql("DROP SCHEMA lists CASCADE")
+
+
+def test_rows_and_mark_of_a_chunk_are_one_transaction(spark):
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    target = jdbc_target.JdbcTarget(spark, "jdbc:derby:memory:transactions;create=true", **driver)
+    target._run('CREATE TABLE t ("k" BIGINT NOT NULL PRIMARY KEY, "v" VARCHAR(10) DEFAULT \'x\')')
+    rows = spark.range(5).select(F.col("id").alias("k"))
+    read = lambda: sorted(tuple(r) for r in spark.read.jdbc(target.url, "t", properties=driver).collect())
+    assert target.load(rows, "t", "a") and not target.load(rows, "t", "a")
+    assert read() == [(k, "x") for k in range(5)]
+    with pytest.raises(Exception, match="(?i)truncation|too long|length"):  # the mark fails, so the rows go too
+        target.load(spark.range(10, 12).select(F.col("id").alias("k")), "t", "b" * 600)
+    with pytest.raises(Exception, match="(?i)duplicate"):  # the rows fail, so there is no mark
+        target.load(rows, "t", "c")
+    assert len(read()) == 5 and [r.chunk_key for r in target.done().collect()] == ["a"]
+    assert jdbc_target.JdbcTarget(spark, target.url, **driver).done().count() == 1
+    names = spark.read.jdbc(target.url, "SYS.SYSTABLES", properties=driver).select("TABLENAME").collect()
+    assert not [n for n in names if n[0].upper().startswith("STAGE")]
