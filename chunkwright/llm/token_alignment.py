@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from chunkwright.llm import shared, token_pack
 
 #: Bytes of text that are cut at once; bytes of text and distinct runs in a block; runs that a worker remembers.
-GROUP_BYTES, BLOCK_BYTES, BLOCK_RUNS, REMEMBERED = 2 << 20, 24 << 20, 400_000, 150_000
+GROUP_BYTES, BLOCK_BYTES, BLOCK_RUNS, REMEMBERED = 6 << 20, 24 << 20, 300_000, 160_000
 PAIRS_A_ROW = 1 << 15
 
 
@@ -103,7 +104,10 @@ class Pair:
             raise ValueError("a piece crosses a space, so runs can't be encoded alone")
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_size_of, self.b_size_of = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.space = np.array([self.b.piece_to_id("▁")], np.int64)
+        self.code = np.dtype("<u4" if self.a.size * self.b_size < 1 << 32 else "<i8")
+        self.space = [self.b.piece_to_id("▁")]
+        #: Text of an id with what follows it: in its group, and at the end of its side of it.
+        self.a_text, self.b_text = (np.array([[f"{i},", f"{i}{end}"] for i in range(n)], object).T for n, end in ((self.a.size, "|"), (self.b_size, ";")))
         self.known: dict[str, tuple] = {}
         self.before: dict[str, tuple] = {}
 
@@ -112,38 +116,62 @@ class Pair:
         return self.a.cuts(data) & (data == 0x20)
 
     def learn(self, runs: list[str]) -> None:
-        """(A tokens, B tokens, groups, shared-group links, codes of links, text of groups) of new runs; None where bytes differ."""
-        a_ids = self.a.encode(runs)
-        b_ids = [np.array(x, np.int64) for x in self.b.encode([r[1:] for r in runs], num_threads=1)]
-        b_ids = [self.space if r == " " else x for r, x in zip(runs, b_ids, strict=True)]  # behind the last character nothing is added
-        good = []
-        for k, (r, a, b) in enumerate(zip(runs, a_ids, b_ids, strict=True)):
-            whole = r.encode()
-            if b"".join([self.a_bytes[i] for i in a.tolist()]) == whole and b"".join([self.b_bytes[i] for i in b.tolist()]) == whole:
-                good.append(k)
-            else:
-                self.known[r] = None
-        if not good:
+        """(numbers of A tokens, B tokens, groups, shared-group links and links; codes of links; text of groups) of new runs; None where bytes differ."""
+        if len(self.a.known) > REMEMBERED // 2:
+            self.a.before, self.a.known = self.a.known, {}
+        a_all, a_n = self.a.encode_all(pa.array(runs, pa.string()))
+        b_lists = [self.space if r == " " else x for r, x in zip(runs, self.b.encode([r[1:] for r in runs], num_threads=1), strict=True)]  # behind the last character nothing is added
+        b_n = np.fromiter(map(len, b_lists), np.int64, len(runs))
+        a_all, b_all = a_all.astype(np.int64), np.fromiter(chain.from_iterable(b_lists), np.int64, int(b_n.sum()))
+        bad = self._differ(runs, a_all, a_n, b_all, b_n)
+        if bad.any():
+            self.known.update((runs[k], None) for k in np.flatnonzero(bad).tolist())
+            runs = [runs[k] for k in np.flatnonzero(~bad).tolist()]
+            a_all, b_all = a_all[np.repeat(~bad, a_n)], b_all[np.repeat(~bad, b_n)]
+            a_n, b_n = a_n[~bad], b_n[~bad]
+        if not runs:
             return
-        a_all, b_all = np.concatenate([a_ids[k] for k in good]).astype(np.int64), np.concatenate([b_ids[k] for k in good])
         got = Aligned(self.a_size_of[a_all], self.b_size_of[b_all])
         codes = np.repeat(a_all, np.diff(got.link_ptr)) * self.b_size + b_all[got.link_b]
-        a_end, b_end = (np.cumsum([len(x[k]) for k in good]) for x in (a_ids, b_ids))
+        a_end = np.cumsum(a_n)
         link_end, group_end = got.link_ptr[a_end], got.a_group[a_end - 1] + 1
         shared_end = np.concatenate([[0], np.cumsum(got.shared_links())])[group_end]
-        texts = self._texts(a_all, b_all, got)
-        at = (0, 0, 0, 0, 0)
-        for k, *to in zip(good, a_end.tolist(), b_end.tolist(), group_end.tolist(), link_end.tolist(), shared_end.tolist(), strict=True):
-            self.known[runs[k]] = (to[0] - at[0], to[1] - at[1], to[2] - at[2], to[4] - at[4], codes[at[3] : to[3]].copy(), ";".join(texts[at[2] : to[2]]))
-            at = to
-
-    @staticmethod
-    def _texts(a: np.ndarray, b: np.ndarray, got: Aligned) -> list[str]:
-        """`a1,a2|b1` of each group."""
-        n = np.arange(len(got.group_ends) + 1)
-        a_at, b_at = np.searchsorted(got.a_group, n).tolist(), np.searchsorted(got.b_group, n).tolist()
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        return [",".join(a_text[a_at[i] : a_at[i + 1]]) + "|" + ",".join(b_text[b_at[i] : b_at[i + 1]]) for i in range(len(n) - 1)]
+        text, text_end = self._text(a_all, b_all, got, a_end)
+        numbers = np.stack([a_n, b_n, *(np.diff(x, prepend=0) for x in (group_end, shared_end, link_end))], axis=1).tolist()
+        raw, at, began = codes.astype(self.code).tobytes(), 0, 0
+        for run, n, to, end in zip(runs, numbers, (link_end * self.code.itemsize).tolist(), text_end.tolist(), strict=True):
+            self.known[run] = (tuple(n), raw[at:to], text[began : end - 1])
+            at, began = to, end
+
+    def _differ(self, runs: list[str], a: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_n: np.ndarray) -> np.ndarray:
+        """True for runs whose joined A or B bytes aren't the run's. All are compared at once, and one by one only if that fails."""
+        raw = [r.encode() for r in runs]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        whole, bad = b"".join(raw), np.zeros(len(runs), bool)
+        for ids, n, table, size_of in ((a, a_n, self.a_bytes, self.a_size_of), (b, b_n, self.b_bytes, self.b_size_of)):
+            ends = np.cumsum(n)
+            total = np.concatenate([[0], np.cumsum(size_of[ids])])
+            if (total[ends] - total[ends - n] == sizes).all() and b"".join([table[i] for i in ids.tolist()]) == whole:
+                continue
+            for k, (e, m) in enumerate(zip(ends.tolist(), n.tolist(), strict=True)):
+                bad[k] |= b"".join([table[i] for i in ids[e - m : e].tolist()]) != raw[k]
+        return bad
+
+    def _text(self, a: np.ndarray, b: np.ndarray, got: Aligned, a_end: np.ndarray) -> tuple[str, np.ndarray]:
+        """`a1,a2|b1;` of all groups end to end, and where the text of each run ends, of which a_end is the end of its A tokens."""
+        n = np.arange(len(got.group_ends))
+        a_to, b_to = np.searchsorted(got.a_group, n, "right"), np.searchsorted(got.b_group, n, "right")
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[a_to - 1], last_b[b_to - 1] = 1, 1
+        parts = np.empty(len(a) + len(b), object)
+        before_a, before_b = np.concatenate([[0], b_to])[got.a_group], a_to[got.b_group]
+        at_a = np.arange(len(a)) + before_a
+        parts[at_a] = self.a_text[last_a, a]
+        parts[np.arange(len(b)) + before_b] = self.b_text[last_b, b]
+        parts = parts.tolist()
+        length = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        run_groups = got.a_group[a_end - 1]
+        return "".join(parts), length[a_to[run_groups] + b_to[run_groups] - 1]
 
     def look_up(self, runs: list[str]) -> list[tuple]:
         if len(self.known) > REMEMBERED:
@@ -183,7 +211,7 @@ class _Block:
     def __init__(self, number: int):
         self.number, self.bytes = number, 0
         self.at: dict[str, int] = {}
-        self.codes: list[np.ndarray] = []
+        self.codes: list[bytes] = []
         self.uses: list[np.ndarray] = []
 
     def take(self, doc_ids: list, texts: pa.Array, pair: Pair) -> Iterator[dict]:
@@ -199,15 +227,17 @@ class _Block:
         runs = coded.dictionary.to_pylist()
         known = pair.look_up(runs)
         good = np.fromiter((x is not None for x in known), bool, len(known))
-        numbers = np.full(len(runs), -1, np.int64)
-        for k, (r, x) in enumerate(zip(runs, known, strict=True)):
+        numbers, at_of, codes = [], self.at, self.codes
+        for r, x in zip(runs, known, strict=True):
+            at = -1
             if x is not None:
-                at = self.at.setdefault(r, len(self.codes))
-                if at == len(self.codes):
-                    self.codes.append(x[4])
-                numbers[k] = at
-        sums = np.array([x[:4] + (len(x[4]),) if x else (0,) * 5 for x in known], np.int64)
-        texts_of = [x[5] if x else "" for x in known]
+                at = at_of.setdefault(r, len(codes))
+                if at == len(codes):
+                    codes.append(x[1])
+            numbers.append(at)
+        numbers = np.array(numbers, np.int64)
+        sums = np.array([x[0] if x else (0,) * 5 for x in known], np.int64)
+        texts_of = [x[2] if x else "" for x in known]
         item = coded.indices.to_numpy()
         cut = np.searchsorted(start, ends)
         self.bytes += len(data)
@@ -221,13 +251,13 @@ class _Block:
             self.uses.append(numbers[own].astype("<i4"))
             yield {"block": self.number, "kind": 0, "doc_id": doc_id, "n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": links, "n_shared": shared_links, "groups_sha256": digest, "runs": self.uses[-1].tobytes()}
 
-    def close(self) -> Iterator[dict]:
+    def close(self, pair: Pair) -> Iterator[dict]:
         """Rows of the block's runs and pairs."""
         if not self.codes:
             return
         uses = np.bincount(np.concatenate(self.uses), minlength=len(self.codes)) if self.uses else np.zeros(len(self.codes), np.int64)
-        sizes = np.fromiter(map(len, self.codes), np.int64, len(self.codes))
-        flat = np.concatenate(self.codes)
+        sizes = np.fromiter(map(len, self.codes), np.int64, len(self.codes)) // pair.code.itemsize
+        flat = np.frombuffer(b"".join(self.codes), pair.code).astype(np.int64)
         codes, place = np.unique(flat, return_inverse=True)
         counts = np.bincount(place, weights=np.repeat(uses, sizes), minlength=len(codes)).astype(np.int64)
         yield {"block": self.number, "kind": 1, "sizes": sizes.astype("<i4").tobytes(), "runs": place.astype("<i4").tobytes()}
@@ -241,22 +271,34 @@ def _aligned(a_path: str, b_path: str):
 
         pair, part, number = loaded(a_path, b_path), TaskContext.get().partitionId() << 32, 0
         block = _Block(part)
-        for batch in shared.small_batches(batches, 256):
-            texts = pc.fill_null(batch.column(1), "")
-            keys, sizes = batch.column(0).to_pylist(), pc.binary_length(texts).to_pylist()
+
+        def rows(kept: list[pa.RecordBatch]) -> list[dict]:
+            nonlocal block, number
+            table = pa.Table.from_batches(kept).combine_chunks()
+            texts = pc.fill_null(table.column(1).chunk(0), "")
+            keys, sizes = table.column(0).to_pylist(), pc.binary_length(texts).to_pylist()
             out = [_empty(block.number, k) for k, s in zip(keys, sizes, strict=True) if not s]
             some = pa.array(np.flatnonzero(sizes))
             keys, sizes, texts = [k for k, s in zip(keys, sizes, strict=True) if s], [s for s in sizes if s], texts.take(some)
             texts = pc.binary_join_element_wise(pa.scalar(" "), texts, "")
             for at, to in token_pack._groups(sizes, GROUP_BYTES):
                 if block.bytes >= BLOCK_BYTES or len(block.codes) >= BLOCK_RUNS:
-                    out += block.close()
+                    out += block.close(pair)
                     number += 1
                     block = _Block(part + number)
                 out += block.take(keys[at:to], texts.slice(at, to - at), pair)
-            if out:
-                yield pa.RecordBatch.from_pylist(out, _ROWS)
-        if last := list(block.close()):
+            return out
+
+        kept, size = [], 0
+        for batch in batches:  # Spark's batches put together to groups
+            kept.append(batch)
+            size += batch.nbytes
+            if size >= GROUP_BYTES:
+                yield pa.RecordBatch.from_pylist(rows(kept), _ROWS)
+                kept, size = [], 0
+        if size or any(b.num_rows for b in kept):
+            yield pa.RecordBatch.from_pylist(rows(kept), _ROWS)
+        if last := list(block.close(pair)):
             yield pa.RecordBatch.from_pylist(last, _ROWS)
 
     return run
