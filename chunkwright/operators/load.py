@@ -105,7 +105,7 @@ def export_all(sources: dict[str, Source], plan: DataFrame, root: str, codec: st
     def written(name: str) -> list[tuple]:
         mine = tables[name]
         rows = route_rows(sources[name], plan_of(plan, name), mine[0].strategy)
-        counts, sizes = write_counted(rows, f"{root}/{mine[0].file.rpartition('/')[0]}", len(mine), codec, overwrite=True)
+        counts, sizes = write_counted(rows, f"{root}/{mine[0].file.rpartition('/')[0]}", len(mine), codec, overwrite=True, gather=mine[0].strategy == "key_range")
         return [(c.file, counts.get(c.idx, 0), sizes.get(c.idx, 0)) for c in mine]
 
     facts = [f for own in side_by_side(written, sorted(tables), workers) for f in own]

@@ -16,17 +16,20 @@ LOG = "seq long, kind string, owner string, plan string, chunk_key string, chunk
 MOST_CHUNKS = 400_000
 
 
-def write_counted(df: DataFrame, path: str, n_chunks: int, codec: str | None = None, overwrite: bool = False) -> tuple[dict[int, int], dict[int, int]]:
+def write_counted(df: DataFrame, path: str, n_chunks: int, codec: str | None = None, overwrite: bool = False, gather: bool = False) -> tuple[dict[int, int], dict[int, int]]:
     """Writes df by chunk_id, a folder for each, and returns the rows and the bytes of files of each chunk that has any.
 
     Rows are counted by the write itself: an observed frequency sketch over chunk_id, which is exact below the number of
-    items that it tracks, twice the chunks of the plan. It stands behind the last shuffle, where a task's count is taken once.
+    items that it tracks, twice the chunks of the plan. It stands in the job's last stage, where a task's count is taken once.
     Bytes are what the store lists. With overwrite, folders of chunks that are in df are replaced and others stay.
+
+    With gather, a chunk's rows are shuffled to one task, which writes one file. Without, each task writes a file for each chunk that it
+    meets and nothing is shuffled: right where tasks meet few chunks, as those of blocks and of chunks that are read from their folders.
     """
     if n_chunks > MOST_CHUNKS:
         raise ValueError(f"{n_chunks} chunks in one write: use a larger threshold or several writes")
     seen, tracked = Observation(), max(64, 2 * n_chunks)
-    out = df.repartition("chunk_id").observe(seen, F.count("*").alias("n"), F.expr(f"approx_top_k(chunk_id, {tracked}, {tracked})").alias("each"))
+    out = (df.repartition("chunk_id") if gather else df).observe(seen, F.count("*").alias("n"), F.expr(f"approx_top_k(chunk_id, {tracked}, {tracked})").alias("each"))
     writer = out.write.partitionBy("chunk_id").option("compression", codec_or_default(codec))
     (writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if overwrite else writer).parquet(path)
     got = seen.get

@@ -263,3 +263,21 @@ def test_rows_and_mark_of_a_chunk_are_one_transaction(spark):
     assert jdbc_target.JdbcTarget(spark, target.url, **driver).done().count() == 1
     names = spark.read.jdbc(target.url, "SYS.SYSTABLES", properties=driver).select("TABLENAME").collect()
     assert not [n for n in names if n[0].upper().startswith("STAGE")]
+
+
+def test_only_key_ranges_are_shuffled(spark, tmp_path, monkeypatch):
+    """Blocks, single chunks and loads are written by the tasks that read them."""
+    spark.range(400).select(F.col("id").alias("k")).repartition(4).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    single = spark.createDataFrame([("s", "o", "single", 0, None, None, None, None, 1, 1)], PLAN)
+    plan = single.unionByName(ranges(spark, 0, 100, 300, table="k"))
+    gathered, write = {}, load.write_counted
+
+    def seen(df, path, *args, gather=False, **kw):
+        gathered[path.rpartition("/")[2]] = gather
+        return write(df, path, *args, gather=gather, **kw)
+
+    monkeypatch.setattr(load, "write_counted", seen)
+    load.export_all({"s.o": load.Source(rows), "s.k": load.Source(rows, None, "k")}, plan, f"{tmp_path}/out")
+    assert gathered == {"s.o": False, "s.k": True}
+    assert spark.read.parquet(f"{tmp_path}/out/data/s.k").count() == spark.read.parquet(f"{tmp_path}/out/data/s.o").count() == 400
