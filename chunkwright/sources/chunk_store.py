@@ -115,8 +115,10 @@ class ChunkStore:
         new.coalesce(1).write.mode("append").parquet(f"{self.path}/_commits")  # one file, so whole or absent
 
     def sweep(self) -> None:
-        """Deletes chunks that the log no longer counts, for readers that don't know of it."""
-        for place in self.state().retired:
+        """Deletes chunks that the log no longer counts, for readers that don't know of it; a write's whole folder at once where none of its chunks counts."""
+        state = self.state()
+        live = {c.folder for chunks in state.held.values() for c in chunks.values()}
+        for place in sorted({p if p.partition("/")[0] in live else p.partition("/")[0] for p in state.retired}):
             delete_path(self.spark, f"{self.path}/{place}")
 
     def read(self, schema: T.StructType | str) -> DataFrame:
