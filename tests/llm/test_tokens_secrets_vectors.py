@@ -312,3 +312,8 @@ def test_bpe_forgets(bpe):
         same_as_library(own, [" ".join(words[(i * k) % len(words)] for k in range(1, 4)), words[i % 3]])
         assert len(own.runs.young) <= 3 + 4
     same_as_library(own, ODD)
+
+
+def test_no_python_in_secret_scans(spark, sf):
+    plan = secret_forest.op7_secret_forest(spark, sf)._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas"))
