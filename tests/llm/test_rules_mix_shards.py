@@ -1,9 +1,12 @@
 """Quality rules, mixing and sharding."""
 
+import heapq
 import math
+import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -172,6 +175,47 @@ def test_schedules_keep_to_the_weights(weights, window):
             seen[names[got[t][0]]] += 1
 
 
+def one_pass(blocks, weights):
+    """Earliest deadline first over all blocks, slot by slot, in exact fractions."""
+    exact = [Fraction(w) for w in weights]
+    ends = sorted((Fraction(n) / w, w, n) for n, w in zip(blocks, exact, strict=True))
+
+    def filled(v):
+        return sum(min(w * v, n) for _, w, n in ends)
+
+    jobs = sorted((math.floor(filled(k / w)), math.ceil(filled((k + 1) / w)), s, k) for s, (n, w) in enumerate(zip(blocks, exact, strict=True)) for k in range(n))
+    ready, at, out = [], 0, []
+    for slot in range(len(jobs)):
+        while at < len(jobs) and jobs[at][0] <= slot:
+            heapq.heappush(ready, jobs[at][1:])
+            at += 1
+        deadline, s, k = heapq.heappop(ready)
+        assert slot < deadline
+        out.append((s, k))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(24))
+def test_windows_give_the_schedule_of_one_pass(seed):
+    """What a window takes over from those before it is worked out without going through them."""
+    rng = random.Random(seed)
+    n = rng.choice([1, 2, 3, 7, 20])
+    weight = [rng.random, lambda: float(rng.randint(1, 5)), lambda: 1.0, lambda: 10 ** rng.uniform(-4, 0)][seed % 4]
+    weights, blocks = [weight() + 1e-9 for _ in range(n)], [rng.choice([1, rng.randint(1, 20), rng.randint(1, 120)]) for _ in range(n)]
+    want = one_pass(blocks, weights)
+    for window in (rng.randint(1, 9), rng.randint(10, 90), len(want) + 1):
+        got = [x for s, k in source_mix.schedule(blocks, weights, window) for x in zip(s.tolist(), k.tolist(), strict=True)]
+        assert got == want, window
+
+
+def test_mix_is_the_same_in_any_windows(spark):
+    rows_ = [(i, "abcdefgh"[min(i * i % 61, 7)]) for i in range(900)] + [(900 + i, None) for i in range(5)]
+    df = spark.createDataFrame(rows_, "doc_id long, source string")
+    weights = {"a": 2**0.5, "b": 1.0, "c": 0.01, "h": 3.0}
+    whole, cut = (sorted(map(str, source_mix.mix(df, weights=weights, block_rows=3, window=w).collect())) for w in (None, 17))
+    assert whole == cut and len(whole) == 905
+
+
 def test_mix_keeps_to_the_weights_over_many_frames(spark):
     rows_ = [(i, "b" if i < 12 else "a") for i in range(6000)]
     weights = {"a": 0.9997, "b": 0.0003}
@@ -272,9 +316,7 @@ def test_no_python_in_native_plans(spark):
 
 
 def test_exact_times_at_a_billion_slots():
-    """In windows far out, times are floor and ceil of exact fractions, and no source is a block away from its share."""
-    from fractions import Fraction
-
+    """In windows far out, times are floor and ceil of exact fractions, and what a window takes over is known there."""
     weights = [3.0, 1.0, 1.0, 0.7, 2**0.5]
     times = source_mix.Times([10**10] * 5, weights)
     total = sum(map(Fraction, weights))
@@ -284,6 +326,8 @@ def test_exact_times_at_a_billion_slots():
         source = np.full(len(k), s)
         assert times.whole(source, k, False).tolist() == [math.floor(x) for x in exact]
         assert times.whole(source, k, True).tolist() == [math.ceil(x) for x in exact]
+    due, released = times.at_slot(10**9)
+    assert set((released - due).tolist()) <= {0, 1} and due.sum() <= 10**9 <= released.sum()
 
 
 def test_a_source_called_as_none_is(spark):
