@@ -88,14 +88,19 @@ def progress(events: DataFrame, jobs: DataFrame) -> DataFrame:
 def rolling_speed(samples: DataFrame, total_bytes: int, seconds: int = 10) -> DataFrame:
     """Adds speed (bytes a second over the last `seconds`, at least one) and eta_s to samples (run, ts, event_id, bytes so far), each run on its own.
 
-    A sample stands in its own bucket of that many seconds and, as history, in the next one, so a window never holds
-    more than two buckets of a run.
+    A sample stands in its own bucket of that many seconds and, moved on by as many, as history in the next one. Of a window's samples
+    those in its own bucket are all that came before, and those in the bucket before all whose moved time is still to come: two running
+    minima, one in each direction, so work is a sort of each bucket and doesn't depend on how many samples a window holds.
     """
     micros, span = F.unix_micros("ts"), seconds * 1_000_000
-    both = samples.withColumn("_bucket", F.explode(F.array(F.expr(f"unix_micros(ts) div {span}"), F.expr(f"unix_micros(ts) div {span} + 1"))))
-    frame = Window.partitionBy("run", "_bucket").orderBy(micros).rangeBetween(-span, 0)
-    out = both.withColumn("_first", F.min("done_bytes").over(frame)).withColumn("_since", F.greatest(F.lit(1_000_000).cast("long"), micros - F.min(micros).over(frame)))
-    out = out.where(F.col("_bucket") == F.expr(f"unix_micros(ts) div {span}")).drop("_bucket")
+    bucket = F.expr(f"(unix_micros(ts) - pmod(unix_micros(ts), {span}L)) div {span}L")
+    places = F.array(F.struct(bucket.alias("_bucket"), micros.alias("_at"), F.lit(False).alias("_past")), F.struct((bucket + 1).alias("_bucket"), (micros + span).alias("_at"), F.lit(True).alias("_past")))
+    both = samples.select("*", F.inline(places))
+    own = Window.partitionBy("run", "_bucket")
+    before, after = [own.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.asc("_at"), F.desc("_at"))]
+    least = lambda c: F.least(F.min(F.when(~F.col("_past"), c)).over(before), F.min(F.when(F.col("_past"), c)).over(after))
+    out = both.withColumn("_first", least(F.col("done_bytes"))).withColumn("_since", F.greatest(F.lit(1_000_000).cast("long"), micros - least(micros)))
+    out = out.where(~F.col("_past")).drop("_bucket", "_at", "_past")
     gained, left = F.col("done_bytes") - F.col("_first"), F.lit(total_bytes) - F.col("done_bytes")
     out = out.withColumn("_gained", gained).withColumn("speed", F.expr("(_gained * 1000000L) div _since"))
     need = left.cast("decimal(38,0)") * F.col("_since")
