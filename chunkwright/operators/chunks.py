@@ -25,8 +25,8 @@ def assign_chunks(df: DataFrame, key: str, plan: DataFrame, table: str | None =
     """df with chunk_id by the key ranges of its table's plan. First and last range are open, null keys go to chunk 0.
 
     table, `table` or `schema.table`, names the one that df is where the plan has more. A plan that has chunks without a range is an error. The key space of the plan is cut to cells, a few for each
-    chunk: a row finds its chunk by an equality on the cell and two comparisons. The plan and its cells are broadcast
-    only where Spark finds them small enough.
+    chunk: a row finds its chunk by an equality on the cell and two comparisons. Ranges by cells are broadcast, a few rows for each chunk
+    of a threshold of bytes: a shuffle by cell would bring all rows of a wide chunk, as the open last one of blocks, to one task.
     """
     no_range = F.raise_error(F.lit("a chunk of the plan has no key range"))
     own = plan_of(plan, table).select("idx", F.coalesce(F.col("range_start").cast("long"), no_range).alias("_from"))
@@ -38,7 +38,7 @@ def assign_chunks(df: DataFrame, key: str, plan: DataFrame, table: str | None =
     ranges = ranges.select(F.col("idx").cast("long").alias("chunk_id"), F.when(F.col("_from") > F.col("_lo"), F.col("_from")).otherwise(F.lit(LEAST)).alias("_from"), F.coalesce(F.col("_next") - 1, F.lit(MOST)).alias("_to"), F.explode(cells).alias("_cell"))
     at = F.coalesce(F.col(key).cast("long"), F.lit(LEAST))
     placed = df.drop("chunk_id").crossJoin(one).withColumn("_at", at).withColumn("_c", F.expr("(least(greatest(_at, _lo), _hi) - _lo) div _width"))
-    return placed.join(ranges, (F.col("_c") == F.col("_cell")) & F.col("_at").between(F.col("_from"), F.col("_to"))).drop("_lo", "_hi", "_width", "_at", "_c", "_cell", "_from", "_to")
+    return placed.join(F.broadcast(ranges), (F.col("_c") == F.col("_cell")) & F.col("_at").between(F.col("_from"), F.col("_to"))).drop("_lo", "_hi", "_width", "_at", "_c", "_cell", "_from", "_to")
 
 
 def assign_blocks(df: DataFrame, plan: DataFrame) -> DataFrame:

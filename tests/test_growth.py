@@ -1,11 +1,27 @@
 """What keeps work and the largest task from growing faster than the input, on small inputs."""
 
 import random
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from chunkwright.operators import monitor
+from chunkwright.operators import chunks, monitor
+from chunkwright.sources import tables
+
+PLAN = "schema string, table string, strategy string, idx long, range_start long, range_end long, block_start long, block_end long, est_bytes long, est_rows long"
+
+
+@contextmanager
+def settings(spark, wanted):
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_windows_of_speed_are_running_minima(spark):
@@ -22,3 +38,13 @@ def test_windows_of_speed_are_running_minima(spark):
     assert len(got) == len(rows) and got == want
     frames = out._jdf.queryExecution().analyzed().toString().split("specifiedwindowframe(")[1:]
     assert frames and all(f.startswith("RangeFrame, unboundedpreceding$(), currentrow$())") for f in frames)
+
+
+def test_rows_find_their_block_chunk_without_a_shuffle(spark, tmp_path):
+    """The last chunk of blocks is open and takes most rows; nor may all rows of a file go to one task."""
+    spark.range(5000).select(F.col("id").alias("k")).coalesce(1).write.parquet(f"{tmp_path}/in")
+    plan = spark.createDataFrame([("s", "t", "block_range", i, None, None, 4 * i, None if i == 2 else 4 * i + 4, 1, 1) for i in range(3)], PLAN).localCheckpoint()
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        rows = chunks.assign_blocks(tables.numbered_blocks(spark.read.parquet(f"{tmp_path}/in"), 10), plan)
+        assert {r.chunk_id: r["count"] for r in rows.groupBy("chunk_id").count().collect()} == {0: 40, 1: 40, 2: 4920}
+        assert "SortMergeJoin" not in (made := rows._jdf.queryExecution().executedPlan().toString()) and "ShuffledHashJoin" not in made
