@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from chunkwright.operators import chunks, monitor
-from chunkwright.sources import tables
+from chunkwright.sources import chunk_store, tables
 
 PLAN = "schema string, table string, strategy string, idx long, range_start long, range_end long, block_start long, block_end long, est_bytes long, est_rows long"
 
@@ -48,3 +48,17 @@ def test_rows_find_their_block_chunk_without_a_shuffle(spark, tmp_path):
         rows = chunks.assign_blocks(tables.numbered_blocks(spark.read.parquet(f"{tmp_path}/in"), 10), plan)
         assert {r.chunk_id: r["count"] for r in rows.groupBy("chunk_id").count().collect()} == {0: 40, 1: 40, 2: 4920}
         assert "SortMergeJoin" not in (made := rows._jdf.queryExecution().executedPlan().toString()) and "ShuffledHashJoin" not in made
+
+
+def test_a_large_chunk_is_dealt_to_several_tasks(spark, tmp_path):
+    """One of three chunks has nearly all rows, from four files; small ones stay one file."""
+    spark.range(40_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(4).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in").withColumn("chunk_id", F.when(F.col("k") < 20, F.col("k") % 2).otherwise(7).cast("long"))
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.files.openCostInBytes": "128m"}):
+        counts, sizes = chunk_store.write_counted(rows, f"{tmp_path}/counted", 3, gather=True)
+        tables.write_chunks(rows, f"{tmp_path}/written")
+    assert counts == {0: 10, 1: 10, 7: 39_980} and sizes.keys() == counts.keys()
+    for out in ("counted", "written"):
+        files = spark.read.parquet(f"{tmp_path}/{out}").groupBy("chunk_id", F.input_file_name().alias("file")).count()
+        n = {r.chunk_id: (r.files, r.rows) for r in files.groupBy("chunk_id").agg(F.count("*").alias("files"), F.sum("count").alias("rows")).collect()}
+        assert n[7][0] > 2 and n == {0: (1, 10), 1: (1, 10), 7: (n[7][0], 39_980)}
