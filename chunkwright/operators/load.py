@@ -52,6 +52,8 @@ def check_generated(df: DataFrame, expressions: dict[str, Column]) -> DataFrame:
 
 #: Tables whose jobs run side by side.
 WORKERS = 4
+#: Bytes of text of a chunk that a task gathers to write it, by the plan's estimate.
+PIECE = 1 << 26
 
 
 def side_by_side(do: Callable[[str], list], names: list, workers: int) -> list:
@@ -71,12 +73,12 @@ class Source:
 
 
 def route_rows(source: Source, plan: DataFrame, strategy: str) -> DataFrame:
-    """The columns of a table with chunk_id, by the strategy of its plan: one chunk, key ranges, or blocks of its files."""
+    """The columns of a table with chunk_id, by the strategy of its plan: one chunk, key ranges (with _piece of a chunk), or blocks of its files."""
     columns = source.columns or source.df.columns
     if strategy == "single":
         return source.df.select(*columns, F.lit(0).cast("long").alias("chunk_id"))
     if strategy == "key_range" and source.key:
-        return assign_chunks(source.df.select(*columns), source.key, plan).select(*columns, "chunk_id")
+        return assign_chunks(source.df.select(*columns), source.key, plan, piece_bytes=PIECE).select(*columns, "chunk_id", "_piece")
     if strategy == "block_range" and source.rows_per_block:
         return assign_blocks(numbered_blocks(source.df, source.rows_per_block), plan).select(*columns, "chunk_id")
     raise ValueError(f"{strategy!r} can't place rows: it takes a key for key_range, rows_per_block for block_range")
@@ -116,7 +118,7 @@ def export_all(sources: dict[str, Source], plan: DataFrame, root: str, codec: st
 def export_tables(found: dict[str, DataFrame], keys: dict[str, str], plan: DataFrame, root: str, codec: str | None = None) -> None:
     """Writes the tables of a plan of key ranges, each chunk to the folder that chunk_folder names. A chunk without a range is an error; see export_all."""
     for name, df in found.items():
-        rows = assign_chunks(df, keys[name], plan, name).withColumn("chunk_table", F.lit(name))
+        rows = assign_chunks(df, keys[name], plan, name, PIECE).withColumn("chunk_table", F.lit(name))
         write_chunks(rows, f"{root}/data", codec, ("chunk_table", "chunk_id"))
 
 

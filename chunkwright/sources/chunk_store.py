@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chunkwright.sources.tables import codec_or_default, delete_path, path_exists
+from chunkwright.sources.tables import codec_or_default, delete_path, gathered, path_exists
 
 LOG = "seq long, kind string, owner string, plan string, chunk_key string, chunk_id long, folder string, n_rows long, n_bytes long, at timestamp"
 #: Chunks that one write can count exactly.
@@ -24,13 +24,13 @@ def write_counted(df: DataFrame, path: str, n_chunks: int, codec: str | None = N
     Bytes are what the store lists. With overwrite, folders of chunks that are in df are replaced and others stay.
 
     With gather, a chunk's rows are shuffled together, so that a chunk is one file, or several where it is larger than Spark's advisory
-    size of a partition: adaptive execution deals it to several tasks. Without, each task writes a file for each chunk that it
-    meets and nothing is shuffled: right where tasks meet few chunks, as those of blocks and of chunks that are read from their folders.
+    size of a partition: adaptive execution deals it to several tasks, or where df has _piece, as assign_chunks cuts chunks. Without,
+    each task writes a file for each chunk that it meets and nothing is shuffled: right where tasks meet few chunks, as those of blocks and of chunks that are read from their folders.
     """
     if n_chunks > MOST_CHUNKS:
         raise ValueError(f"{n_chunks} chunks in one write: use a larger threshold or several writes")
     seen, tracked = Observation(), max(64, 2 * n_chunks)
-    out = (df.hint("rebalance", "chunk_id") if gather else df).observe(seen, F.count("*").alias("n"), F.expr(f"approx_top_k(chunk_id, {tracked}, {tracked})").alias("each"))
+    out = (gathered(df, ("chunk_id",)) if gather else df).observe(seen, F.count("*").alias("n"), F.expr(f"approx_top_k(chunk_id, {tracked}, {tracked})").alias("each"))
     writer = out.write.partitionBy("chunk_id").option("compression", codec_or_default(codec))
     (writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if overwrite else writer).parquet(path)
     got = seen.get

@@ -79,3 +79,21 @@ def test_a_table_in_two_wide_chunks_travels(spark, tmp_path):
         load.load_chunks(spark, done.withColumn("chunk_key", ledger.chunk_key("r")), f"{tmp_path}/out", {"t": ["k", "v"]}, f"{tmp_path}/target", marks)
         back = chunk_store.ChunkStore(spark, f"{tmp_path}/target/t").read(rows.schema)
         assert back.count() == 40_000 and rows.exceptAll(back.drop("chunk_id")).isEmpty()
+
+
+def test_a_chunk_read_by_one_task_is_gathered_in_pieces(spark, tmp_path, monkeypatch):
+    """A table in one row group: what its one task has for a chunk isn't gathered by one task, and no row is lost or doubled."""
+    spark.range(40_000).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")).coalesce(1).write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    plan = spark.createDataFrame([("s", "t", "key_range", i, a, b, None, None, n, 1) for i, a, b, n in ((0, 0, 19_999, 1_400_000), (1, 20_000, 39_979, 1_400_000), (2, 39_980, 39_999, None))], PLAN)
+    monkeypatch.setattr(load, "PIECE", 1 << 16, raising=False)
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k", "spark.sql.shuffle.partitions": "16"}):
+        done = {r.idx: r for r in load.export_all({"s.t": load.Source(rows, None, "k")}, plan, f"{tmp_path}/out").collect()}
+        load.export_tables({"t": rows}, {"t": "k"}, plan, f"{tmp_path}/plain")
+    assert done[2].n_rows == 18 and sum(r.n_rows for r in done.values()) == 40_000
+    for out, place in ((f"{tmp_path}/out/data/s.t", done[2].file.rpartition("/")[2]), (f"{tmp_path}/plain/data/chunk_table=t", "chunk_id=2")):
+        back = spark.read.parquet(out)
+        assert sorted(back.columns) == ["chunk_id", "k", "v"] and back.select("k", "v").exceptAll(rows).isEmpty() and back.count() == 40_000
+        assert len(spark.read.parquet(f"{out}/{place}").inputFiles()) == 1
+        most = back.where("k is not null").groupBy("chunk_id", F.input_file_name()).count().groupBy("chunk_id").agg(F.max("count").alias("n"))
+        assert max(r.n for r in most.collect()) < 6_000
