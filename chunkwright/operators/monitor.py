@@ -21,6 +21,8 @@ DONE = ("completed", "skipped")
 LONGEST_WAIT, MOST_DOUBLINGS = 60, 5
 #: Running sums and gaps are windows inside buckets of that many seconds.
 BUCKET_SECONDS = 3600
+#: Rows without a time.
+LAST_BUCKET = 2**63 - 1
 
 
 def _class_of(code: str, message: str) -> Column:
@@ -104,20 +106,24 @@ def rolling_speed(samples: DataFrame, total_bytes: int, seconds: int = 10) -> Da
     gained, left = F.col("done_bytes") - F.col("_first"), F.lit(total_bytes) - F.col("done_bytes")
     out = out.withColumn("_gained", gained).withColumn("speed", F.expr("(_gained * 1000000L) div _since"))
     need = left.cast("decimal(38,0)") * F.col("_since")
-    per = F.col("_gained").cast("decimal(38,0)") * 1_000_000
-    eta = F.when(F.col("_gained") > 0, F.greatest(F.ceil(need / F.greatest(per, F.lit(1))).cast("long"), F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    per = F.greatest(F.col("_gained").cast("decimal(38,0)") * 1_000_000, F.lit(1))
+    top = need + per - 1  # whole numbers: Spark rounds a quotient of decimals at its sixth place, so one just above a whole number isn't rounded up by ceil
+    eta = F.when((F.col("_gained") > 0) & (left > 0), ((top - top % per) / per).cast("long")).otherwise(F.lit(0).cast("long"))
     return out.withColumn("eta_s", eta).drop("_first", "_since", "_gained")
 
 
 def samples_of(events: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Bytes done so far after each event of a run: a sum for each bucket of time, a prefix over a run's buckets, and a window inside the bucket."""
+    """Bytes done so far after each event of a run: a sum for each bucket of time, a prefix over a run's buckets, and a window inside the bucket, which begins with a row that carries the prefix.
+
+    Events without a time come last, in a bucket of their own; those without a run are a run. Before the first known bytes there is no sum.
+    """
     done = F.when(F.col("type").isin(*DONE), F.col("bytes")).otherwise(F.lit(0).cast("long"))
-    rows = events.withColumn("_bucket", F.expr(f"unix_seconds(ts) div {seconds}"))
+    rows = events.withColumns({"_bucket": F.coalesce(F.expr(f"unix_seconds(ts) div {seconds}"), F.lit(LAST_BUCKET)), "_done": done, "_carried": F.lit(False)})
     before = Window.partitionBy("run").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("run", "_bucket").agg(F.sum(done).alias("_sum")).select("run", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("run", "_bucket").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.withColumn("done_bytes", F.sum(done).over(inside)).join(sums, ["run", "_bucket"])
-    return out.withColumn("done_bytes", F.col("done_bytes") + F.col("_before")).select(*events.columns, "done_bytes")
+    sums = rows.groupBy("run", "_bucket").agg(F.sum("_done").alias("_sum")).select("run", "_bucket", F.sum("_sum").over(before).alias("_done"), F.lit(True).alias("_carried"))
+    inside = Window.partitionBy("run", "_bucket").orderBy(F.desc("_carried"), "ts", F.asc_nulls_last("event_id")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.unionByName(sums, allowMissingColumns=True).withColumn("done_bytes", F.sum("_done").over(inside))
+    return out.where(~F.col("_carried")).select(*events.columns, "done_bytes")
 
 
 def worker_speed(events: DataFrame, bucket: str = "5 seconds") -> DataFrame:

@@ -233,3 +233,11 @@ def test_load_fails_with_the_whole_list(spark, tmp_path):
         load.load_chunks(spark, jobs.where("idx % 2 = 0"), str(tmp_path), {"t": ["k"]}, f"{tmp_path}/target", marks, mark=False)
     load.load_chunks(spark, jobs.where("idx % 2 = 0"), str(tmp_path), {"t": ["k"]}, f"{tmp_path}/target", marks)
     assert spark.read.parquet(f"{tmp_path}/target/t").count() == 50 and marks.done().count() == 2
+
+
+def test_time_left_just_above_a_whole_second(spark):
+    """Event 2 has 115,007.00000045 seconds left, which a quotient rounded at its sixth place makes whole."""
+    t0 = datetime(2024, 1, 7)
+    rows = [(1, 0, t0, 759_135_437), (2, 0, t0 + timedelta(microseconds=35_986_139_610), 816_540_600), (3, 1, t0, 0), (4, 1, t0 + timedelta(seconds=1), 1), (5, 2, t0, 0), (6, 2, t0 + timedelta(seconds=4), 2 * 10**9)]
+    out = monitor.rolling_speed(spark.createDataFrame(rows, "event_id long, run int, ts timestamp, done_bytes long"), 10**9, 36_000)
+    assert {r.event_id: r.eta_s for r in out.collect()} == {1: 0, 2: 115_008, 3: 0, 4: 10**9 - 1, 5: 0, 6: 0}
